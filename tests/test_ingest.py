@@ -1,0 +1,136 @@
+import csv
+import json
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import plan_of
+from vaultwatch.functions.telemetry import scaled
+from vaultwatch.schemas import EVENT_SCHEMA, RAW_POSITIONS
+from vaultwatch.sources import raw, topics
+
+GOOD = {0: "2023-04-01T00:00:00.000000", 1: "S1", 2: "M", 3: "0", 4: "1000", 12: "5.5", 25: "21.5"}
+
+
+def line(width=26, **changes):
+    values = GOOD | {int(k[1:]): v for k, v in changes.items()}
+    return [values.get(i, "") for i in range(width)]
+
+
+ROWS = {
+    "valid": line(c1="valid"),
+    "any non-zero is a failure, quoted model, no hours": line(c1="failed", c2='M, "y"', c3="2", c12=""),
+    "date only": line(c1="r-date", c0="2023-04-01"),
+    "failure not a number": line(c1="r-failure", c3="x"),
+    "vault not whole": line(c1="r-vault", c4="1.5"),
+    "hours not a number": line(c1="r-hours", c12="bad"),
+    "temperature not a number": line(c1="r-temp", c25="20d"),
+    "no temperature": line(c1="dropped", c25=""),
+    "short": ["2023-04-01T00:00:00.000000", "r-short"],
+    "short fraction": line(c1="fraction", c0="2023-04-02T00:00:00.123"),
+    "longer row": line(width=30, c1="long"),
+    "empty texts": line(c1="", c2="", c0="2023-04-23T00:00:00.000000"),
+}
+
+
+@pytest.fixture(scope="module")
+def csv_path(tmp_path_factory):
+    path = tmp_path_factory.mktemp("raw") / "raw.csv"
+    with open(path, "w", newline="") as f:
+        writer = csv.writer(f)
+        writer.writerow([f"column {i}" for i in range(26)])
+        writer.writerows(ROWS.values())
+    return str(path)
+
+
+@pytest.fixture(scope="module")
+def parsed(spark, csv_path):
+    return raw.parse_raw(raw.read_raw(spark, csv_path).withColumn("seq", F.monotonically_increasing_id()), keep=("seq",))
+
+
+def test_clean_rows(parsed):
+    rows = {r.serial_number: r for r in raw.clean_events(parsed).collect()}
+    assert set(rows) == {"valid", "failed", "fraction", "long", ""}
+    assert rows["valid"].failure is False and rows["valid"].s9_power_on_hours == 5.5
+    assert rows["failed"].failure is True and rows["failed"].model == 'M, "y"' and rows["failed"].s9_power_on_hours is None
+    assert rows["fraction"].ts.microsecond == 123000
+    assert rows[""].model == ""
+
+
+def test_rejects_name_the_cell(parsed):
+    reasons = {r.serial_number: r.reason for r in raw.rejected_rows(parsed).collect()}
+    assert reasons == {
+        "r-date": "date",
+        "r-failure": "failure",
+        "r-vault": "vault_id",
+        "r-hours": "s9_power_on_hours",
+        "r-temp": "s194_temperature_celsius",
+        "r-short": "failure",
+    }
+
+
+def test_scan_reads_used_columns_only(spark, csv_path):
+    plan = plan_of(raw.clean_events(raw.parse_raw(raw.read_raw(spark, csv_path, width=40))))
+    schema = plan.split("ReadSchema: struct<")[1].split(">")[0]
+    assert [f.split(":")[0] for f in schema.split(",")] == [f"c{i}" for i in RAW_POSITIONS]
+    assert "Python" not in plan
+
+
+def test_closing_event_is_a_week_after_the_last_row(spark, parsed):
+    row = raw.closing_event(parsed, "seq").first()
+    assert row.date == "2023-04-30T00:00:00.000000"
+    assert (row.serial_number, row.vault_id, row.s194_temperature_celsius) == ("", 1000, 21.5)
+
+
+def test_closing_event_needs_a_sound_row(spark, parsed):
+    assert raw.closing_event(parsed.filter("status = 'reject'"), "seq").count() == 0
+
+
+def test_land_splits_in_one_pass(spark, csv_path, tmp_path):
+    out = str(tmp_path / "landed")
+    raw.land(raw.read_raw(spark, csv_path), out)
+    events = spark.read.schema(EVENT_SCHEMA).option("mode", "FAILFAST").json(f"{out}/status=event")
+    assert events.count() == 5
+    rejects = [json.loads(r.value) for r in spark.read.text(f"{out}/status=reject").collect()]
+    assert len(rejects) == 6
+    assert {"c0": "2023-04-01", "reason": "date"}.items() <= next(r for r in rejects if r["c1"] == "r-date").items()
+
+
+def test_raw_width_is_checked():
+    with pytest.raises(ValueError):
+        raw.raw_schema(25)
+
+
+def test_json_roundtrip_keeps_nulls(spark, parsed):
+    events = raw.clean_events(parsed)
+    texts = topics.encode(events, EVENT_SCHEMA)
+    assert all('"s9_power_on_hours"' in r.value for r in texts.collect())
+    back = topics.decode(texts, EVENT_SCHEMA)
+    fields = EVENT_SCHEMA.fieldNames()
+    assert sorted(map(str, back.collect())) == sorted(map(str, events.select(fields).collect()))
+
+
+def test_corrupt_json_fails_or_is_set_apart(spark):
+    records = spark.createDataFrame([('{"vault_id": 1}',), ('{"vault_id": ',)], "value string")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        topics.decode(records, EVENT_SCHEMA).collect()
+    rows = topics.decode_with_rejects(records, EVENT_SCHEMA).collect()
+    assert sorted((r.vault_id, r.corrupt) for r in rows if r.corrupt is None) == [(1, None)]
+    assert [r.corrupt for r in rows if r.corrupt] == ['{"vault_id": ']
+
+
+def test_kafka_options():
+    options = topics.kafka_reader_options("broker:9092", ["a", "b"], start="earliest", group="g")
+    assert options == {
+        "kafka.bootstrap.servers": "broker:9092",
+        "subscribe": "a,b",
+        "startingOffsets": "earliest",
+        "kafka.group.id": "g",
+    }
+    assert topics.kafka_writer_options("broker:9092", "t")["topic"] == "t"
+    with pytest.raises(ValueError):
+        topics.kafka_reader_options("broker:9092", "a", start="now")
+
+
+def test_scaled_interval(spark):
+    assert spark.range(1).select(scaled(F.lit(86400.0), 3600).alias("x")).first().x == 24.0

@@ -1,0 +1,122 @@
+import math
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from helpers import event, events, ms, plan_of, tuples
+from vaultwatch.operators import moments
+from vaultwatch.plans.batch import query1, query1_windows, result_rows
+from vaultwatch.schemas import TEMPERATURE_RESULT
+
+
+@pytest.fixture(scope="module")
+def readings(spark):
+    rows = [event("04-01", temp=t) for t in (20, 21.5, 23)] + [event("04-02", temp=t) for t in (20, 21.5, 23)]
+    rows += [event("04-03", temp=t) for t in (24, 26, 24)] + [event("04-01", vault=1001, temp=30)]
+    rows += [event("04-10", vault=1020), event("04-11", vault=1020)]
+    rows += [event("04-01", vault=v) for v in (999, 1021)]
+    return events(spark, [r[:6] + (float(r[6]),) for r in rows])
+
+
+def test_vault_range_has_both_ends(readings):
+    assert {r.vault_id for r in query1(readings, "1d").collect()} == {1000, 1001, 1020}
+
+
+def test_one_day(readings):
+    rows = {(r.ts, r.vault_id): r for r in query1(readings, "1d").collect()}
+    first = rows[ms("04-01"), 1000]
+    assert (first.ts, first["count"], first.mean_s194) == (1680307200000, 3, 21.5)
+    assert first.stddev_s194 == pytest.approx(1.224744871391589, abs=1e-12)
+    single = rows[ms("04-01"), 1001]
+    assert (single["count"], single.mean_s194, single.stddev_s194) == (1, 30.0, 0.0)
+
+
+def test_three_days(readings):
+    rows = {(r.ts, r.vault_id): r for r in query1(readings, "3d").collect()}
+    assert rows[ms("03-30"), 1000]["count"] == 3
+    wide = rows[1680393600000, 1000]
+    assert wide["count"] == 6
+    assert wide.mean_s194 == pytest.approx(23.083333333333332, abs=1e-12)
+    assert wide.stddev_s194 == pytest.approx(1.9238993967691993, abs=1e-12)
+
+
+def test_all_is_a_grid_of_23_days(readings):
+    starts = {r.ts for r in query1(readings, "all").filter("vault_id = 1020").collect()}
+    assert starts == {1679184000000, 1681171200000}
+
+
+def test_grid_can_start_with_the_data(readings):
+    rows = moments.windowed_stats(readings, 23, offset_days=13).filter("vault_id = 1020").collect()
+    assert [(r.ts, r["count"]) for r in rows] == [(ms("04-01"), 2)]
+
+
+def test_variances_of_few_events(readings):
+    rows = {(r.ts, r.vault_id): r for r in moments.windowed_variances(readings, 1).collect()}
+    assert math.isnan(rows[ms("04-01"), 1001].variance) and math.isnan(rows[ms("04-01"), 1001].sample_variance)
+    assert rows[ms("04-01"), 1000].variance == pytest.approx(1.5)
+    assert rows[ms("04-01"), 1000].sample_variance == pytest.approx(2.25)
+
+
+@pytest.mark.parametrize("days", [1, 3, 23])
+def test_rollup_equals_direct(readings, days):
+    direct = {(r.ts, r.vault_id): r for r in moments.windowed_stats(readings, days).collect()}
+    rolled = {(r.ts, r.vault_id): r for r in moments.rollup_stats(moments.daily_moments(readings), days).collect()}
+    assert direct.keys() == rolled.keys()
+    for key, row in direct.items():
+        assert rolled[key]["count"] == row["count"]
+        assert rolled[key].mean_s194 == pytest.approx(row.mean_s194, abs=1e-9)
+        assert rolled[key].stddev_s194 == pytest.approx(row.stddev_s194, abs=1e-9)
+
+
+def test_merge_in_any_order_equals_one_pass(spark):
+    rng = random.Random(3)
+    values = [rng.gauss(25, 3) for _ in range(400)]
+    parts, at = [], 0
+    while at < len(values):
+        piece = values[at : at + rng.randint(1, 30)]
+        mean = sum(piece) / len(piece)
+        parts.append((1, len(piece), mean, sum((x - mean) ** 2 for x in piece)))
+        at += len(piece)
+    rng.shuffle(parts)
+    parts.append((1, 0, None, None))
+    schema = "k int, count long, mean double, m2 double"
+    row = moments.merge_moments(spark.createDataFrame(parts, schema).repartition(5), "k").first()
+    mean = sum(values) / len(values)
+    assert row["count"] == 400
+    assert row["mean"] == pytest.approx(mean, abs=1e-9)
+    assert row["m2"] == pytest.approx(sum((x - mean) ** 2 for x in values), rel=1e-9)
+
+
+def test_center_keeps_small_spreads_of_large_values(spark):
+    parts = [(1, 2, 1e9, 2.0), (1, 2, 1e9 + 1, 2.0)]
+    df = spark.createDataFrame(parts, "k int, count long, mean double, m2 double")
+    assert moments.merge_moments(df, "k", center=1e9).first()["m2"] == pytest.approx(5.0, abs=1e-6)
+
+
+def test_rollup_keeps_small_spreads_of_large_values(spark):
+    day = "timestamp'2023-04-02' + make_dt_interval(i)"
+    daily = spark.range(2).selectExpr("id as i").selectExpr(f"{day} as day", "1 as vault_id", "2L as count", "1e9 + i as mean", "2.0D as m2")
+    row = moments.rollup_stats(daily, 3).first()
+    assert (row["count"], row.mean_s194) == (4, 1e9 + 0.5)
+    assert row.stddev_s194 == pytest.approx(math.sqrt(5.0 / 4), abs=1e-12)
+    plan = plan_of(moments.rollup_stats(daily, 3))
+    assert plan.count("Exchange hashpartitioning") == 1
+
+
+def test_windows_from_one_scan(readings):
+    for window, rows in query1_windows(readings, "all_three").items():
+        assert tuples(rows, "ts", "vault_id", "count") == tuples(query1(readings, window), "ts", "vault_id", "count")
+
+
+def test_declared_result(readings):
+    rows = result_rows("query1", query1(readings, "1d"))
+    assert [(f.name, f.dataType) for f in rows.schema] == [(f.name, f.dataType) for f in TEMPERATURE_RESULT]
+    with pytest.raises(ValueError):
+        result_rows("query1", query1(readings, "1d").withColumn("extra", F.lit(1)))
+
+
+def test_one_shuffle_and_no_python(readings):
+    plan = plan_of(query1(readings, "1d"))
+    assert plan.count("Exchange") == 1 and "partial_stddev_pop" in plan and "Python" not in plan
+    assert "SortAggregate" not in plan

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vaultwatch.functions.eventtime import event_time_filter, start_ms, tumbling
@@ -75,28 +75,42 @@ def daily_moments(
     ).select(F.col("w.start").alias("day"), key, "count", "mean", "m2")
 
 
-def _merged(center: float) -> tuple[Column, Column, Column]:
-    n = F.sum("count")
-    shift = F.col("mean") - F.lit(float(center))
-    mean = F.sum(F.col("count") * shift) / n
-    squares = F.sum(F.col("m2") + F.col("count") * shift * shift)
-    return n, mean + F.lit(float(center)), F.greatest(squares - n * mean * mean, F.lit(0.0))
-
-
 def merge_moments(partials: DataFrame, *keys: str, center: float = 0.0) -> DataFrame:
     """Merge any number of (count, mean, m2) rows per key, in any order.
 
     Sums only, so partial aggregation applies and one hot key costs one row per task. Means are
     taken from ``center``: set it near the values where these are large beside their spread.
     """
-    n, mean, m2 = _merged(center)
-    return partials.filter(F.col("count") > 0).groupBy(*keys).agg(n.alias("count"), mean.alias("mean"), m2.alias("m2"))
+    n = F.sum("count")
+    shift = F.col("mean") - F.lit(float(center))
+    mean = F.sum(F.col("count") * shift) / n
+    squares = F.sum(F.col("m2") + F.col("count") * shift * shift)
+    return (
+        partials.filter(F.col("count") > 0)
+        .groupBy(*keys)
+        .agg(
+            n.alias("count"),
+            (mean + F.lit(float(center))).alias("mean"),
+            F.greatest(squares - n * mean * mean, F.lit(0.0)).alias("m2"),
+        )
+    )
 
 
-def rollup_stats(daily: DataFrame, days: int, key: str = "vault_id", offset_days: int = 0, center: float = 0.0) -> DataFrame:
-    """The result of :func:`windowed_stats` from daily moments. Days nest in every window of whole days."""
-    placed = daily.withColumn("w", tumbling("day", days, offset_days))
-    merged = merge_moments(placed, "w", key, center=center)
+def rollup_stats(daily: DataFrame, days: int, key: str = "vault_id", offset_days: int = 0) -> DataFrame:
+    """The result of :func:`windowed_stats` from daily moments. Days nest in every window of whole days.
+
+    A group has one row per day, so its mean is taken over the group first and the squares are
+    summed around it, which loses no digits. Both steps use one shuffle.
+    """
+    group = Window.partitionBy("w", key)
+    center = F.sum(F.col("count") * F.col("mean")).over(group) / F.sum("count").over(group)
+    placed = daily.filter(F.col("count") > 0).withColumn("w", tumbling("day", days, offset_days)).withColumn("center", center)
+    off = F.col("mean") - F.col("center")
+    merged = placed.groupBy("w", key).agg(
+        F.sum("count").alias("count"),
+        F.max("center").alias("mean"),
+        F.sum(F.col("m2") + F.col("count") * off * off).alias("m2"),
+    )
     return merged.select(
         start_ms("w").alias("ts"),
         key,

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 10_000
+MAX_BUCKETS = 20_000
+_SAMPLES = 100
 
 
 def _bounds(df: DataFrame, seq: str, rows_per_bucket: int) -> list[float]:
@@ -18,42 +20,34 @@ def _bounds(df: DataFrame, seq: str, rows_per_bucket: int) -> list[float]:
     buckets = min(MAX_BUCKETS, -(-n // rows_per_bucket))
     if buckets < 2:
         return []
-    sampled = df.select(F.col(seq).cast("double").alias("s"))
-    if n > 1000 * buckets:
-        sampled = sampled.sample(1000 * buckets / n, seed=7)
+    place = df.select(F.col(seq).cast("double").alias("place"))
+    if n > _SAMPLES * buckets:
+        place = place.sample(_SAMPLES * buckets / n, seed=7)
     shares = [i / buckets for i in range(1, buckets)]
-    cuts = sampled.agg(F.percentile_approx("s", shares, 20 * buckets)).first()[0]
+    cuts = place.agg(F.percentile_approx("place", shares, 10 * buckets)).first()[0]
     return sorted(set(cuts or []))
 
 
-def event_gaps(df: DataFrame, seq: str = "seq", ts: str = "ts", rows_per_bucket: int = 250_000) -> DataFrame:
-    """Seconds since the previous event in file order; null for the first.
+def event_gaps(df: DataFrame, seq: str = "seq", ts: str = "ts", rows_per_bucket: int = 50_000) -> DataFrame:
+    """Seconds since the previous event in file order; null for the first. ``seq`` is a number.
 
     A window over the whole file would run in one task. The file is cut into buckets of consecutive
     events instead, and the first event of a bucket takes its predecessor from a table with the
     last event of each bucket.
     """
-    from pyspark.ml.feature import Bucketizer
-
     rows = df.filter(F.col(ts).isNotNull() & F.col(seq).isNotNull())
-    cuts = _bounds(rows, seq, rows_per_bucket)
-    rows = rows.withColumn("_place", F.col(seq).cast("double"))
-    if cuts:
-        splits = [float("-inf"), *cuts, float("inf")]
-        rows = Bucketizer(splits=splits, inputCol="_place", outputCol="_bucket").transform(rows)
-    else:
-        rows = rows.withColumn("_bucket", F.lit(0.0))
+    splits = [float("-inf"), *(_bounds(rows, seq, rows_per_bucket) or [0.0]), float("inf")]
+    place = rows.withColumn("_place", F.col(seq).cast("double"))
+    rows = Bucketizer(splits=splits, inputCol="_place", outputCol="_bucket").transform(place)
 
     tails = rows.groupBy("_bucket").agg(F.max_by(ts, seq).alias("_last"))
-    # One row per bucket, so no more than MAX_BUCKETS: small enough for one task and for broadcast.
+    # One row per bucket, so at most MAX_BUCKETS + 1: fit for one task and for a broadcast.
     heads = tails.select("_bucket", F.lag("_last").over(Window.orderBy("_bucket")).alias("_before"))
     within = Window.partitionBy("_bucket").orderBy(seq)
-    previous = F.coalesce(F.lag(ts).over(within), F.col("_before"))
-    seconds = (F.unix_micros(ts) - F.unix_micros("_previous")) / F.lit(1e6)
     return (
         rows.join(F.broadcast(heads), "_bucket", "left")
-        .withColumn("_previous", previous)
-        .withColumn("gap_seconds", seconds)
+        .withColumn("_previous", F.coalesce(F.lag(ts).over(within), F.col("_before")))
+        .withColumn("gap_seconds", (F.unix_micros(ts) - F.unix_micros("_previous")) / F.lit(1e6))
         .drop("_place", "_bucket", "_before", "_previous")
     )
 
