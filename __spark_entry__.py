@@ -155,7 +155,7 @@ def _raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
         25: F.when(kind("error"), "").otherwise(F.col("value").cast("string")),
     }
     lines = events.select(F.to_csv(F.struct(*[c.alias(f"c{i}") for i, c in cells.items()]), raw.CSV_OPTIONS).alias("line"))
-    return lines.select(F.from_csv("line", raw.raw_schema().simpleString().removeprefix("struct<").removesuffix(">").replace(":", " "), raw.CSV_OPTIONS).alias("r")).select("r.*")
+    return lines.select(F.inline(F.array(F.from_csv("line", raw.raw_schema().toDDL(), raw.CSV_OPTIONS))))
 
 
 def _ingest_clean(spark, d):

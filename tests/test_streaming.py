@@ -143,8 +143,8 @@ def closed(df, last, days):
 def test_streams_equal_batch(spark, busy, tmp_path, window, days):
     topic, rows = busy
     out, checkpoints = str(tmp_path / "results"), str(tmp_path / "checkpoints")
-    jobs.wait(jobs.run_stream("query1", window, topic.stream(), out, checkpoints, once=True))
-    jobs.wait(jobs.run_stream("query2", window, topic.stream(), out, checkpoints, once=True))
+    jobs.wait(jobs.run_stream("query1", window, topic.stream(4), out, checkpoints, once=True))
+    jobs.wait(jobs.run_stream("query2", window, topic.stream(4), out, checkpoints, once=True))
     df = prepare(frame(spark, rows))
     for query, batch in (("query1", query1(df, window)), ("query2", query2(df, window))):
         want = closed(result_rows(query, batch), "04-19", days).collect()

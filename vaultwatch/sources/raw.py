@@ -42,30 +42,39 @@ def parse_raw(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     A row too short has nulls at the missing positions and is judged by them.
     """
     cell = {name: F.col(f"c{position}") for position, name in RAW_POSITIONS.items()}
-    ts = parse_time(cell["date"])
-    failure, vault = as_int(cell["failure"]), as_int(cell["vault_id"])
-    hours, temperature = as_float(cell["s9_power_on_hours"]), as_float(cell["s194_temperature_celsius"])
-
-    def unreadable(name: str, parsed: Column) -> Column:
-        return ~is_blank(cell[name]) & parsed.isNull()
+    typed = {
+        "date": parse_time(cell["date"]),
+        "failure": as_int(cell["failure"]),
+        "vault_id": as_int(cell["vault_id"]),
+        "s9_power_on_hours": as_float(cell["s9_power_on_hours"]),
+        "s194_temperature_celsius": as_float(cell["s194_temperature_celsius"]),
+    }
+    # Through ``inline`` each cell is parsed once; a filter on ``status`` would otherwise be moved
+    # below the projection and parse all of them again.
+    once = F.inline(F.array(F.struct(*[c.alias(f"_{name}") for name, c in typed.items()])))
+    value = {name: F.col(f"_{name}") for name in typed}
+
+    def unreadable(name: str) -> Column:
+        return ~is_blank(cell[name]) & value[name].isNull()
 
     reason = (
-        F.when(ts.isNull(), "date")
-        .when(failure.isNull(), "failure")
-        .when(vault.isNull(), "vault_id")
-        .when(unreadable("s9_power_on_hours", hours), "s9_power_on_hours")
-        .when(unreadable("s194_temperature_celsius", temperature), "s194_temperature_celsius")
+        F.when(value["date"].isNull(), "date")
+        .when(value["failure"].isNull(), "failure")
+        .when(value["vault_id"].isNull(), "vault_id")
+        .when(unreadable("s9_power_on_hours"), "s9_power_on_hours")
+        .when(unreadable("s194_temperature_celsius"), "s194_temperature_celsius")
     )
-    status = F.when(reason.isNotNull(), REJECT).when(temperature.isNull(), NO_TEMPERATURE).otherwise(EVENT)
-    return raw.select(
+    no_temperature = value["s194_temperature_celsius"].isNull()
+    status = F.when(reason.isNotNull(), REJECT).when(no_temperature, NO_TEMPERATURE).otherwise(EVENT)
+    return raw.select("*", once).select(
         cell["date"].alias("date"),
         F.coalesce(cell["serial_number"], F.lit("")).alias("serial_number"),
         F.coalesce(cell["model"], F.lit("")).alias("model"),
-        (failure != 0).alias("failure"),
-        vault.alias("vault_id"),
-        hours.alias("s9_power_on_hours"),
-        temperature.alias("s194_temperature_celsius"),
-        ts.alias("ts"),
+        (value["failure"] != 0).alias("failure"),
+        value["vault_id"].alias("vault_id"),
+        value["s9_power_on_hours"].alias("s9_power_on_hours"),
+        value["s194_temperature_celsius"].alias("s194_temperature_celsius"),
+        value["date"].alias("ts"),
         status.alias("status"),
         reason.alias("reason"),
         *keep,
