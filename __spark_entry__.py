@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultwatch.functions.eventtime import closed_only, pin_utc, print_time
+from vaultwatch.functions.eventtime import pin_utc, print_time
 from vaultwatch.functions.telemetry import join_disks
 from vaultwatch.operators import moments, ranking, sequence
 from vaultwatch.plans import batch
@@ -26,8 +26,12 @@ CLOSING_DAYS = 7
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tables.table(pin_utc(spark), sf_dir, "events", tables.EVENTS_SCHEMA)
+
+
 def _telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return tables.as_telemetry(tables.table(pin_utc(spark), sf_dir, "events"))
+    return tables.as_telemetry(_events(spark, sf_dir))
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
@@ -137,7 +141,7 @@ def _raw_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     Values below 5 give a malformed cell, of a kind that depends on the event type.
     """
-    events = tables.table(pin_utc(spark), sf_dir, "events")
+    events = _events(spark, sf_dir)
     bad = F.col("value") < 5
 
     def kind(name: str) -> Column:
@@ -214,7 +218,7 @@ def _event_stream(spark: SparkSession, sf_dir: str, extra: str) -> tuple[SparkSe
 
 
 def _write_closing_row(spark: SparkSession, sf_dir: str, path: str) -> None:
-    events = tables.table(pin_utc(spark), sf_dir, "events").filter(F.col("value").isNotNull())
+    events = _events(spark, sf_dir).filter(F.col("value").isNotNull())
     sequence.closing_row(events, "event_id", days=CLOSING_DAYS).write.mode("append").parquet(path)
 
 
@@ -262,7 +266,7 @@ def _stream_late_drop(spark, d):
     Those windows are closed, so the late rows change nothing.
     """
     home, _ = _stream(_run_q1("1d"), spark, d)
-    events = tables.table(spark, d, "events").filter(F.col("value").isNotNull())
+    events = _events(spark, d).filter(F.col("value").isNotNull())
     first = events.groupBy("user_id").agg(F.min(F.struct("ts", "event_id", "event_type", "value", "props")).alias("e"))
     first.select("e.event_id", "e.ts", "user_id", "e.event_type", "e.value", "e.props").write.mode("append").parquet(f"{home}/added")
     _, again = _event_stream(spark, d, f"{home}/added")
@@ -314,7 +318,11 @@ def entry(spark: SparkSession) -> DataFrame:
 # The same results in SQL
 
 _DAY_MS = 86_400_000
-_CLOSED = f"(SELECT epoch_ms(max_by(ts, event_id)) + {CLOSING_DAYS * _DAY_MS} FROM events WHERE value IS NOT NULL)"
+# The latest time a stream sees: that of the closing row, unless an earlier row is even later.
+_CLOSED = (
+    f"(SELECT greatest(epoch_ms(max_by(ts, event_id)) + {CLOSING_DAYS * _DAY_MS}, epoch_ms(max(ts)))"
+    " FROM events WHERE value IS NOT NULL)"
+)
 
 
 def _bucket(days: int, ts: str) -> str:

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import event, frame, ms
-from vaultwatch.functions.eventtime import monotonous
+from vaultwatch.functions.eventtime import closed_only, monotonous
 from vaultwatch.plans.batch import prepare, query1, query2, result_rows
 from vaultwatch.schemas import EVENT_SCHEMA, RANKING_RESULT, TEMPERATURE_RESULT
 from vaultwatch.sources import results, topics
@@ -135,10 +135,6 @@ def busy(spark, topic):
     return topic, rows
 
 
-def closed(df, last, days):
-    return df.filter(F.col("ts") + days * 86_400_000 <= ms(last))
-
-
 @pytest.mark.parametrize("window,days", [("1d", 1), ("3d", 3), ("all", 23)])
 def test_streams_equal_batch(spark, busy, tmp_path, window, days):
     topic, rows = busy
@@ -147,7 +143,7 @@ def test_streams_equal_batch(spark, busy, tmp_path, window, days):
     jobs.wait(jobs.run_stream("query2", window, topic.stream(4), out, checkpoints, once=True))
     df = prepare(frame(spark, rows))
     for query, batch in (("query1", query1(df, window)), ("query2", query2(df, window))):
-        want = closed(result_rows(query, batch), "04-19", days).collect()
+        want = closed_only(result_rows(query, batch), F.lit(ms("04-19")), days).collect()
         got = results.read_result(spark, out, f"{query}_{window}_results").collect()
         assert sorted(map(str, got)) == sorted(map(str, want)) and want
 

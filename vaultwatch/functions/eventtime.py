@@ -69,6 +69,6 @@ def event_time_filter(df: DataFrame, predicate: Column, ts: str = "ts") -> DataF
     return df.filter(F.when(F.col(ts).isNull(), F.lit(False)).otherwise(predicate))
 
 
-def closed_only(result: DataFrame, end_of_time_ms: Column, days: int, ts: str = "ts") -> DataFrame:
-    """Keep the windows a stream would have emitted once it has seen ``end_of_time_ms``."""
-    return result.filter(F.col(ts) + F.lit(days * 86_400_000) <= end_of_time_ms)
+def closed_only(result: DataFrame, latest: Column, days: int, ts: str = "ts") -> DataFrame:
+    """Of a batch result keep the windows a stream would have emitted after an event at ``latest`` (epoch ms)."""
+    return result.filter(F.col(ts) + F.lit(days * 86_400_000) <= latest)

@@ -58,6 +58,7 @@ RANKING_RESULT = ranking_result()
 # Window name -> length in days. "all" is a fixed 23-day grid, not one window over everything.
 WINDOW_DAYS = {"1d": 1, "3d": 3, "all": 23}
 
+# Topic names and, from them, the names of the result files.
 QUERY_RESULTS = {"query1": TEMPERATURE_RESULT, "query2": RANKING_RESULT}
 EVENT_TOPIC = "hdd_events"
 

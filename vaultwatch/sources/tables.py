@@ -18,8 +18,8 @@ EVENTS_SCHEMA = T.StructType(
 )
 
 
-def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+def table(spark: SparkSession, folder: str, name: str, schema: T.StructType) -> DataFrame:
+    return spark.read.schema(schema).parquet(f"{folder}/{name}.parquet")
 
 
 def stream_table(spark: SparkSession, folder: str, name: str, schema: T.StructType) -> DataFrame:

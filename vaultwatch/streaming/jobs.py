@@ -64,12 +64,17 @@ def start_ranking(best: DataFrame, finish, path: str, checkpoint: str, fmt: str
     """Rank each closed window and write it.
 
     ``row_number`` is a batch operator, so it runs on the closed windows of each batch, which are
-    whole. A batch owns a folder and replaces it when it is run again.
+    whole. A batch owns a folder and replaces it when it is run again; one that closes no window
+    writes nothing. The ranked rows, ``k`` per closed window, are kept for that look.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        rows = finish(ranking.top_vaults(batch))
-        rows.write.mode("overwrite").format(fmt).options(**options).save(f"{path}/batch={batch_id}")
+        rows = finish(ranking.top_vaults(batch)).persist()
+        try:
+            if not rows.isEmpty():
+                rows.write.mode("overwrite").format(fmt).options(**options).save(f"{path}/batch={batch_id}")
+        finally:
+            rows.unpersist()
 
     writer = best.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start()
