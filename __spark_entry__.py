@@ -35,7 +35,9 @@ def _telemetry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _rounded(df: DataFrame, *columns: str) -> DataFrame:
-    return df.withColumns({c: F.round(c, 6) for c in columns})
+    """Six decimals, by way of nine: the first step takes away the noise of the order of summation,
+    so that means which end in an exact half are rounded the same way by every engine."""
+    return df.withColumns({c: F.round(F.round(c, 9), 6) for c in columns})
 
 
 def _stats(df: DataFrame) -> DataFrame:
@@ -334,7 +336,7 @@ def _q1_sql(days: int, closed: bool = False) -> str:
     last = f" AND epoch_ms({w}) + {days * _DAY_MS} <= {_CLOSED}" if closed else ""
     return f"""
         SELECT epoch_ms({w}) AS ts, user_id AS vault_id, CAST(count(value) AS INTEGER) AS count,
-               round(avg(value), 6) AS mean_s194, round(stddev_pop(value), 6) AS stddev_s194
+               round(round(avg(value), 9), 6) AS mean_s194, round(round(stddev_pop(value), 9), 6) AS stddev_s194
         FROM events WHERE value IS NOT NULL AND ts IS NOT NULL AND user_id BETWEEN {USERS[0]} AND {USERS[1]}{last}
         GROUP BY 1, 2"""
 
@@ -422,14 +424,14 @@ def oracle_sql() -> dict[str, str]:
     return found | {
         "q1_moments_daily": f"""
             SELECT epoch_ms({_bucket(1, 'ts')}) AS ts, user_id AS vault_id, count(value) AS count,
-                   round(avg(value), 6) AS mean, round(var_pop(value) * count(value), 6) AS m2
+                   round(round(avg(value), 9), 6) AS mean, round(round(var_pop(value) * count(value), 9), 6) AS m2
             FROM events WHERE value IS NOT NULL AND ts IS NOT NULL AND user_id BETWEEN {USERS[0]} AND {USERS[1]}
             GROUP BY 1, 2""",
         "q1_variances": f"""
             SELECT epoch_ms({_bucket(1, 'ts')}) AS ts, user_id AS vault_id, CAST(count(value) AS INTEGER) AS count,
-                   round(avg(value), 6) AS mean_s194,
-                   CASE WHEN count(value) < 2 THEN CAST('nan' AS DOUBLE) ELSE round(var_pop(value), 6) END AS variance,
-                   CASE WHEN count(value) < 2 THEN CAST('nan' AS DOUBLE) ELSE round(var_samp(value), 6) END AS sample_variance
+                   round(round(avg(value), 9), 6) AS mean_s194,
+                   CASE WHEN count(value) < 2 THEN CAST('nan' AS DOUBLE) ELSE round(round(var_pop(value), 9), 6) END AS variance,
+                   CASE WHEN count(value) < 2 THEN CAST('nan' AS DOUBLE) ELSE round(round(var_samp(value), 9), 6) END AS sample_variance
             FROM events WHERE value IS NOT NULL AND ts IS NOT NULL AND user_id BETWEEN {USERS[0]} AND {USERS[1]}
             GROUP BY 1, 2""",
         "q1_all_three": _three(_q1_sql),

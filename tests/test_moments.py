@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helpers import event, events, ms, plan_of, tuples
+from vaultwatch.functions.eventtime import grid_start, start_ms, tumbling
 from vaultwatch.operators import moments
 from vaultwatch.plans.batch import query1, query1_windows, result_rows
 from vaultwatch.schemas import TEMPERATURE_RESULT
@@ -120,3 +121,12 @@ def test_one_shuffle_and_no_python(readings):
     plan = plan_of(query1(readings, "1d"))
     assert plan.count("Exchange") == 1 and "partial_stddev_pop" in plan and "Python" not in plan
     assert "SortAggregate" not in plan
+
+
+@pytest.mark.parametrize("days,offset", [(1, 0), (3, 0), (23, 0), (23, 13), (3, 2)])
+def test_batch_grid_is_the_window_grid(spark, days, offset):
+    """Also for times before the epoch and between milliseconds."""
+    us = F.expr("(id - 300) * 12345678901 + pmod(id, 7)")
+    df = spark.range(700).select(F.timestamp_micros(us).alias("ts"))
+    same = grid_start("ts", days, offset) == start_ms(tumbling("ts", days, offset))
+    assert df.select(F.bool_and(same).alias("same"), F.min("ts").alias("first")).first().same

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+DAY_MS = 86_400_000
+
 # One-letter fields take one or two digits, and the fraction one to six, as "%m", "%d", ... "%f" do.
 PARSE_FORMAT = "yyyy-M-d'T'H:m:s.SSSSSS"
 PRINT_FORMAT = "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
@@ -39,12 +41,27 @@ def tumbling(ts: Column | str, days: int, offset_days: int = 0) -> Column:
     return F.window(_col(ts), length, length, f"{offset_days} days") if offset_days else F.window(_col(ts), length)
 
 
-def start_ms(window: Column | str) -> Column:
-    return F.unix_millis(_col(window)["start"])
+def grid_start(ts: Column | str, days: int, offset_days: int = 0) -> Column:
+    """Start of the :func:`tumbling` window as epoch milliseconds, for batch plans.
+
+    One long as grouping key in place of a pair of timestamps, and one division per row.
+    """
+    ms = F.unix_millis(_col(ts))
+    return ms - F.pmod(ms - F.lit(offset_days * DAY_MS), F.lit(days * DAY_MS))
+
 
+def window_key(df: DataFrame, ts: str, days: int, offset_days: int = 0) -> Column:
+    """Grouping key of a window: the grid's start, or the window itself on streams, whose state it bounds."""
+    return tumbling(ts, days, offset_days) if df.isStreaming else grid_start(ts, days, offset_days)
 
-def end_ms(window: Column | str) -> Column:
-    return F.unix_millis(_col(window)["end"])
+
+def key_start(df: DataFrame, key: str) -> Column:
+    """The start in milliseconds of a column made by :func:`window_key`."""
+    return start_ms(key) if df.isStreaming else F.col(key)
+
+
+def start_ms(window: Column | str) -> Column:
+    return F.unix_millis(_col(window)["start"])
 
 
 def with_event_time(df: DataFrame, date: str = "date", ts: str = "ts") -> DataFrame:
@@ -58,17 +75,17 @@ def monotonous(df: DataFrame, ts: str = "ts") -> DataFrame:
 
 
 def event_time_filter(df: DataFrame, predicate: Column, ts: str = "ts") -> DataFrame:
-    """Filter rows but let every row, kept or not, move the watermark.
+    """Filter dated rows but let every row, kept or not, move the watermark.
 
     A filter that does not mention the event time is moved below the watermark by the optimizer;
     rows it drops would then no longer close windows. Naming ``ts`` in the predicate prevents that.
-    Batch plans take the plain predicate, so that it reaches the Parquet scan.
+    Batch plans take plain conditions, so that they reach the Parquet scan.
     """
     if not df.isStreaming:
-        return df.filter(predicate)
+        return df.filter(F.col(ts).isNotNull() & predicate)
     return df.filter(F.when(F.col(ts).isNull(), F.lit(False)).otherwise(predicate))
 
 
 def closed_only(result: DataFrame, latest: Column, days: int, ts: str = "ts") -> DataFrame:
     """Of a batch result keep the windows a stream would have emitted after an event at ``latest`` (epoch ms)."""
-    return result.filter(F.col(ts) + F.lit(days * 86_400_000) <= latest)
+    return result.filter(F.col(ts) + F.lit(days * DAY_MS) <= latest)

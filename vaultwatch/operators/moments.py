@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultwatch.functions.eventtime import event_time_filter, start_ms, tumbling
+from vaultwatch.functions.eventtime import event_time_filter, grid_start, key_start, window_key
 
 VAULT_RANGE = (1000, 1020)
 TEMPERATURE = "s194_temperature_celsius"
 
 
 def in_range(df: DataFrame, bounds: tuple[int, int] | None, key: str = "vault_id", ts: str = "ts") -> DataFrame:
-    """Keep the keys within ``bounds``, both ends included."""
-    return df if bounds is None else event_time_filter(df, F.col(key).between(*bounds), ts)
+    """Keep dated events with a key within ``bounds``, both ends included."""
+    return event_time_filter(df, F.lit(True) if bounds is None else F.col(key).between(*bounds), ts)
 
 
 def windowed_stats(
@@ -30,13 +30,13 @@ def windowed_stats(
     Batch and streaming. Each task sends one partial row per window and key, however many events
     a key has. The deviation of a single event is 0.0.
     """
-    grouped = in_range(df, bounds, key, ts).groupBy(tumbling(ts, days, offset_days).alias("w"), key)
+    grouped = in_range(df, bounds, key, ts).groupBy(window_key(df, ts, days, offset_days).alias("w"), key)
     stats = grouped.agg(
         F.count(value).cast("int").alias("count"),
         F.avg(value).alias("mean_s194"),
         F.stddev_pop(value).alias("stddev_s194"),
     )
-    return stats.select(start_ms("w").alias("ts"), key, "count", "mean_s194", "stddev_s194")
+    return stats.select(key_start(df, "w").alias("ts"), key, "count", "mean_s194", "stddev_s194")
 
 
 def windowed_variances(
@@ -50,13 +50,13 @@ def windowed_variances(
     """Population and sample variance per window and key; both NaN for fewer than two events."""
     nan = F.lit(float("nan"))
     n = F.count(value)
-    grouped = in_range(df, bounds, key, ts).groupBy(tumbling(ts, days).alias("w"), key)
+    grouped = in_range(df, bounds, key, ts).groupBy(window_key(df, ts, days).alias("w"), key)
     return grouped.agg(
         n.cast("int").alias("count"),
         F.avg(value).alias("mean_s194"),
         F.when(n < 2, nan).otherwise(F.var_pop(value)).alias("variance"),
         F.when(n < 2, nan).otherwise(F.var_samp(value)).alias("sample_variance"),
-    ).select(start_ms("w").alias("ts"), key, "count", "mean_s194", "variance", "sample_variance")
+    ).select(key_start(df, "w").alias("ts"), key, "count", "mean_s194", "variance", "sample_variance")
 
 
 def daily_moments(
@@ -66,13 +66,13 @@ def daily_moments(
     ts: str = "ts",
     value: str = TEMPERATURE,
 ) -> DataFrame:
-    """(count, mean, m2) per day and key: all that any wider window needs."""
-    grouped = in_range(df, bounds, key, ts).groupBy(tumbling(ts, 1).alias("w"), key)
+    """(count, mean, m2) per day and key of a table: all that any wider window needs."""
+    grouped = in_range(df, bounds, key, ts).groupBy(grid_start(ts, 1).alias("w"), key)
     return grouped.agg(
         F.count(value).alias("count"),
         F.avg(value).alias("mean"),
         F.regr_sxx(value, value).alias("m2"),
-    ).select(F.col("w.start").alias("day"), key, "count", "mean", "m2")
+    ).select(F.timestamp_millis("w").alias("day"), key, "count", "mean", "m2")
 
 
 def merge_moments(partials: DataFrame, *keys: str, center: float = 0.0) -> DataFrame:
@@ -104,7 +104,7 @@ def rollup_stats(daily: DataFrame, days: int, key: str = "vault_id", offset_days
     """
     group = Window.partitionBy("w", key)
     center = F.sum(F.col("count") * F.col("mean")).over(group) / F.sum("count").over(group)
-    placed = daily.filter(F.col("count") > 0).withColumn("w", tumbling("day", days, offset_days)).withColumn("center", center)
+    placed = daily.filter(F.col("count") > 0).withColumn("w", grid_start("day", days, offset_days)).withColumn("center", center)
     off = F.col("mean") - F.col("center")
     merged = placed.groupBy("w", key).agg(
         F.sum("count").alias("count"),
@@ -112,7 +112,7 @@ def rollup_stats(daily: DataFrame, days: int, key: str = "vault_id", offset_days
         F.sum(F.col("m2") + F.col("count") * off * off).alias("m2"),
     )
     return merged.select(
-        start_ms("w").alias("ts"),
+        F.col("w").alias("ts"),
         key,
         F.col("count").cast("int").alias("count"),
         F.col("mean").alias("mean_s194"),

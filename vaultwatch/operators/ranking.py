@@ -9,23 +9,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultwatch.functions.eventtime import event_time_filter, start_ms, tumbling
+from vaultwatch.functions.eventtime import DAY_MS, event_time_filter, grid_start, start_ms, tumbling
 from vaultwatch.functions.telemetry import join_disks
 from vaultwatch.schemas import RANKING_SLOTS
 from vaultwatch.sources.shared import settle
 
-DAY_MS = 86_400_000
-
 
 def failing(df: DataFrame, flag: str = "failure", ts: str = "ts") -> DataFrame:
-    """Failure reports. A null flag is not a failure."""
+    """Dated failure reports. A null flag is not a failure."""
     return event_time_filter(df, F.col(flag), ts)
 
 
 def daily_counts(df: DataFrame, key: str = "vault_id", ts: str = "ts", flag: str = "failure") -> DataFrame:
     """Failures per day and vault, one partial count per task and group."""
-    grouped = failing(df, flag, ts).groupBy(tumbling(ts, 1).alias("w"), key)
-    return grouped.agg(F.count("*").alias("failures")).select(F.col("w.start").alias("day"), key, "failures")
+    grouped = failing(df, flag, ts).groupBy(grid_start(ts, 1).alias("w"), key)
+    return grouped.agg(F.count("*").alias("failures")).select(F.timestamp_millis("w").alias("day"), key, "failures")
 
 
 def best_day(daily: DataFrame, days: int, key: str = "vault_id", offset_days: int = 0) -> DataFrame:
@@ -35,15 +33,15 @@ def best_day(daily: DataFrame, days: int, key: str = "vault_id", offset_days: in
     ``i`` the day's place in the window, a larger ``failures * days + (days - 1 - i)`` is a larger
     count or, for the same count, an earlier day.
     """
-    placed = daily.withColumn("w", tumbling("day", days, offset_days))
-    place = F.expr(f"(unix_millis(day) - unix_millis(w.start)) div {DAY_MS}")
+    placed = daily.withColumn("w", grid_start("day", days, offset_days))
+    place = F.expr(f"(unix_millis(day) - w) div {DAY_MS}")
     packed = F.max(F.col("failures") * days + (F.lit(days - 1) - place)).alias("packed")
-    day_ms = start_ms("w") + (F.lit(days - 1) - F.col("packed") % days) * DAY_MS
+    day_ms = F.col("w") + (F.lit(days - 1) - F.col("packed") % days) * DAY_MS
     return (
         placed.groupBy("w", key)
         .agg(packed)
         .select(
-            start_ms("w").alias("ts"),
+            F.col("w").alias("ts"),
             key,
             F.timestamp_millis(day_ms).alias("day"),
             F.expr(f"packed div {days}").alias("failures"),
@@ -67,7 +65,7 @@ def failed_disks(df: DataFrame, vault_days: DataFrame, key: str = "vault_id", ts
     ``vault_days`` should be settled: the planner then broadcasts it if it is small and else
     shuffles both sides, where adaptive execution splits a vault that holds much of the data.
     """
-    reports = failing(df, flag, ts).withColumn("day", tumbling(ts, 1)["start"])
+    reports = failing(df, flag, ts).withColumn("day", F.timestamp_millis(grid_start(ts, 1)))
     return reports.withColumnRenamed(ts, "reported").join(
         vault_days, (reports[key] == vault_days[key]) & (reports["day"] == vault_days["day"])
     ).drop(reports[key], reports["day"])

@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vaultwatch.functions.eventtime import tumbling, with_event_time
+from vaultwatch.functions.eventtime import DAY_MS, grid_start, with_event_time
 from vaultwatch.functions.telemetry import disk_label
 from vaultwatch.operators import moments, ranking
 from vaultwatch.schemas import QUERY_RESULTS, WINDOW_DAYS, result_topic, windows_for
@@ -79,6 +79,5 @@ def run_batch(query: str, windows: str | list[str], events: DataFrame, out_dir:
 
 def first_part(df: DataFrame, days: int, split: int) -> tuple[DataFrame, DataFrame]:
     """Cut every window of ``days`` after ``split`` days: the events before and from there."""
-    place = F.expr("unix_millis(ts)") - F.unix_millis(tumbling("ts", days)["start"])
-    early = place < split * ranking.DAY_MS
+    early = F.unix_millis("ts") - grid_start("ts", days) < split * DAY_MS
     return df.filter(early), df.filter(~early)
