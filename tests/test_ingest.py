@@ -1,5 +1,6 @@
 import csv
 import json
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,6 +9,7 @@ from helpers import plan_of
 from vaultwatch.functions.telemetry import scaled
 from vaultwatch.schemas import EVENT_SCHEMA, RAW_POSITIONS
 from vaultwatch.sources import raw, topics
+from vaultwatch.streaming import jobs
 
 GOOD = {0: "2023-04-01T00:00:00.000000", 1: "S1", 2: "M", 3: "0", 4: "1000", 12: "5.5", 25: "21.5"}
 
@@ -96,6 +98,17 @@ def test_land_splits_in_one_pass(spark, csv_path, tmp_path):
     assert {"c0": "2023-04-01", "reason": "date"}.items() <= next(r for r in rejects if r["c1"] == "r-date").items()
 
 
+def test_raw_rows_land_as_they_arrive(spark, csv_path, tmp_path):
+    out, source = str(tmp_path / "landed"), tmp_path / "in"
+    source.mkdir()
+    for i in range(2):
+        shutil.copy(csv_path, source / f"{i}.csv")
+        session = jobs.streaming_session(spark, 2)
+        jobs.start_landing(raw.stream_raw(session, str(source)), out, str(tmp_path / "c"), once=True).awaitTermination()
+    landed = spark.read.json(out).groupBy("status").count().collect()
+    assert {r.status: r["count"] for r in landed} == {"event": 10, "no_temperature": 2, "reject": 12}
+
+
 def test_raw_width_is_checked():
     with pytest.raises(ValueError):
         raw.raw_schema(25)

@@ -61,8 +61,7 @@ def test_records_are_routed_to_the_files_of_their_topics(spark, tmp_path):
         topics.encode(declared, RESULT_TOPICS[topic]).withColumn("topic", F.lit(topic)).write.mode("append").parquet(f"{home}/records")
     stream = jobs.streaming_session(spark, 2).readStream.schema("value string, topic string").parquet(f"{home}/records")
     for _ in range(2):
-        writer = stream.writeStream.foreachBatch(lambda b, i: results.route_results(b, i, f"{home}/out", list(rows)))
-        writer.option("checkpointLocation", f"{home}/c").trigger(availableNow=True).start().awaitTermination()
+        jobs.start_routing(stream, f"{home}/out", list(rows), f"{home}/c", once=True).awaitTermination()
     for topic, result in rows.items():
         want = result_rows(topic.split("_")[0], result).collect()
         assert sorted(map(str, results.read_result(spark, f"{home}/out", topic).collect())) == sorted(map(str, want))

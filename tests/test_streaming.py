@@ -161,6 +161,30 @@ def test_all_windows_run_side_by_side(spark, busy, tmp_path):
     assert log.metrics(spark).count() == 0
 
 
+class Recorder:
+    """Stands in for a connector that is not on the class path: keeps what a Kafka sink would be given."""
+
+    def __init__(self):
+        self.started = []
+
+    def append(self, rows, path, checkpoint, fmt, once, **options):
+        self.started.append((rows.schema.fieldNames(), path, fmt, options["topic"]))
+
+    def ranking(self, best, finish, path, checkpoint, fmt, once, **options):
+        ranked = best.sparkSession.createDataFrame([], best.schema).withColumn("rk", F.lit(1))
+        self.append(finish(ranked), path, checkpoint, fmt, once, **options)
+
+
+def test_results_for_kafka_are_json_records_per_window(spark, topic, tmp_path, monkeypatch):
+    topic.add([event("04-01")])
+    seen = Recorder()
+    monkeypatch.setattr(jobs, "start_append", seen.append)
+    monkeypatch.setattr(jobs, "start_ranking", seen.ranking)
+    for query in ("query1", "query2"):
+        jobs.run_stream(query, "all_three", topic.stream(), None, str(tmp_path), kafka="broker:9092")
+    assert seen.started == [(["value"], None, "kafka", f"query{q}_{w}_results") for q in (1, 2) for w in ("1d", "3d", "all")]
+
+
 def test_listener_collects_progress(spark, topic, tmp_path):
     topic.add([event("04-01")]).add([event("04-02")])
     stream = topic.stream()

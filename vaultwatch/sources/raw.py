@@ -89,26 +89,26 @@ def rejected_rows(parsed: DataFrame) -> DataFrame:
     return parsed.filter(F.col("status") == REJECT).drop("status")
 
 
+def landing(raw: DataFrame) -> DataFrame:
+    """Event fields for sound rows, raw cells and reason for rejects, and the ``status`` to part them by."""
+    cells = raw.columns
+    parsed = parse_raw(raw, keep=tuple(cells))
+    sound, rejected = F.col("status") != REJECT, F.col("status") == REJECT
+    return parsed.select(
+        "status",
+        *[F.when(sound, F.col(name)).alias(name) for name in EVENT_FIELDS],
+        F.col("reason"),
+        *[F.when(rejected, F.col(name)).alias(name) for name in cells],
+    )
+
+
 def land(raw: DataFrame, path: str) -> None:
     """One pass over the CSV into JSON lines, a folder per status.
 
     ``{path}/status=event`` is a file topic of clean events; ``{path}/status=reject`` holds the raw
     cells of each rejected row with the reason.
     """
-    cells = [c for c in raw.columns]
-    parsed = parse_raw(raw, keep=tuple(cells))
-    sound, rejected = F.col("status") != REJECT, F.col("status") == REJECT
-    (
-        parsed.select(
-            "status",
-            *[F.when(sound, F.col(name)).alias(name) for name in EVENT_FIELDS],
-            F.col("reason"),
-            *[F.when(rejected, F.col(name)).alias(name) for name in cells],
-        )
-        .write.mode("overwrite")
-        .partitionBy("status")
-        .json(path)
-    )
+    landing(raw).write.mode("overwrite").partitionBy("status").json(path)
 
 
 def closing_event(parsed: DataFrame, seq: str, days: int = 7) -> DataFrame:

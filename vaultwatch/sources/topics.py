@@ -51,6 +51,12 @@ def kafka_events(spark: SparkSession, servers: str, topic: str = EVENT_TOPIC, st
     return decode(records, EVENT_SCHEMA)
 
 
+def kafka_records(spark: SparkSession, servers: str, names: list[str], start: str = "earliest") -> DataFrame:
+    """Records of several topics as (topic, value)."""
+    records = spark.readStream.format("kafka").options(**kafka_reader_options(servers, names, start)).load()
+    return records.select("topic", F.col("value").cast("string").alias("value"))
+
+
 def file_events(
     spark: SparkSession,
     path: str,

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from vaultwatch.functions.eventtime import monotonous, pin_utc, start_ms
 from vaultwatch.operators import moments, ranking
 from vaultwatch.plans.batch import list_order, prepare, result_rows
-from vaultwatch.schemas import WINDOW_DAYS, result_topic, windows_for
-from vaultwatch.sources.results import result_path
+from vaultwatch.schemas import QUERY_RESULTS, WINDOW_DAYS, result_topic, windows_for
+from vaultwatch.sources.raw import landing
+from vaultwatch.sources.results import result_path, route_results
+from vaultwatch.sources.topics import encode, kafka_writer_options
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -53,14 +55,23 @@ def best_day_stream(events: DataFrame, days: int, chunk: Column | None = None) -
     )
 
 
-def start_append(rows: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", once: bool = False, **options) -> StreamingQuery:
-    """Append closed windows to files, exactly once."""
-    writer = rows.writeStream.outputMode("append").format(fmt).options(**options)
+def _start(writer: DataStreamWriter, checkpoint: str, once: bool, path: str | None = None) -> StreamingQuery:
     writer = writer.option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if once else writer).start(path)
 
 
-def start_ranking(best: DataFrame, finish, path: str, checkpoint: str, fmt: str = "parquet", once: bool = False, **options) -> StreamingQuery:
+def start_append(rows: DataFrame, path: str | None, checkpoint: str, fmt: str = "parquet", once: bool = False, **options) -> StreamingQuery:
+    """Append rows, for windowed results those of closed windows. File sinks take each row exactly once."""
+    return _start(rows.writeStream.outputMode("append").format(fmt).options(**options), checkpoint, once, path)
+
+
+def start_landing(raw_rows: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Ingest raw CSV as it arrives, into a folder per status as :func:`vaultwatch.sources.raw.land` does."""
+    writer = landing(raw_rows).writeStream.outputMode("append").format("json").partitionBy("status")
+    return _start(writer, checkpoint, once, path)
+
+
+def start_ranking(best: DataFrame, finish, path: str | None, checkpoint: str, fmt: str = "parquet", once: bool = False, **options) -> StreamingQuery:
     """Rank each closed window and write it.
 
     ``row_number`` is a batch operator, so it runs on the closed windows of each batch, which are
@@ -72,32 +83,52 @@ def start_ranking(best: DataFrame, finish, path: str, checkpoint: str, fmt: str
         rows = finish(ranking.top_vaults(batch)).persist()
         try:
             if not rows.isEmpty():
-                rows.write.mode("overwrite").format(fmt).options(**options).save(f"{path}/batch={batch_id}")
+                writer = rows.write.mode("overwrite" if path else "append").format(fmt).options(**options)
+                writer.save(f"{path}/batch={batch_id}" if path else None)
         finally:
             rows.unpersist()
 
-    writer = best.writeStream.outputMode("append").foreachBatch(write).option("checkpointLocation", checkpoint)
-    return (writer.trigger(availableNow=True) if once else writer).start()
+    return _start(best.writeStream.outputMode("append").foreachBatch(write), checkpoint, once)
+
 
+def start_routing(records: DataFrame, out_dir: str, topics: list[str], checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Write (topic, value) records to one set of CSV files per topic."""
+    writer = records.writeStream.foreachBatch(lambda batch, i: route_results(batch, i, out_dir, topics))
+    return _start(writer, checkpoint, once)
 
-def run_stream(query: str, windows: str | list[str], events: DataFrame, out_dir: str, checkpoints: str, once: bool = False) -> list[StreamingQuery]:
-    """Start a query for the chosen windows over one event stream, with CSV results.
 
-    Every window is a query with a checkpoint of its own, so they fail and restart independently.
-    With ``once`` they read what is there and stop.
+def run_stream(
+    query: str,
+    windows: str | list[str],
+    events: DataFrame,
+    out_dir: str | None,
+    checkpoints: str,
+    once: bool = False,
+    kafka: str | None = None,
+) -> list[StreamingQuery]:
+    """Start a query for the chosen windows over one event stream.
+
+    Results go to CSV files below ``out_dir``, or with ``kafka`` (the servers) to a topic per window
+    as JSON records. Every window is a query with a checkpoint of its own, so they fail and restart
+    independently. With ``once`` they read what is there and stop.
     """
     started = []
     for name in windows_for(windows):
         topic, days = result_topic(query, name), WINDOW_DAYS[name]
-        path, checkpoint = result_path(out_dir, topic), f"{checkpoints.rstrip('/')}/{topic}"
+        checkpoint = f"{checkpoints.rstrip('/')}/{topic}"
+        if kafka:
+            path, fmt, options = None, "kafka", kafka_writer_options(kafka, topic)
+        else:
+            path, fmt, options = result_path(out_dir, topic), "csv", {"header": "true"}
+
+        def finish(rows: DataFrame) -> DataFrame:
+            rows = result_rows(query, rows)
+            return encode(rows, QUERY_RESULTS[query]) if kafka else rows
+
         if query == "query1":
-            rows = result_rows(query, temperature_stream(events, days))
-            started.append(start_append(rows, path, checkpoint, "csv", once, header=True))
+            started.append(start_append(finish(temperature_stream(events, days)), path, checkpoint, fmt, once, **options))
         else:
-            best = best_day_stream(events, days)
-            started.append(
-                start_ranking(best, lambda top: result_rows("query2", top), path, checkpoint, "csv", once, header=True)
-            )
+            started.append(start_ranking(best_day_stream(events, days), finish, path, checkpoint, fmt, once, **options))
     return started
 
 
