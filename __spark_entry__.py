@@ -6,6 +6,7 @@ All of them read the whole ``events`` table, seen as drive telemetry: users stan
 
 from __future__ import annotations
 
+import importlib.util
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -283,7 +284,21 @@ def _stream_metrics(spark, d):
     return found.agg(F.sum("input_rows").alias("input_rows"), F.sum("rows_dropped").alias("rows_dropped"))
 
 
+def _llm_modules() -> list:
+    """The modules that add queries on training data, where they are part of the installation."""
+    names = ["vaultwatch.llm.queries", "corpus_pipeline"]
+    there = importlib.util.find_spec("vaultwatch.llm") and all(importlib.util.find_spec(name) for name in names)
+    return [importlib.import_module(name) for name in names] if there else []
+
+
 def queries() -> dict[str, Query]:
+    found = _telemetry_queries()
+    for module in _llm_modules():
+        found |= module.queries()
+    return found
+
+
+def _telemetry_queries() -> dict[str, Query]:
     found: dict[str, Query] = {}
     for window in WINDOW_DAYS:
         found[f"q1_{window}"] = _q1(window)
@@ -408,6 +423,13 @@ _RAW_SQL = """
 
 
 def oracle_sql() -> dict[str, str]:
+    found = _telemetry_sql()
+    for module in _llm_modules():
+        found |= module.oracle_sql()
+    return found
+
+
+def _telemetry_sql() -> dict[str, str]:
     found: dict[str, str] = {}
     for window, days in WINDOW_DAYS.items():
         found[f"q1_{window}"] = _q1_sql(days)

@@ -10,7 +10,7 @@ import pytest
 import __spark_entry__ as driver
 from helpers import SF001, plan_of
 
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+QUERIES, SQL = driver._telemetry_queries(), driver._telemetry_sql()
 
 
 @pytest.fixture(scope="module")
@@ -42,6 +42,8 @@ def test_query_equals_sql(spark, oracle, name):
 
 def test_every_query_has_sql():
     assert QUERIES.keys() == SQL.keys()
+    assert QUERIES.keys() <= driver.queries().keys()
+    assert SQL.keys() <= driver.oracle_sql().keys() <= driver.queries().keys()
 
 
 def test_entry(spark):
