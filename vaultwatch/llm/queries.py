@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultwatch.llm import bpe, sharding, token_file
+from vaultwatch.llm import bpe, language, minhash_dedup, sharding, token_file, warc
 from vaultwatch.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,10 +23,25 @@ def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash_dedup.link(table(spark, sf_dir, "documents"), width=2)
+
+
+def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.roundtrip(table(spark, sf_dir, "pages"))
+
+
 def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
 
+def _op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fold = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5
+    docs = table(spark, sf_dir, "documents").withColumn("held_out", F.coalesce(fold == 0, F.lit(False)))
+    model = language.learn(docs.filter(fold != 0))
+    return language.predict(docs, model, keep=("doc_id", "held_out"))
+
+
 def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.roundtrip(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS), END_ID)
 
@@ -34,10 +49,22 @@ def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_shards": _op1,
+        "op4_minhash": _op4,
+        "op5_warc": _op5,
         "op7_byte_bpe": _op7,
+        "op8_language": _op8,
         "op9_token_file": _op9,
     }
 
 
+_OP5_SQL = """
+    WITH payloads AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+    marked AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS largest FROM payloads)
+    SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+           CASE WHEN strlen(html) >= 1000 AND page_id <> largest THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN strlen(html) >= 1000 AND page_id <> largest THEN largest END AS refers_to
+    FROM marked"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_warc": _OP5_SQL}
