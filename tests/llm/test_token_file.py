@@ -40,16 +40,19 @@ def test_boundaries(n, step):
     assert bits <= n * (3 + np.log2(max(2, values[-1] / n))) + 16
 
 
-def test_file_in_memory():
+@pytest.mark.parametrize("width", [2, 4])
+def test_file_in_memory(width):
     rnd = random.Random(1)
-    docs = [np.array([rnd.randrange(60_000) for _ in range(rnd.randrange(1, 9))], "<u4") for _ in range(700)]
+    docs = [np.array([rnd.randrange(1 << 8 * width) for _ in range(rnd.randrange(1, 9))], "<u4") for _ in range(700)]
     out = io.BytesIO()
-    token_file.write_file(out, [d.tobytes() for d in docs], np.array([len(d) for d in docs]))
-    out.seek(0)
+    writer = token_file.Writer(out, width)
+    for start in range(0, 700, 100):
+        some = docs[start : start + 100]
+        writer.add(np.concatenate(some), np.array([len(d) for d in some]))
+    assert writer.close() == (700, sum(map(len, docs)))
     tokens = token_file.TokenFile(out)
     at = tokens.bounds(300, 400)
     assert [tokens.read(a, b).tolist() for a, b in zip(at, at[1:])] == [d.tolist() for d in docs[300:400]]
-    assert tokens.ids == sum(map(len, docs))
 
 
 def test_same_ids_as_the_library():

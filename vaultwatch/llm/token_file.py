@@ -1,7 +1,7 @@
 """Token ids in binary files: one array of ids, document boundaries in Elias-Fano code.
 
-A file holds, little-endian: the magic, the counts of documents and ids, the number of low bits, the last
-boundary, then the low bits of the boundaries, their high bits in unary, samples for select, and the ids.
+A file holds, little-endian: the ids, of two bytes where all of the vocabulary fit and else of four; the low bits
+of the boundaries, their high bits in unary, samples for select; and a trailer with the counts and sizes of these.
 The boundary after document i has its low bits in a packed array and its high part as the place of the i-th
 one bit less i, so n boundaries up to m take about n * (2 + log2(m / n)) bits, and any of them is found
 through the sample before it without reading the rest. There is no table of 64-bit offsets.
@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import struct
 import zlib
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import chain
 
@@ -26,11 +26,10 @@ from vaultwatch.llm.common import LOWER, SPACES, hash_spans, pieces, settle, tex
 from vaultwatch.llm.shared_files import attempt_name, new_folder, open_folder
 
 MAGIC = b"TOKEF001"
-HEADER = struct.Struct("<8sQQQQQQ")
+TRAILER = struct.Struct("<QQQQQQQ8s")
 SAMPLE = 256  # every so many one bits, the byte where the count goes on
 # Distinct chunks that a worker remembers; more are encoded again, with the same ids.
 REMEMBERED = 1_500_000
-IDS_AT_ONCE = 1 << 22
 
 
 @dataclass
@@ -73,15 +72,25 @@ class EliasFano:
         return (high << self.low_bits) | (run.astype(np.int64) << np.arange(self.low_bits)).sum(axis=1)
 
 
-def write_file(out, ids: Iterable[bytes], sizes: np.ndarray) -> None:
-    """``ids``: little-endian unsigned 32-bit ids, in pieces; ``sizes``: ids of each document."""
-    ends = np.cumsum(sizes, dtype=np.int64)
-    coded = EliasFano.build(ends)
-    out.write(HEADER.pack(MAGIC, len(sizes), int(ends[-1]) if len(ends) else 0, coded.low_bits, len(coded.low), len(coded.high), len(coded.samples)))
-    for block in (coded.low, coded.high, coded.samples):
-        out.write(block.tobytes())
-    for chunk in ids:
-        out.write(chunk)
+class Writer:
+    """Takes ids as they come and ends the file with the boundaries."""
+
+    def __init__(self, out, width: int):
+        self.out, self.kind, self.sizes = out, np.dtype(f"<u{width}"), []
+
+    def add(self, ids: np.ndarray, sizes: np.ndarray) -> None:
+        self.out.write(ids.astype(self.kind).tobytes())
+        self.sizes.append(sizes)
+
+    def close(self) -> tuple[int, int]:
+        """The numbers of documents and ids."""
+        sizes = np.concatenate(self.sizes) if self.sizes else np.empty(0, np.int64)
+        ends = np.cumsum(sizes, dtype=np.int64)
+        coded, total = EliasFano.build(ends), int(ends[-1]) if len(ends) else 0
+        for block in (coded.low, coded.high, coded.samples):
+            self.out.write(block.tobytes())
+        self.out.write(TRAILER.pack(len(sizes), total, self.kind.itemsize, coded.low_bits, len(coded.low), len(coded.high), len(coded.samples), MAGIC))
+        return len(sizes), total
 
 
 class TokenFile:
@@ -89,12 +98,14 @@ class TokenFile:
 
     def __init__(self, source):
         self.source = source
-        magic, self.documents, self.ids, bits, low, high, samples = HEADER.unpack(source.read(HEADER.size))
+        end = source.seek(0, 2) - TRAILER.size
+        source.seek(end)
+        self.documents, self.ids, self.width, bits, low, high, samples, magic = TRAILER.unpack(source.read(TRAILER.size))
         if magic != MAGIC:
             raise ValueError("not a token file")
+        source.seek(self.ids * self.width)
         blocks = [np.frombuffer(source.read(n), kind) for n, kind in ((low, np.uint8), (high, np.uint8), (samples * 4, "<u4"))]
         self.ends = EliasFano(self.documents, bits, *blocks)
-        self.body = HEADER.size + low + high + samples * 4
 
     def bounds(self, first: int, last: int) -> np.ndarray:
         """Where documents ``first`` to ``last`` - 1 begin, and the end of the last."""
@@ -102,8 +113,8 @@ class TokenFile:
         return np.concatenate([head, self.ends.select(first, last)])
 
     def read(self, start: int, end: int) -> np.ndarray:
-        self.source.seek(self.body + 4 * start)
-        return np.frombuffer(self.source.read(4 * (end - start)), "<u4")
+        self.source.seek(self.width * start)
+        return np.frombuffer(self.source.read(self.width * (end - start)), f"<u{self.width}").astype("<u4")
 
 
 # Kinds of bytes: white space; letters; digits, signs and controls; the apostrophe and all bytes beyond ASCII.
@@ -143,6 +154,7 @@ class WordEncoder:
     def __init__(self, path: str, end_id: int):
         self.tool = Tokenizer.from_file(path)
         self.end_id = end_id
+        self.width = 2 if max(end_id, self.tool.get_vocab_size() - 1) < 1 << 16 else 4
         self.special = [t.content.encode() for t in self.tool.get_added_tokens_decoder().values()]
         self.forget()
 
@@ -221,24 +233,20 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, key: str = "doc_
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys: list[pa.Array] = []
-        sizes: list[np.ndarray] = []
         part = TaskContext.get().partitionId()
         files, home = open_folder(folder)
-        name = attempt_name(part, "")
-        with files.open_output_stream(f"{home}/{name}.tmp") as body:
-            for batch in batches:
-                for piece in pieces(batch, "text"):
-                    keys.append(piece.column("key"))
-                    ids, counts = word_encoder(path, end_id).encode(piece.column("text"))
-                    sizes.append(counts)
-                    body.write(ids.tobytes())
-        if sizes:
-            with files.open_output_stream(f"{home}/{name}.ids") as out, files.open_input_stream(f"{home}/{name}.tmp") as body:
-                all_sizes = np.concatenate(sizes)
-                write_file(out, iter(lambda: body.read(4 * IDS_AT_ONCE), b""), all_sizes)
-            row = {"part": [part], "file": [f"{name}.ids"], "keys": [pa.concat_arrays(keys).to_pylist()], "documents": [len(all_sizes)], "ids": [int(all_sizes.sum())]}
+        name, tool = attempt_name(part, ".ids"), word_encoder(path, end_id)
+        writer = None
+        for batch in batches:
+            for piece in pieces(batch, "text"):
+                writer = writer or Writer(files.open_output_stream(f"{home}/{name}", compression=None), tool.width)
+                keys.append(piece.column("key"))
+                writer.add(*tool.encode(piece.column("text")))
+        if writer:
+            documents, ids = writer.close()
+            writer.out.close()
+            row = {"part": [part], "file": [name], "keys": [pa.concat_arrays(keys).to_pylist()], "documents": [documents], "ids": [ids]}
             yield pa.record_batch([pa.array(v, t) for v, t in zip(row.values(), (pa.int64(), pa.string(), pa.list_(keys[0].type), pa.int64(), pa.int64()))], names=list(row))
-        files.delete_file(f"{home}/{name}.tmp")
 
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
     ordered = rows.repartitionByRange("key").sortWithinPartitions("key")
