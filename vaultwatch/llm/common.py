@@ -96,9 +96,12 @@ def hash_spans(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.n
     return mix((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(U64))
 
 
-def words(raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word (A-Z lower-cased, parted by ASCII white space), and the text it is of."""
-    solid = ~IS_SPACE[raw]
+def words(raw: np.ndarray, at: np.ndarray, word_bytes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word (A-Z lower-cased), and the text it is of.
+
+    Words are parted by ASCII white space, or made of the bytes marked in ``word_bytes``.
+    """
+    solid = ~IS_SPACE[raw] if word_bytes is None else word_bytes[raw]
     begins, ends = solid.copy(), solid.copy()
     cut = ~(solid[1:] & solid[:-1])
     inner = at[1:-1][(at[1:-1] > 0) & (at[1:-1] < len(raw))]

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultwatch.llm import bpe, language, minhash_dedup, sharding, token_file, warc
+from vaultwatch.llm import bpe, decontaminate, language, minhash_dedup, sharding, token_file, warc
 from vaultwatch.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,10 @@ def _op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(table(spark, sf_dir, "documents"), SHARDS)
 
 
+def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.link(table(spark, sf_dir, "documents"), width=2)
 
@@ -49,6 +53,7 @@ def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Query]:
     return {
         "op1_shards": _op1,
+        "op2_decontaminate": _op2,
         "op4_minhash": _op4,
         "op5_warc": _op5,
         "op7_byte_bpe": _op7,
