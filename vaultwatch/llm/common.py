@@ -88,11 +88,18 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"], _POWERS["down"]
 
 
-def hash_spans(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of byte values: a polynomial in the step, by way of one running sum."""
+def hash_table(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Running sums of a polynomial over byte values, and the factors that take a span's begin out of it:
+    ``(sums[end] - sums[begin]) * factors[begin]`` depends on the bytes of the span alone."""
     up, down = _powers(len(values) + 1)
     sums = np.zeros(len(values) + 1, U64)
     np.cumsum(_BYTE_VALUE[values] * up[: len(values)], out=sums[1:])
+    return sums, down
+
+
+def hash_spans(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of each span of byte values."""
+    sums, down = hash_table(values)
     return mix((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(U64))
 
 

@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultwatch.llm import bpe, decontaminate, language, minhash_dedup, sharding, token_file, warc
+from vaultwatch.llm import bpe, decontaminate, language, minhash_dedup, sharding, substring_dedup, token_file, warc
 from vaultwatch.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,6 +50,10 @@ def _op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file.roundtrip(table(spark, sf_dir, "documents"), public_tokenizers.path(WORDS), END_ID)
 
 
+def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removed(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_shards": _op1,
@@ -59,6 +63,7 @@ def queries() -> dict[str, Query]:
         "op7_byte_bpe": _op7,
         "op8_language": _op8,
         "op9_token_file": _op9,
+        "op10_suffix_arrays": _op10,
     }
 
 
