@@ -70,6 +70,9 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 _STEP = U64(0x9E3779B97F4A7C15)
 _BYTE_VALUE = mix(np.arange(1, 257, dtype=U64) * _STEP)
+# Bytes of words without signs: letters, digits and what is beyond ASCII.
+ALNUM = np.zeros(256, bool)
+ALNUM[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = True
 IS_SPACE = np.isin(np.arange(256), SPACES)
 LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
@@ -103,8 +106,8 @@ def hash_spans(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.n
     return mix((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(U64))
 
 
-def words(raw: np.ndarray, at: np.ndarray, word_bytes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word (A-Z lower-cased), and the text it is of.
+def words(raw: np.ndarray, at: np.ndarray, word_bytes: np.ndarray | None = None, upto: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word (A-Z lower-cased), or of its first ``upto`` bytes, and the text it is of.
 
     Words are parted by ASCII white space, or made of the bytes marked in ``word_bytes``.
     """
@@ -118,7 +121,8 @@ def words(raw: np.ndarray, at: np.ndarray, word_bytes: np.ndarray | None = None)
     starts = np.flatnonzero(begins)
     if not len(starts):
         return np.empty(0, U64), np.empty(0, np.int64)
-    h = hash_spans(LOWER[raw], starts, np.flatnonzero(ends) + 1)
+    stops = np.flatnonzero(ends) + 1
+    h = hash_spans(LOWER[raw], starts, stops if upto is None else np.minimum(stops, starts + upto))
     return h, np.searchsorted(at, starts, side="right") - 1
 
 
@@ -157,6 +161,35 @@ def signed(values: np.ndarray) -> pa.Array:
     return pa.array(np.asarray(values, U64).view(np.int64))
 
 
+FILTER_BITS = 23
+
+
+def bit_filter(keys: DataFrame) -> np.ndarray:
+    """A bit table of fixed size with a bit for each value of the column ``h`` (long, evenly spread).
+
+    What has no bit is surely not among the keys; a join decides on the rest. It saves shuffles of what is known
+    to be of no use, the less the more keys there are, and never changes a result.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.zeros(1 << FILTER_BITS, bool)
+        for batch in batches:
+            bits[batch.column("h").to_numpy().view(U64) >> U64(64 - FILTER_BITS)] = True
+        packed = np.packbits(bits)
+        used = np.flatnonzero(packed)
+        yield pa.record_batch({"at": pa.array(used), "bits": pa.array(packed[used].astype(np.int32))})
+
+    found = keys.select("h").mapInArrow(run, "at long, bits int").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    table = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
+    table[found["at"].to_numpy()] = found["bits"].to_numpy()
+    return table
+
+
+def may_hold(table: np.ndarray, h: np.ndarray) -> np.ndarray:
+    at = (h.view(U64) >> U64(64 - FILTER_BITS)).astype(np.int64)
+    return table[at >> 3] >> (7 - (at & 7)) & 1 > 0
+
+
 def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The links of a task reduced to one link from each node to the smallest node it reaches there."""
     for batch in batches:

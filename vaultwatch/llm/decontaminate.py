@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultwatch.llm.common import U64, mix, pieces, settle, text_bytes, words
+from vaultwatch.llm.common import ALNUM, U64, mix, pieces, settle, text_bytes, words
 
 K1, B = 1.2, 0.75
 BLOCK = 4
@@ -30,14 +30,12 @@ SCORE, QUESTION, ANSWER = 0.6, 0.5, 0.5
 WIDTH = 5
 # Bytes of item texts in one index; more items make more indexes, each searched with the whole corpus.
 INDEX_BYTES = 16 << 20
-_WORD = np.zeros(256, bool)
-_WORD[[*range(ord("0"), ord("9") + 1), *range(ord("a"), ord("z") + 1), *range(ord("A"), ord("Z") + 1), *range(128, 256)]] = True
 _SENTENCE = regex.compile(r"(?<=[.!?\n])\s*(?=\S)")
 
 
 def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words (letters and digits, lower-cased) of the texts, and the text each is of."""
-    return words(*text_bytes(pc.utf8_lower(column)), _WORD)
+    return words(*text_bytes(pc.utf8_lower(column)), ALNUM)
 
 
 def shingles(h: np.ndarray, width: int = WIDTH) -> np.ndarray:

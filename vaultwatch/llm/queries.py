@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultwatch.llm import bpe, decontaminate, language, minhash_dedup, sharding, substring_dedup, token_file, warc
+from vaultwatch.llm import bpe, decontaminate, embedding_dedup, language, minhash_dedup, quality, sharding, substring_dedup, token_file, warc
 from vaultwatch.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -27,6 +27,10 @@ def _op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def _op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.link(table(spark, sf_dir, "embeddings"), limit=0.93)
+
+
 def _op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash_dedup.link(table(spark, sf_dir, "documents"), width=2)
 
@@ -35,6 +39,12 @@ def _op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.roundtrip(table(spark, sf_dir, "pages"))
 
 
+def _op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.learn(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select("doc_id", "content", "metadata", "score", "kept")
+
+
 def _op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
 
@@ -58,8 +68,10 @@ def queries() -> dict[str, Query]:
     return {
         "op1_shards": _op1,
         "op2_decontaminate": _op2,
+        "op3_pivots": _op3,
         "op4_minhash": _op4,
         "op5_warc": _op5,
+        "op6_quality": _op6,
         "op7_byte_bpe": _op7,
         "op8_language": _op8,
         "op9_token_file": _op9,

@@ -100,9 +100,9 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
         used = np.flatnonzero(bits)
         yield pa.record_batch({"at": pa.array(used), "bits": pa.array(bits[used].astype(np.int32))})
 
+    found = keys.select("digest").mapInArrow(run, "at long, bits int").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
     table = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
-    for row in keys.select("digest").mapInArrow(run, "at long, bits int").groupBy("at").agg(F.bit_or("bits").alias("bits")).collect():
-        table[row["at"]] = row["bits"]
+    table[found["at"].to_numpy()] = found["bits"].to_numpy()
     return table
 
 
