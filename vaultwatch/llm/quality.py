@@ -217,3 +217,14 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
 
     schema = ", ".join(f"`{name}` {kind}" for name, kind in docs.select(*names).dtypes)
     return docs.select(*names).mapInArrow(run, f"{schema}, content double, metadata double, score double, kept boolean")
+
+
+def accept(docs: DataFrame, model: Model | None) -> DataFrame:
+    """The rows that the model takes for good, with all their columns, whatever their names; without a model all rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for rows in pieces(batch, "text"):
+                yield rows.filter(pa.array(model.score(rows)[2] >= THRESHOLD))
+
+    return docs.mapInArrow(run, docs.schema) if model else docs
