@@ -85,7 +85,7 @@ def test_one_large_group_of_copies(spark):
 
 
 def test_estimate_of_whole_sets_is_exact():
-    a, b = np.array([[1, 2, 3, 2**64 - 1]], np.uint64), np.array([[2, 3, 5, 9]], np.uint64)
+    a, b = np.array([[1, 2, 3, 2**32 - 1]], np.uint32), np.array([[2, 3, 5, 9]], np.uint32)
     assert near.estimate(a, b, np.array([3]), np.array([4]), 4).tolist() == [2 / 5]
 
 

@@ -85,12 +85,17 @@ def test_suffix_array_and_prefixes(seed):
     raw = rng.integers(97, 99 + seed % 2, int(sizes.sum())).astype(np.uint8)
     raw[: sizes[0]] = 97
     whole, length = raw.tobytes(), 24
-    order, group = sub.suffix_array(raw, ends, length)
+    gram = [4, 7, 12, 24, 9, 5][seed]
+    order, group, depths = sub.suffix_array(raw, ends, length, gram)
     starts = [i for i in range(len(raw)) if i + length <= ends[i]]
-    assert sorted(order.tolist()) == starts
+    assert sorted(order.tolist()) == starts and depths[-1] == length
     texts = [whole[i : i + length] for i in order]
-    assert texts == sorted(texts)
-    prefixes = sub.common_prefixes(raw, order, length)
+    runs = [t for i, t in enumerate(texts) if not i or t != texts[i - 1]]
+    assert len(runs) == len(set(runs))  # equal strings stand together
+    for depth in depths:
+        heads = [t[:depth] for t in texts]
+        assert len({h for i, h in enumerate(heads) if not i or h != heads[i - 1]}) == sum(1 for i, h in enumerate(heads) if not i or h != heads[i - 1])
+    prefixes = sub.common_prefixes(raw, order, length, depths)
     for k in range(1, len(order)):
         common = next((j for j in range(length) if texts[k][j] != texts[k - 1][j]), length)
         assert prefixes[k] == common

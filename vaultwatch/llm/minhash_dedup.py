@@ -24,11 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultwatch.llm.common import U64, binary_column, components, mix, pieces, settle, shingle_sets, signed, text_bytes
+from vaultwatch.llm.common import U64, binary_column, bit_filter, components, may_hold, mix, pieces, settle, shingle_sets, signed, text_bytes
 
 K = 64
 MISS = 1e-7
-COUNT_BITS = 16
+COUNT_BITS = 20
 _SALT = (U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB))
 
 
@@ -50,17 +50,18 @@ def prefix(n: int, k: int, percent: int) -> int:
 
 
 def sketches(docs: DataFrame, width: int, k: int, key: str, text: str) -> DataFrame:
-    """Per row: key, n (size of the set), s1 and s2 (which equal sets share), sketch (k smallest hashes)."""
+    """Per row: key, n (size of the set), s1 and s2 (which equal sets share), sketch (k smallest hashes)
+    and their upper halves, for estimates."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
                 sets = list(shingle_sets(*text_bytes(part.column("text")), width))
                 sums = [signed([mix(s ^ salt).sum() if len(s) else U64(0) for s in sets]) for salt in _SALT]
-                yield pa.record_batch([part.column("key"), pa.array([len(s) for s in sets], pa.int64()), *sums, binary_column([s[:k] for s in sets])], names=["key", "n", "s1", "s2", "sketch"])
+                yield pa.record_batch([part.column("key"), pa.array([len(s) for s in sets], pa.int64()), *sums, binary_column([s[:k] for s in sets]), binary_column([(s[:k] >> U64(32)).astype(np.uint32) for s in sets])], names=["key", "n", "s1", "s2", "sketch", "upper"])
 
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
-    return rows.mapInArrow(run, f"key {dict(rows.dtypes)['key']}, n long, s1 long, s2 long, sketch binary")
+    return rows.mapInArrow(run, f"key {dict(rows.dtypes)['key']}, n long, s1 long, s2 long, sketch binary, upper binary")
 
 
 def _values(column: pa.Array) -> list[np.ndarray]:
@@ -78,9 +79,9 @@ def _counts(classes: DataFrame) -> np.ndarray:
         cells = np.flatnonzero(total)
         yield pa.record_batch({"cell": pa.array(cells, pa.int64()), "n": pa.array(total[cells])})
 
-    table = np.zeros(1 << COUNT_BITS, np.int64)
-    for row in classes.select("sketch").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
-        table[row.cell] = row.n
+    found = classes.select("sketch").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    table = np.zeros(1 << COUNT_BITS, np.int32)
+    table[found["cell"].to_numpy()] = np.minimum(found["n"].to_numpy(), 2**31 - 1)
     return table
 
 
@@ -101,9 +102,9 @@ def _postings(classes: DataFrame, k: int, percent: int) -> DataFrame:
 
 
 def _padded(column: pa.Array, k: int) -> np.ndarray:
-    out = np.full((len(column), k), U64(2**64 - 1))
-    for row, value in zip(out, _values(column)):
-        row[: len(value)] = value
+    out = np.full((len(column), k), np.uint32(2**32 - 1))
+    for row, value in zip(out, column.to_pylist()):
+        row[: len(value) // 4] = np.frombuffer(value, np.uint32)
     return out
 
 
@@ -111,7 +112,7 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, k: in
     """The similarity of each row's two padded sketches by the sketch of the union; exact where both are whole sets."""
     both = np.sort(np.concatenate([a, b], axis=1), axis=1)
     again = both[:, 1:] == both[:, :-1]
-    real = both != U64(2**64 - 1)
+    real = both != np.iinfo(both.dtype).max
     new = real.copy()
     new[:, 1:] &= ~again
     limit = np.where((na <= k) & (nb <= k), 2 * k, k)[:, None]
@@ -121,31 +122,37 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, k: in
 
 
 def _estimated(pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that may reach the limit."""
+    """The pairs (a, b) that may reach the limit, with the estimate."""
     least = need(k, percent) / k
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
             found = estimate(_padded(batch.column("sa"), k), _padded(batch.column("sb"), k), na, nb, k)
-            keep = pa.array(found >= np.where((na <= k) & (nb <= k), percent / 100 - 1e-9, least))
-            yield pa.record_batch({"a": batch.column("a").filter(keep), "b": batch.column("b").filter(keep)})
+            # Half a value of slack: the upper halves of two hashes may be equal by chance.
+            keep = pa.array(found >= np.where((na <= k) & (nb <= k), percent / 100, least) - 0.5 / k)
+            yield pa.record_batch({"a": batch.column("a").filter(keep), "b": batch.column("b").filter(keep), "like": pa.array(found).filter(keep)})
 
-    side = classes.select("node", "n", "sketch")
+    side = classes.select("node", "n", "upper")
     joined = pairs.join(side.toDF("a", "na", "sa"), "a").join(side.toDF("b", "nb", "sb"), "b")
-    return joined.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long")
+    return joined.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long, like double")
 
 
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int, key: str, text: str) -> DataFrame:
-    """The pairs whose full sets reach the limit, compared on the texts of the classes' first documents."""
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int, text: str) -> DataFrame:
+    """The pairs whose full sets reach the limit, compared on one text of each class."""
 
-    def check_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:  # a key may have several texts; only that of the class is wanted
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    chosen = settle(classes.join(wanted, "node").select("node", "n", "s1", "s2", F.col("s1").alias("h")), "near-wanted")
+    table = bit_filter(chosen)
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
             for part in pieces(batch, "text"):
-                sets = shingle_sets(*text_bytes(part.column("text")), width)
-                sums = np.array([[mix(s ^ salt).sum() if len(s) else U64(0) for salt in _SALT] for s in sets], U64).view(np.int64)
-                same = (sums[:, 0] == part.column("s1").to_numpy()) & (sums[:, 1] == part.column("s2").to_numpy())
-                yield part.select(["node", "text"]).filter(pa.array(same))
+                sets = list(shingle_sets(*text_bytes(part.column("text")), width))
+                sums = [np.array([mix(s ^ salt).sum() if len(s) else U64(0) for s in sets], U64) for salt in _SALT]
+                maybe = pa.array(may_hold(table, sums[0]))
+                columns = [part.column("text"), pa.array([len(s) for s in sets], pa.int64()), *map(signed, sums)]
+                yield pa.record_batch([c.filter(maybe) for c in columns], names=["text", "n", "s1", "s2"])
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -157,11 +164,9 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
                     keep.append(100 * both >= percent * (len(x) + len(y) - both))
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    chosen = classes.join(wanted, "node").select("node", "first", "s1", "s2")
-    source = docs.select(docs[key].alias("key"), docs[text].alias("text"))
-    found = source.join(chosen, source["key"].eqNullSafe(chosen["first"])).select("node", "text", "s1", "s2")
-    texts = settle(found.mapInArrow(check_text, "node long, text string").dropDuplicates(["node"]), "near-texts")
+    found = docs.select(docs[text].alias("text")).mapInArrow(pick, "text string, n long, s1 long, s2 long")
+    texts = found.join(chosen.drop("h"), ["n", "s1", "s2"]).groupBy("node").agg(F.first("text").alias("text"))
+    texts = settle(texts, "near-texts")
     joined = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
     return joined.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long")
 
@@ -171,6 +176,12 @@ def _near(percent: int):
     return (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
 
 
+def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
+    """The pairs (a, b) of which the ends have different roots."""
+    ends = pairs.join(roots.toDF("a", "ra"), "a", "left").join(roots.toDF("b", "rb"), "b", "left")
+    return ends.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
+
+
 def link(docs: DataFrame, width: int = 5, percent: int = 80, k: int = K, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row: key, n_shingles, component_id (smallest key reachable by links) and kept (key = component_id).
 
@@ -179,7 +190,7 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80, k: int = K, key: st
     never a component's smallest unless there is no other. An empty table gives no rows; other columns are not used.
     """
     rows = settle(sketches(docs, width, k, key, text), "near-sketches")
-    grouped = rows.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("key").alias("first"), F.first("sketch").alias("sketch"))
+    grouped = rows.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("key").alias("first"), F.first("sketch").alias("sketch"), F.first("upper").alias("upper"))
     classes = settle(grouped.withColumn("node", F.monotonically_increasing_id()), "near-classes")
     postings = settle(_postings(classes, k, percent), "near-postings")
     lists = postings.groupBy("value").agg(F.count("*").alias("members"), F.min(F.struct("node", "n")).alias("head")).filter("members > 1")
@@ -187,7 +198,12 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80, k: int = K, key: st
     shared = settle(postings.join(lists, "value").withColumnsRenamed({"node": "b", "n": "nb"}), "near-lists")
     heads = shared.filter((F.col("a") != F.col("b")) & _near(percent)).select("a", "b").distinct()
     first = settle(_estimated(heads, classes, k, percent), "near-pairs")
-    links = settle(_verified(first, classes, docs, width, percent, key, text), "near-links")
+    # Each class first with the partner it is most like; of the others, what that has not brought together.
+    best = first.groupBy("b").agg(F.max_by("a", "like").alias("a")).select("a", "b")
+    links = settle(_verified(best, classes, docs, width, percent, text), "near-links")
+    roots = components(links, "near-components")
+    apart = _across(first, roots).join(best, ["a", "b"], "left_anti")
+    links = links.unionByName(settle(_verified(settle(apart, "near-pairs"), classes, docs, width, percent, text), "near-links"))
     roots = components(links, "near-components")
     # What is left: pairs of one list across components.
     own = roots.select(F.col("node").alias("b"), "root")
@@ -199,7 +215,7 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80, k: int = K, key: st
     across = x.join(y, "value").filter((F.col("ra") < F.col("rb")) & _near(percent))
     pairs = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(heads, ["a", "b"], "left_anti")
     second = settle(_estimated(pairs, classes, k, percent), "near-pairs")
-    more = settle(_verified(second, classes, docs, width, percent, key, text), "near-links")
+    more = settle(_verified(second, classes, docs, width, percent, text), "near-links")
     if not more.isEmpty():
         stars = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
         roots = components(stars.unionByName(more), "near-components")

@@ -6,12 +6,13 @@ Anchors. In every window of ``length`` bytes the ``GRAM`` bytes of the smallest
 depends on the window alone, so equal strings have the same anchor at the same offset. Only anchors found at
 two places matter. Around each, a segment takes in every string that has this anchor.
 
-Segments. Equal segments at two places need no further look: all their strings repeat. An anchor with different
-segments goes to a shard, where each distinct segment stands once.
+Segments. Equal segments at two places need no further look: all their strings repeat. Different segments of an
+anchor can share a string only if they share half of what it has beside the gram, on one side; those that do go
+to a shard, where each distinct segment stands once.
 
 Suffix arrays. A shard sorts the suffixes of its segments by Larsson-Sadakane refinement: groups of suffixes equal
 in their first h bytes are sorted by the groups at distance h, which doubles h; suffixes alone in their group
-are done. Kasai's walk gives the common prefixes of neighbours; a run of neighbours that share ``length`` bytes is
+are done. A symbol is the hash of ``GRAM`` bytes, as any order of symbols brings equal strings together. Kasai's walk gives the common prefixes of neighbours; a run of neighbours that share ``length`` bytes is
 one string at several places.
 
 Merging. An anchor with more segments than a shard takes is split over shards. Each of these hands on its distinct
@@ -25,14 +26,16 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultwatch.llm.common import U64, hash_table, mix, pieces, settle, text_bytes
+from vaultwatch.llm.common import U64, hash_spans, hash_table, mix, pieces, settle, text_bytes
 
 LENGTH = 400
 GRAM = 128
-SHARD = 2048  # distinct segments to a shard, of less than twice ``length`` bytes each
+SHARD = 4096  # distinct segments to a shard, of less than twice ``length`` bytes each
+STEP = 16  # a shard drops segments that have not all but so many bytes of a string in common with another
 FILTER_BITS = 23
 _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
@@ -59,8 +62,10 @@ def _digest(text: bytes) -> bytes:
 
 
 def _scan(docs: DataFrame, length: int, gram: int) -> DataFrame:
-    """Per row: key, digest, n_bytes, sha256 of the text, and of each anchor its fingerprint, its segment's hash
-    and the segment's begin and end."""
+    """Per row: key, digest, n_bytes, sha256 of the text, and of each anchor its fingerprint, its segment's hash, the
+    segment's begin and end, and the hashes of the gram with half of ``length - gram`` bytes more to either side."""
+
+    half = (length - gram) // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -73,19 +78,26 @@ def _scan(docs: DataFrame, length: int, gram: int) -> DataFrame:
                     digests.append(_digest(text))
                     shas.append(hashlib.sha256(text).hexdigest())
                     if end - start < length:
-                        found.append(tuple(np.empty(0, np.int64) for _ in range(4)))
+                        found.append(tuple(np.empty(0, np.int64) for _ in range(7)))
                         continue
                     grams = mix((sums[start + gram : end + 1] - sums[start : end - gram + 1]) * down[start : end - gram + 1])
                     spot = anchors(grams, length, gram)
+
+                    def side(a: np.ndarray) -> np.ndarray:
+                        """Hash of the gram and half of what a string has beside it, from here on; 0 beyond the text."""
+                        fits = (a >= 0) & (a + gram + half <= end - start)
+                        a = np.where(fits, a, 0)
+                        return np.where(fits, mix((sums[start + a + gram + half] - sums[start + a]) * down[start + a]), U64(0)).view(np.int64)
+
                     begin, stop = np.maximum(spot - (length - gram), 0), np.minimum(spot + length, end - start)
                     segment = mix((sums[start + stop] - sums[start + begin]) * down[start + begin]) ^ mix((spot - begin).astype(U64) << U64(32) | (stop - begin).astype(U64))
-                    found.append((grams[spot].view(np.int64), segment.view(np.int64), begin, stop))
+                    found.append((grams[spot].view(np.int64), segment.view(np.int64), begin, stop, spot - begin, side(spot - half), side(spot)))
                 ends = pa.array(np.cumsum([0, *(len(f[0]) for f in found)]), pa.int32())
-                lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([f[i] for f in found]))) for i in range(4)]
-                yield pa.record_batch([part.column("key"), pa.array(digests, pa.binary()), pa.array(np.diff(at)), pa.array(shas, pa.string()), *lists], names=["key", "digest", "n_bytes", "sha", "mark", "segment", "begin", "stop"])
+                lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate([f[i] for f in found]))) for i in range(7)]
+                yield pa.record_batch([part.column("key"), pa.array(digests, pa.binary()), pa.array(np.diff(at)), pa.array(shas, pa.string()), *lists], names=["key", "digest", "n_bytes", "sha", "mark", "segment", "begin", "stop", "spot", "left", "right"])
 
     kind = dict(docs.dtypes)["key"]
-    return docs.mapInArrow(run, f"key {kind}, digest binary, n_bytes long, sha string, mark array<long>, segment array<long>, begin array<long>, stop array<long>")
+    return docs.mapInArrow(run, f"key {kind}, digest binary, n_bytes long, sha string, mark array<long>, segment array<long>, begin array<long>, stop array<long>, spot array<long>, left array<long>, right array<long>")
 
 
 def _filter_of(keys: DataFrame) -> np.ndarray:
@@ -127,53 +139,53 @@ def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "digest binary, text binary")
 
 
-def suffix_array(raw: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """The order of all suffixes with ``length`` bytes left in their segment, by these bytes, and their groups.
+def suffix_array(raw: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
+    """The order of all suffixes with ``length`` bytes left in their segment, their groups, and the depths refined.
 
-    ``ends``: the end of the segment of each place. Equal first bytes make one group; the groups are numbered in
-    their order.
+    ``ends``: the end of the segment of each place. The symbols are the hashes of ``gram`` bytes, in the order of
+    the hashes. Suffixes equal in their first ``length`` bytes make one group; groups are numbered in their order.
     """
-    n = len(raw)
-    h = 8
-    padded = np.append(raw, np.zeros(8, np.uint8)).astype(U64)
-    rank = np.zeros(n, U64)
-    for i in range(8):
-        rank = rank << U64(8) | padded[i : i + n]
+    n, h, depths = len(raw), gram, [gram]
+    sums, down = hash_table(raw)
     valid = np.flatnonzero(np.arange(n) + h <= ends)
+    rank = mix((sums[valid + h] - sums[valid]) * down[valid])
+    place = np.argsort(rank)
+    order, rank = valid[place], rank[place]
+    new = np.append(True, rank[1:] != rank[:-1]) if len(order) else np.empty(0, bool)
     group = np.zeros(n, np.int64)
-    order = valid[np.argsort(rank[valid], kind="stable")]
-    new = np.append(True, rank[order[1:]] != rank[order[:-1]])
-    while True:
+    while len(order):
         # A group's number is the place of its first suffix, so later splits keep the order.
         group[order] = np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))
         if h >= length:
             break
         step = min(h, length - h)
-        keep = order + h + step <= ends[order]
-        order, new = order[keep], np.append(True, np.diff(group[order[keep]]) != 0) if keep.any() else np.empty(0, bool)
+        order = order[order + h + step <= ends[order]]
+        h += step
+        depths.append(h)
         if not len(order):
             break
-        alone = new & np.append(new[1:], True)
-        at = np.flatnonzero(~alone)
+        mine = group[order]
+        new = np.append(True, mine[1:] != mine[:-1])
+        at = np.flatnonzero(~(new & np.append(new[1:], True)))  # suffixes alone in their group are done
         if len(at):
             chosen = order[at]
-            first, second = group[chosen].astype(U64), group[chosen + step].astype(U64)
-            place = np.argsort(first * U64(n) + second, kind="stable")
-            chosen, first, second = chosen[place], first[place], second[place]
-            order[at] = chosen
-            new[at] = np.append(True, (first[1:] != first[:-1]) | (second[1:] != second[:-1]))
-        h += step
-    return order, group
+            key = group[chosen].astype(U64) * U64(n) + group[chosen + step].astype(U64)
+            place = np.argsort(key)
+            order[at], key = chosen[place], key[place]
+            new[at] = np.append(True, key[1:] != key[:-1])
+    return order, group, depths
 
 
-def common_prefixes(raw: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
+def common_prefixes(raw: np.ndarray, order: np.ndarray, length: int, depths: list[int]) -> np.ndarray:
     """Common bytes of each suffix and the one before it in the order, up to ``length``, by Kasai's walk.
 
     The common prefix of a place and its forerunner is at least that of the place before, less one, if what
-    follows that place's forerunner is in the order, before this place. The walks of all segments go on side by
-    side, eight bytes at a time.
+    follows that place's forerunner is in the order, before this place; as the symbols have several bytes, it is
+    what the order has been refined to of that. The walks of all segments go on side by side, by hashes of 64
+    bytes, then by eight bytes, then by one.
     """
     n = len(raw)
+    sums, down = hash_table(raw)
     padded = np.append(raw, np.zeros(8, np.uint8)).astype(U64)
     eight = np.zeros(n, U64)
     for i in range(8):
@@ -186,23 +198,37 @@ def common_prefixes(raw: np.ndarray, order: np.ndarray, length: int) -> np.ndarr
     gap = np.diff(places) != 1
     at, stops = places[np.append(True, gap)], places[np.append(gap, True)] + 1
     known = np.zeros(len(at), np.int64)
+    levels = np.array([0, *(d for d in depths if d < length)])
     while len(at):
         other = before[at]
         known = np.where(other >= 0, known, 0)
-        open_ = np.flatnonzero(other >= 0)
+        open_ = np.flatnonzero((other >= 0) & (known + 64 <= length))
+        while len(open_):
+            x, y = at[open_] + known[open_], other[open_] + known[open_]
+            open_ = open_[(sums[x + 64] - sums[x]) * down[x] == (sums[y + 64] - sums[y]) * down[y]]
+            known[open_] += 64
+            open_ = open_[known[open_] + 64 <= length]
+        open_ = np.flatnonzero((other >= 0) & (known < length))
         while len(open_):
             probe = np.minimum(known[open_], length - 8)
-            apart = eight[at[open_] + probe] ^ eight[other[open_] + probe]
-            same = sum(((apart >> U64(56 - 8 * i)) == 0).astype(np.int64) for i in range(8))
-            known[open_] = probe + same
-            open_ = open_[(same == 8) & (known[open_] < length)]
+            alike = eight[at[open_] + probe] == eight[other[open_] + probe]
+            open_, probe = open_[alike], probe[alike]
+            known[open_] = probe + 8
+            open_ = open_[probe + 8 < length]
+        rest = np.flatnonzero((known < length) & (other >= 0))
+        if len(rest):
+            probe = np.minimum(known[rest], length - 8)
+            apart = eight[at[rest] + probe] ^ eight[other[rest] + probe]
+            for i in range(8):  # equal bytes at the head of the first words that differ
+                probe += (apart >> U64(56 - 8 * i)) == 0
+            known[rest] = probe
         result[at] = known
         after = where[np.maximum(other, 0) + 1]
         at = at + 1
         live = at < stops
         at, stops = at[live], stops[live]
         carries = (other[live] >= 0) & (after[live] >= 0) & (after[live] < where[at])
-        known = np.where(carries, np.maximum(known[live] - 1, 0), 0)
+        known = np.where(carries, levels[np.searchsorted(levels, np.maximum(known[live] - 1, 0), "right") - 1], 0)
     return result[order]
 
 
@@ -214,65 +240,86 @@ def _spans(starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
     return starts[new], starts[np.append(new[1:], True)] + length
 
 
-def _shard(table: pa.Table, length: int) -> tuple[list[tuple], list[tuple]]:
+def _partnered(table: pa.Table, raw: np.ndarray, begins: np.ndarray, length: int, gram: int) -> np.ndarray:
+    """The segments that may share a string with another of their anchor.
+
+    A string around the gram holds one of a few windows of ``length - STEP`` bytes or a little less, at fixed places
+    from the gram on; so two segments with a common string have a common window.
+    """
+    sums, down = hash_table(raw)
+    marks, spots = table.column("mark").to_numpy().view(U64), table.column("spot").to_numpy()
+    sizes = np.diff(np.append(begins, len(raw)))
+    spare = length - gram
+    step = min(STEP, spare)
+    kept = table.column("several").to_numpy(zero_copy_only=False) & False
+    for before in range(0, spare, step):
+        width = gram + max(0, spare - before - step) + before
+        first = spots - before
+        fits = (first >= 0) & (first + width <= sizes)
+        at = begins[fits] + first[fits]
+        window = mix((sums[at + width] - sums[at]) * down[at]) ^ mix(marks[fits])
+        _, which, times = np.unique(window, return_inverse=True, return_counts=True)
+        kept[np.flatnonzero(fits)[times[which] > 1]] = True
+    return kept
+
+
+def _shard(table: pa.Table, length: int, gram: int) -> pa.Table:
     """The repeated spans of a shard's segments, and, of split anchors, each distinct string once.
 
     A string counts once for each place of the corpus; a segment at several places makes all of its strings
     repeat. Two segments may overlap in one text, so places are told apart by text and offset.
     """
-    texts = table.column("bytes").to_pylist()
-    if not texts:
-        return [], []
-    sizes = np.array([len(t) for t in texts])
-    ends_of = np.cumsum(sizes)
-    raw, ends = np.frombuffer(b"".join(texts), np.uint8), np.repeat(ends_of, sizes)
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    order, _ = suffix_array(raw, ends, length)
-    if not len(order):
-        return [], []
-    new = common_prefixes(raw, order, length) < length
+    several, split = (table.column(c).to_numpy(zero_copy_only=False) for c in ("several", "split"))
+    spans = [(m, s, [0], [e - b]) for m, s, b, e in zip(*(table.filter(pa.array(several)).column(c).to_pylist() for c in ("mark", "segment", "begin", "stop")))]
+    sizes = pc.binary_length(table.column("bytes")).to_numpy().astype(np.int64)
+    raw = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8)
+    kept = _partnered(table, raw, np.cumsum(sizes) - sizes, length, gram) | split
+    table, several, split, sizes = table.filter(pa.array(kept)), several[kept], split[kept], sizes[kept]
+    if not kept.any():
+        return _rows(spans)
+    raw = np.frombuffer(b"".join(table.column("bytes").to_pylist()), np.uint8)
+    stops = np.cumsum(sizes)
+    starts, ends, owner = stops - sizes, np.repeat(stops, sizes), np.repeat(np.arange(len(sizes)), sizes)
+    order, _, depths = suffix_array(raw, ends, length, gram)
+    new = common_prefixes(raw, order, length, depths) < length
     new[0] = True
-    run = np.cumsum(new) - 1
-    several = table.column("several").to_numpy(zero_copy_only=False)
-    source, begin = np.unique(np.array(table.column("digest").to_pylist(), object), return_inverse=True)[1], table.column("begin").to_numpy()
-    spot = owner[order]
-    place = (begin[spot] + order - (ends_of - sizes)[spot]) * len(texts) + source[spot]
-    heads = np.flatnonzero(new)
-    low, high = np.minimum.reduceat(place, heads), np.maximum.reduceat(place, heads)
-    repeats = (low != high) | np.logical_or.reduceat(several[spot], heads)
-    marks, segments, split = (table.column(c).to_numpy(zero_copy_only=False) for c in ("mark", "segment", "split"))
-    hit = np.sort(order[repeats[run]])
-    found, shared = [], []
-    bounds = np.searchsorted(owner[hit], np.arange(len(texts) + 1)) if len(hit) else np.zeros(len(texts) + 1, int)
-    for i in range(len(texts)):
-        if several[i]:
-            found.append((marks[i], segments[i], [0], [int(sizes[i])]))
-        elif bounds[i] < bounds[i + 1]:
-            a, b = _spans(hit[bounds[i] : bounds[i + 1]] - (ends_of[i] - sizes[i]), length)
-            found.append((marks[i], segments[i], a.tolist(), b.tolist()))
-    if split.any():
-        whole, digests = raw.tobytes(), table.column("digest").to_pylist()
-        for r, head in enumerate(heads):
-            for j in range(head, heads[r + 1] if r + 1 < len(heads) else len(order)):
-                if split[spot[j]]:
-                    i, at = spot[j], int(order[j])
-                    first = at - int(ends_of[i] - sizes[i])
-                    shared.append((hashlib.blake2b(whole[at : at + length], digest_size=16).digest(), marks[i], segments[i], first, digests[i], int(begin[i]) + first, bool(repeats[r])))
-                    if repeats[r]:
-                        break
-    return found, shared
+    run, spot = np.cumsum(new) - 1, owner[order]
+    source = np.unique(np.array(table.column("digest").to_pylist(), object), return_inverse=True)[1]
+    place = table.column("begin").to_numpy()[spot] + order - starts[spot]
+    known, heads = place * len(sizes) + source[spot], np.flatnonzero(new)
+    low, high = np.minimum.reduceat(known, heads), np.maximum.reduceat(known, heads)
+    repeats = ((low != high) | np.logical_or.reduceat(several[spot], heads))[run]
+    marks, segments = table.column("mark").to_numpy(), table.column("segment").to_numpy()
+    hit = np.sort(order[repeats])
+    bounds = np.searchsorted(owner[hit], np.arange(len(sizes) + 1))
+    for i in np.flatnonzero((np.diff(bounds) > 0) & ~several):
+        a, b = _spans(hit[bounds[i] : bounds[i + 1]] - starts[i], length)
+        spans.append((marks[i], segments[i], a.tolist(), b.tolist()))
+    # Of a split anchor: from each run of equal strings the first of these segments if it repeats, else all.
+    told = np.flatnonzero(split[spot])
+    told = told[np.append(True, run[told[1:]] != run[told[:-1]]) | ~repeats[told]] if len(told) else told
+    at = order[told]
+    codes = [hash_spans(values, at, at + length) for values in (raw, raw ^ np.uint8(0x5A))]
+    strings = pa.table(
+        {
+            "mark": marks[spot[told]], "segment": segments[spot[told]], "print": codes[0].view(np.int64), "more": codes[1].view(np.int64),
+            "first": (at - starts[spot[told]]).astype(np.int32), "digest": table.column("digest").take(pa.array(spot[told])), "place": place[told], "repeats": repeats[told],
+        }
+    )
+    return pa.concat_tables([_rows(spans), strings], promote_options="default").select(_NAMES)
 
 
 _SPANS = "mark long, segment long, starts array<int>, stops array<int>"
-_STRINGS = "print binary, first int, digest binary, place long, repeats boolean"
+_STRINGS = "print long, more long, first int, digest binary, place long, repeats boolean"
+_NAMES = [part.split()[0] for part in f"{_SPANS}, {_STRINGS}".split(", ")]
 
 
-def _rows(spans: list[tuple], strings: list[tuple] = ()) -> pa.Table:
-    """Rows of spans, then rows of strings; each has null in the other's columns."""
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.binary(), pa.int32(), pa.binary(), pa.int64(), pa.bool_()]
-    rows = [(*s, *[None] * 5) for s in spans] + [(mark, segment, None, None, code, *rest) for code, mark, segment, *rest in strings]
-    names = ["mark", "segment", "starts", "stops", "print", "first", "digest", "place", "repeats"]
-    return pa.table([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=names)
+def _rows(spans: list[tuple]) -> pa.Table:
+    """Rows of spans, with null in the columns of strings."""
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
+    told = [pa.array([s[i] for s in spans], kind) for i, kind in enumerate(kinds)]
+    blank = [pa.nulls(len(spans), k) for k in (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.bool_())]
+    return pa.table([*told, *blank], names=_NAMES)
 
 
 def _merge(strings: DataFrame, length: int) -> DataFrame:
@@ -280,7 +327,7 @@ def _merge(strings: DataFrame, length: int) -> DataFrame:
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
-        codes = np.array([int.from_bytes(r["print"][:8], "big") for r in rows], U64)
+        codes = table.column("print").to_numpy()
         order = np.argsort(codes, kind="stable")
         ranked = codes[order]
         low, high = np.searchsorted(ranked, ranked, "left"), np.searchsorted(ranked, ranked, "right")
@@ -288,38 +335,54 @@ def _merge(strings: DataFrame, length: int) -> DataFrame:
         for at in np.flatnonzero(high - low > 1):
             mine = rows[order[at]]
             others = (rows[order[j]] for j in range(low[at], high[at]) if j != at)
-            if any(o["print"] == mine["print"] and (o["repeats"] or (o["digest"], o["place"]) != (mine["digest"], mine["place"])) for o in others):
+            if any(o["more"] == mine["more"] and (o["repeats"] or (o["digest"], o["place"]) != (mine["digest"], mine["place"])) for o in others):
                 out.setdefault((mine["mark"], mine["segment"]), set()).add(mine["first"])
         spans = [(*k, *(x.tolist() for x in _spans(np.array(sorted(v)), length))) for k, v in out.items()]
-        return _rows(spans).select(["mark", "segment", "starts", "stops"])
+        return _rows(spans).select(_NAMES[:4])
 
     groups = max(1, strings.count() // (SHARD << 5))
     return strings.groupBy(F.pmod(F.xxhash64("print"), F.lit(groups))).applyInArrow(run, _SPANS)
 
 
-def cuts(docs: DataFrame, scanned: DataFrame, length: int) -> DataFrame:
+def cuts(docs: DataFrame, scanned: DataFrame, length: int, gram: int) -> DataFrame:
     """Per digest of a text that stands once: ``spans``, what repeats of it as (begin, starts, stops)."""
-    spots = scanned.select("digest", F.inline(F.arrays_zip("mark", "segment", "begin", "stop")))
-    marks = spots.groupBy("mark").agg(F.count("*").alias("n"), (F.min("segment") != F.max("segment")).alias("mixed")).filter("n > 1").drop("n")
+    spots = scanned.select("digest", F.inline(F.arrays_zip("mark", "segment", "begin", "stop", "spot", "left", "right")))
+    marks = spots.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
     spots = settle(spots.join(marks, "mark"), "cut-spots")
-    grouped = spots.groupBy("mark", "segment", "mixed").agg((F.count("*") > 1).alias("several"), F.min(F.struct("digest", "begin", "stop")).alias("at"))
-    grouped = settle(grouped.select("mark", "segment", "mixed", "several", "at.*"), "cut-segments")
+    grouped = spots.groupBy("mark", "segment", "left", "right").agg((F.count("*") > 1).alias("several"), F.min(F.struct("digest", "begin", "stop", "spot")).alias("at"))
+    grouped = settle(grouped.select("mark", "segment", "left", "right", "several", "at.*"), "cut-segments")
+    # A string is longer than its gram by so much that half of it stands on one side: equal strings of different
+    # segments have that side in common.
+    for side in ("left", "right"):
+        sides = grouped.filter(F.col(side) != 0).groupBy("mark", side).agg(F.count("*").alias("n")).filter("n > 1")
+        grouped = grouped.join(sides.select("mark", side, F.lit(True).alias(f"{side}_shared")), ["mark", side], "left")
+    mixed = F.coalesce("left_shared", F.lit(False)) | F.coalesce("right_shared", F.lit(False))
+    grouped = settle(grouped.withColumn("mixed", mixed).filter("mixed OR several").drop("left_shared", "right_shared"), "cut-candidates")
     alike = grouped.filter("several AND NOT mixed").select(
         "mark", "segment", F.array(F.lit(0)).alias("starts"), F.array((F.col("stop") - F.col("begin")).cast("int")).alias("stops")
     )
     mixed = grouped.filter("mixed")
     shards = max(1, mixed.count() * 2 // SHARD)
+    # An anchor of too many segments goes by what they share to the left, and once more by what they share to the right.
     sizes = mixed.groupBy("mark").agg(F.count("*").alias("n"))
+    sized = mixed.join(sizes, "mark")
+    keyed = sized.filter(F.col("n") <= SHARD).withColumn("key", F.xxhash64("mark")).unionByName(
+        sized.filter(F.col("n") > SHARD)
+        .withColumn("side", F.explode(F.array(F.struct(F.lit("left").alias("name"), F.col("left").alias("h")), F.struct(F.lit("right").alias("name"), F.col("right").alias("h")))))
+        .filter("side.h <> 0").withColumn("key", F.xxhash64("mark", "side.name", "side.h")).drop("side")
+    ).drop("n")
+    keyed = settle(keyed, "cut-keyed")
     split = F.col("n") > SHARD
-    shard = F.when(split, F.pmod("segment", F.ceil(F.col("n") / SHARD))).otherwise(F.pmod(F.xxhash64("mark"), F.lit(shards)))
-    dealt = mixed.join(sizes, "mark").withColumns({"split": split, "shard": shard, "hot": F.when(split, F.col("mark"))})
+    shard = F.when(split, F.pmod("segment", F.ceil(F.col("n") / SHARD))).otherwise(F.pmod("key", F.lit(shards)))
+    crowds = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    dealt = keyed.join(crowds, "key").withColumns({"split": split, "shard": shard, "hot": F.when(split, F.col("key"))})
     texts = _texts(docs, mixed).dropDuplicates(["digest"])
     held = dealt.join(texts, "digest").select(
-        "mark", "segment", "digest", "begin", "several", "split", "shard", "hot", F.expr("substring(text, int(begin) + 1, int(stop - begin))").alias("bytes")
+        "mark", "segment", "digest", "begin", "stop", "spot", "several", "split", "shard", "hot", F.expr("substring(text, int(begin) + 1, int(stop - begin))").alias("bytes")
     )
 
     def run(table: pa.Table) -> pa.Table:
-        return _rows(*_shard(table.combine_chunks(), length))
+        return _shard(table.combine_chunks(), length, gram)
 
     sorted_out = settle(held.groupBy("hot", "shard").applyInArrow(run, f"{_SPANS}, {_STRINGS}"), "cut-shards")
     spans = alike.unionByName(sorted_out.filter("starts IS NOT NULL").select(alike.columns))
@@ -350,7 +413,7 @@ def _found(docs: DataFrame, length: int, gram: int) -> tuple[DataFrame, DataFram
     scanned = settle(_scan(docs, length, gram), "cut-scan")
     copies = scanned.filter(F.col("n_bytes") >= length).groupBy("digest").agg(F.count("*").alias("n")).filter("n > 1").select("digest")
     copies = settle(copies, "cut-copies")
-    return scanned, copies, settle(cuts(docs, scanned, length).join(copies, "digest", "left_anti"), "cut-spans")
+    return scanned, copies, settle(cuts(docs, scanned, length, gram).join(copies, "digest", "left_anti"), "cut-spans")
 
 
 def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, key: str = "doc_id", text: str = "text") -> DataFrame:
