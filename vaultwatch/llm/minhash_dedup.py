@@ -9,7 +9,7 @@ value among the k smallest of the union is in both with probability s. In a comm
 then share one of the first k - need + 1, so only those are listed; what most documents have comes last. The
 order is by counts of the values in a table of fixed size, which decides only the work, never the result.
 
-Links. In a list first only the smallest member is paired with the others. Where the verified links leave a list
+Links. In a list first only one member, drawn by a hash, is paired with the others. Where the verified links leave a list
 with members of several components, all its pairs across components follow. Pairs within one component would
 change nothing, so no group of copies is ever expanded into all its pairs.
 """
@@ -193,7 +193,7 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80, k: int = K, key: st
     grouped = rows.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("key").alias("first"), F.first("sketch").alias("sketch"), F.first("upper").alias("upper"))
     classes = settle(grouped.withColumn("node", F.monotonically_increasing_id()), "near-classes")
     postings = settle(_postings(classes, k, percent), "near-postings")
-    lists = postings.groupBy("value").agg(F.count("*").alias("members"), F.min(F.struct("node", "n")).alias("head")).filter("members > 1")
+    lists = postings.groupBy("value").agg(F.count("*").alias("members"), F.min(F.struct(F.xxhash64("node", "value").alias("draw"), "node", "n")).alias("head")).filter("members > 1")
     lists = lists.select("value", F.col("head.node").alias("a"), F.col("head.n").alias("na"))
     shared = settle(postings.join(lists, "value").withColumnsRenamed({"node": "b", "n": "nb"}), "near-lists")
     heads = shared.filter((F.col("a") != F.col("b")) & _near(percent)).select("a", "b").distinct()
