@@ -263,7 +263,7 @@ def _partnered(table: pa.Table, raw: np.ndarray, begins: np.ndarray, length: int
     return kept
 
 
-def _shard(table: pa.Table, length: int, gram: int) -> pa.Table:
+def _shard(table: pa.Table, length: int, gram: int, groups: int) -> pa.Table:
     """The repeated spans of a shard's segments, and, of split anchors, each distinct string once.
 
     A string counts once for each place of the corpus; a segment at several places makes all of its strings
@@ -299,49 +299,51 @@ def _shard(table: pa.Table, length: int, gram: int) -> pa.Table:
     told = np.flatnonzero(split[spot])
     told = told[np.append(True, run[told[1:]] != run[told[:-1]]) | ~repeats[told]] if len(told) else told
     at = order[told]
-    codes = [hash_spans(values, at, at + length) for values in (raw, raw ^ np.uint8(0x5A))]
-    strings = pa.table(
-        {
-            "mark": marks[spot[told]], "segment": segments[spot[told]], "print": codes[0].view(np.int64), "more": codes[1].view(np.int64),
-            "first": (at - starts[spot[told]]).astype(np.int32), "digest": table.column("digest").take(pa.array(spot[told])), "place": place[told], "repeats": repeats[told],
-        }
-    )
-    return pa.concat_tables([_rows(spans), strings], promote_options="default").select(_NAMES)
-
-
+    strings = np.empty(len(told), _STRING)
+    strings["code"], strings["more"] = (hash_spans(values, at, at + length) for values in (raw, raw ^ np.uint8(0x5A)))
+    strings["mark"], strings["segment"], strings["first"] = marks[spot[told]], segments[spot[told]], at - starts[spot[told]]
+    strings["text"] = np.frombuffer(b"".join(table.column("digest").to_pylist()), "V16")[spot[told]]
+    strings["place"], strings["repeats"] = place[told], repeats[told]
+    where = (strings["code"] % U64(groups)).astype(np.int64)
+    packed = [(int(g), strings[where == g].tobytes()) for g in np.unique(where)]
+    return _rows(spans, packed)
+
+
+# A string of a split anchor: two hashes of it, its segment and place there, and its place in the corpus.
+_STRING = np.dtype([("code", "<u8"), ("more", "<u8"), ("mark", "<i8"), ("segment", "<i8"), ("first", "<i4"), ("text", "V16"), ("place", "<i8"), ("repeats", "?")])
 _SPANS = "mark long, segment long, starts array<int>, stops array<int>"
-_STRINGS = "print long, more long, first int, digest binary, place long, repeats boolean"
-_NAMES = [part.split()[0] for part in f"{_SPANS}, {_STRINGS}".split(", ")]
+_NAMES = ["mark", "segment", "starts", "stops", "part", "strings"]
 
 
-def _rows(spans: list[tuple]) -> pa.Table:
-    """Rows of spans, with null in the columns of strings."""
-    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32())]
-    told = [pa.array([s[i] for s in spans], kind) for i, kind in enumerate(kinds)]
-    blank = [pa.nulls(len(spans), k) for k in (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int64(), pa.bool_())]
-    return pa.table([*told, *blank], names=_NAMES)
+def _rows(spans: list[tuple], packed: list[tuple] = ()) -> pa.Table:
+    """A row for each segment's spans, and one for the strings that go to each merging task, packed."""
+    kinds = [pa.int64(), pa.int64(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.binary()]
+    rows = [(*s, None, None) for s in spans] + [(None, None, None, None, *p) for p in packed]
+    return pa.table([pa.array([r[i] for r in rows], kind) for i, kind in enumerate(kinds)], names=_NAMES)
 
 
 def _merge(strings: DataFrame, length: int) -> DataFrame:
     """Strings that several shards of a split anchor hold, as spans of their segments."""
 
     def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        codes = table.column("print").to_numpy()
-        order = np.argsort(codes, kind="stable")
-        ranked = codes[order]
-        low, high = np.searchsorted(ranked, ranked, "left"), np.searchsorted(ranked, ranked, "right")
-        out: dict[tuple, set] = {}
-        for at in np.flatnonzero(high - low > 1):
-            mine = rows[order[at]]
-            others = (rows[order[j]] for j in range(low[at], high[at]) if j != at)
-            if any(o["more"] == mine["more"] and (o["repeats"] or (o["digest"], o["place"]) != (mine["digest"], mine["place"])) for o in others):
-                out.setdefault((mine["mark"], mine["segment"]), set()).add(mine["first"])
-        spans = [(*k, *(x.tolist() for x in _spans(np.array(sorted(v)), length))) for k, v in out.items()]
+        rows = np.concatenate([np.frombuffer(s, _STRING) for s in table.column("strings").to_pylist()])
+        # Binary search for each string's first and last equal among those of all shards.
+        rows = rows[np.argsort(rows["code"])]
+        low, high = (np.searchsorted(rows["code"], rows["code"], side) for side in ("left", "right"))
+        equal = rows["more"] == rows["more"][low]
+        other = equal & ((rows["text"] != rows["text"][low]) | (rows["place"] != rows["place"][low]))
+        heads, run_of = np.unique(low, return_inverse=True)
+        found = (high - low > 1) & equal & np.logical_or.reduceat(other | rows["repeats"], heads)[run_of] if len(rows) else other
+        rows = rows[found]
+        rows = rows[np.lexsort([rows["first"], rows["segment"], rows["mark"]])]
+        new = np.flatnonzero(np.append(True, (rows["mark"][1:] != rows["mark"][:-1]) | (rows["segment"][1:] != rows["segment"][:-1]))) if len(rows) else []
+        spans = []
+        for a, b in zip(new, [*new[1:], len(rows)]):
+            begin, stop = _spans(np.unique(rows["first"][a:b]).astype(np.int64), length)
+            spans.append((rows["mark"][a], rows["segment"][a], begin.tolist(), stop.tolist()))
         return _rows(spans).select(_NAMES[:4])
 
-    groups = max(1, strings.count() // (SHARD << 5))
-    return strings.groupBy(F.pmod(F.xxhash64("print"), F.lit(groups))).applyInArrow(run, _SPANS)
+    return strings.groupBy("part").applyInArrow(run, _SPANS)
 
 
 def cuts(docs: DataFrame, scanned: DataFrame, length: int, gram: int) -> DataFrame:
@@ -376,17 +378,19 @@ def cuts(docs: DataFrame, scanned: DataFrame, length: int, gram: int) -> DataFra
     shard = F.when(split, F.pmod("segment", F.ceil(F.col("n") / SHARD))).otherwise(F.pmod("key", F.lit(shards)))
     crowds = keyed.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     dealt = keyed.join(crowds, "key").withColumns({"split": split, "shard": shard, "hot": F.when(split, F.col("key"))})
+    # A merging task for each million strings that begin in segments of split anchors.
+    groups = max(1, dealt.filter("split").count() * (length - gram) // (1 << 20))
     texts = _texts(docs, mixed).dropDuplicates(["digest"])
     held = dealt.join(texts, "digest").select(
         "mark", "segment", "digest", "begin", "stop", "spot", "several", "split", "shard", "hot", F.expr("substring(text, int(begin) + 1, int(stop - begin))").alias("bytes")
     )
 
     def run(table: pa.Table) -> pa.Table:
-        return _shard(table.combine_chunks(), length, gram)
+        return _shard(table.combine_chunks(), length, gram, groups)
 
-    sorted_out = settle(held.groupBy("hot", "shard").applyInArrow(run, f"{_SPANS}, {_STRINGS}"), "cut-shards")
+    sorted_out = settle(held.groupBy("hot", "shard").applyInArrow(run, f"{_SPANS}, part int, strings binary"), "cut-shards")
     spans = alike.unionByName(sorted_out.filter("starts IS NOT NULL").select(alike.columns))
-    spans = spans.unionByName(_merge(sorted_out.filter("print IS NOT NULL").drop("starts", "stops"), length))
+    spans = spans.unionByName(_merge(sorted_out.filter("strings IS NOT NULL").select("part", "strings"), length))
     placed = spots.select("digest", "mark", "segment", "begin").join(spans, ["mark", "segment"])
     return placed.groupBy("digest").agg(F.collect_list(F.struct("begin", "starts", "stops")).alias("spans"))
 
