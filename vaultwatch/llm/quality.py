@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from vaultwatch.llm.common import ALNUM, U64, pieces, settle, text_bytes, words
 
 # Bounds of what the classifiers are fitted on; all else covers every document.
-LABELLED, POOL = 12_000, 6_000
+LABELLED, POOL = 8_000, 4_000
 ROUNDS, SURE, CERTAIN = 3, 500, 0.97  # rounds of exchange, pseudo-labels that each view gives in one, and their probability
 WORD_BITS, CHOSEN_WORDS, STEM = 18, 4096, 6  # a stem is a word's first bytes
 BINS = 12
@@ -122,18 +122,12 @@ def _choose(owner: np.ndarray, cell: np.ndarray, label: np.ndarray) -> np.ndarra
     return keep
 
 
-def fit(labelled: list[pa.RecordBatch], pool: list[pa.RecordBatch]) -> Model | None:
-    """Batches of text, lang, source, n_chars and good (0 or 1; of no meaning in the pool). None without both classes."""
-    if not labelled:
-        return None
-    batch = pa.Table.from_batches([*labelled, *pool]).combine_chunks().to_batches()[0]
-    n = sum(b.num_rows for b in labelled)
-    good = batch.column("good").to_numpy(zero_copy_only=False).astype(float)
-    known = np.arange(len(good)) < n
+def fit(owner: np.ndarray, cell: np.ndarray, statistics: np.ndarray, names: np.ndarray, good: np.ndarray) -> Model | None:
+    """From the :func:`views` of documents, and whether each is good (1 or 0; NaN in the pool). None without both classes."""
+    known = np.isfinite(good)
     held = known & (np.arange(len(good)) % 5 == 0)
     if len(set(good[known & ~held])) < 2 or len(set(good[held])) < 2:
         return None
-    owner, cell, statistics, names = views(batch)
     model = Model(np.zeros(0), np.quantile(statistics[known], np.linspace(0, 1, BINS + 2)[1:-1], axis=0).T, np.zeros(0), np.tile([1.0, 0.0], (2, 1)), np.zeros(4))
     meta = model.cells(statistics, names)
     meta_owner, meta_cell, cells = np.repeat(np.arange(len(meta)), meta.shape[1]), meta.ravel(), len(STATISTICS) * (BINS + 1) + (2 << NAME_BITS)
@@ -195,9 +189,28 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
     others = part(docs.select("doc_id").filter("doc_id IS NOT NULL"), POOL).join(known, "doc_id", "left_anti")
     chosen = settle(sample.unionByName(others.select("doc_id", F.lit(None).cast("int").alias("good"))), "learning-sample")
     rows = docs.select("doc_id", "text", "lang", "source", "n_chars").join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
-    rows = rows.orderBy(F.xxhash64("doc_id")).toArrow().combine_chunks()
-    batches = [rows.filter(mask) for mask in (pc.is_valid(rows["good"]), pc.is_null(rows["good"]))]
-    return fit(*(b.combine_chunks().to_batches() for b in batches))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                owner, cell, statistics, names = views(part)
+                ends = pa.array(np.searchsorted(owner, np.arange(part.num_rows + 1)), pa.int32())
+                cells = pa.ListArray.from_arrays(ends, pa.array(cell.astype(np.int32)))
+                columns = [part.column("doc_id"), part.column("good"), cells, pa.array(statistics.tolist(), pa.list_(pa.float64())), pa.array(names.tolist(), pa.list_(pa.int32()))]
+                yield pa.record_batch(columns, names=["doc_id", "good", "cells", "statistics", "names"])
+
+    # The driver gets numbers, no texts: some kilobytes for each document of the sample.
+    kind = dict(rows.dtypes)["doc_id"]
+    told = rows.mapInArrow(run, f"doc_id {kind}, good int, cells array<int>, statistics array<double>, names array<int>").toArrow().combine_chunks()
+    if not told.num_rows:
+        return None
+    told = told.take(pc.sort_indices(told, sort_keys=[("doc_id", "ascending")])).combine_chunks()
+    told = told.take(pa.array(np.random.default_rng(1).permutation(told.num_rows))).combine_chunks()
+    cells = told["cells"].chunk(0)
+    owner = np.repeat(np.arange(told.num_rows), pc.list_value_length(cells).to_numpy())
+    statistics, names = (np.array(told[c].to_pylist()) for c in ("statistics", "names"))
+    good = told["good"].to_numpy().astype(float)
+    return fit(owner, cells.flatten().to_numpy(), statistics, names, good)
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
