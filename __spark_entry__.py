@@ -8,19 +8,22 @@ from __future__ import annotations
 
 import importlib.util
 from collections.abc import Callable
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from vaultwatch.functions.eventtime import pin_utc, print_time
+from vaultwatch.functions.eventtime import pin_utc, print_time, with_event_time
 from vaultwatch.functions.telemetry import join_disks
 from vaultwatch.operators import moments, ranking, sequence
 from vaultwatch.plans import batch
 from vaultwatch.schemas import EVENT_SCHEMA, RANKING_SLOTS, WINDOW_DAYS
 from vaultwatch.sources import raw, tables, topics
+from vaultwatch.sources.results import existing
 from vaultwatch.sources.shared import settle, shared_dir
 from vaultwatch.streaming import jobs
-from vaultwatch.streaming.progress import metrics
+from vaultwatch.streaming.progress import ProgressLog, recorded
 
 USERS = (0, 20)
 CLOSING_DAYS = 7
@@ -76,6 +79,19 @@ def _q1_moments_daily(spark, d):
     return _rounded(daily.select(F.unix_millis("day").alias("ts"), "vault_id", "count", "mean", "m2"), "mean", "m2")
 
 
+LIFT = 1e8  # far from zero, as sums of squares must not lose the spread; values in quarters stay exact there
+
+
+def _q1_merge_moments(spark, d):
+    """Hourly partials of values far from zero, merged to days."""
+    df = _telemetry(spark, d).filter("s194_temperature_celsius IS NOT NULL AND vault_id BETWEEN %d AND %d" % USERS)
+    value = F.round(F.col("s194_temperature_celsius") * 4) / 4 + LIFT
+    rows = df.select("vault_id", F.date_trunc("hour", "ts").alias("hour"), value.alias("v"))
+    hourly = rows.groupBy("vault_id", "hour").agg(F.count("v").alias("count"), F.avg("v").alias("mean"), F.regr_sxx("v", "v").alias("m2"))
+    merged = moments.merge_moments(hourly.withColumn("ts", F.unix_millis(F.date_trunc("day", "hour"))), "ts", "vault_id")
+    return merged.select("ts", "vault_id", "count", F.round("mean", 4).alias("mean"), F.round("m2", 1).alias("m2"))
+
+
 def _q1_variances(spark, d):
     df = moments.windowed_variances(_telemetry(spark, d), 1, USERS)
     return _rounded(df, "mean_s194", "variance", "sample_variance")
@@ -212,27 +228,44 @@ def _closing_row(spark, d):
 # Streams
 
 
-def _event_stream(spark: SparkSession, sf_dir: str, extra: str) -> tuple[SparkSession, DataFrame]:
-    """The events table as a stream, joined by the rows found in ``extra``."""
+STEPS = ("2024-01-06", "2024-01-12", "2024-01-18", "2024-01-24")
+
+
+def _topic(spark: SparkSession, sf_dir: str, path: str) -> int:
+    """The events as a file topic in steps of time, with the date as text, and the closing row as the last step.
+
+    The closing row's user is beyond Query 1's range: it only moves the watermark. Returns the files of a step.
+    """
+    events = _telemetry(spark, sf_dir)
+    closing = sequence.closing_row(events, days=CLOSING_DAYS).withColumns({"vault_id": F.lit(-1).cast("long"), "failure": F.lit(False)})
+    files = topics.publish_in_order(_dated(events), path, [datetime.fromisoformat(s) for s in STEPS])
+    _dated(closing).write.mode("append").parquet(path)
+    return files
+
+
+def _dated(events: DataFrame) -> DataFrame:
+    return events.withColumn("date", print_time("ts"))
+
+
+def _event_stream(spark: SparkSession, path: str, files: int) -> DataFrame:
+    """The topic as a stream, a step to a batch. Event time is read from the date text."""
     session = jobs.streaming_session(spark)
-    table = tables.stream_table(session, sf_dir, "events", tables.EVENTS_SCHEMA)
-    added = session.readStream.schema(tables.EVENTS_SCHEMA).parquet(extra)
-    return session, tables.as_telemetry(table.unionByName(added))
+    stream = topics.parquet_events(session, path, spark.read.parquet(path).schema, files)
+    return with_event_time(stream.drop("ts"))
 
 
-def _write_closing_row(spark: SparkSession, sf_dir: str, path: str) -> None:
-    events = _events(spark, sf_dir).filter(F.col("value").isNotNull())
-    sequence.closing_row(events, "event_id", days=CLOSING_DAYS).write.mode("append").parquet(path)
+def _run(build: Callable[[DataFrame, str], object], spark: SparkSession, home: str, files: int) -> ProgressLog:
+    """Go on from the checkpoint over what the topic holds, and then stop; returns the log of the run."""
+    events = _event_stream(spark, f"{home}/topic", files)
+    with recorded(events.sparkSession) as log:
+        build(events, home).awaitTermination()
+    return log
 
 
-def _stream(build: Callable[[DataFrame, str], object], spark: SparkSession, sf_dir: str) -> tuple[str, object]:
-    """Run one pass over the table and the closing row; returns the run's folder and query."""
+def _stream(build: Callable[[DataFrame, str], object], spark: SparkSession, sf_dir: str) -> tuple[str, ProgressLog]:
+    """Run over the whole topic; returns the run's folder and log."""
     home = shared_dir(spark, "stream")
-    _write_closing_row(spark, sf_dir, f"{home}/added")
-    _, events = _event_stream(spark, sf_dir, f"{home}/added")
-    query = build(events, home)
-    query.awaitTermination()
-    return home, query
+    return home, _run(build, spark, home, _topic(spark, sf_dir, f"{home}/topic"))
 
 
 def _run_q1(window: str) -> Callable[[DataFrame, str], object]:
@@ -244,21 +277,20 @@ def _run_q1(window: str) -> Callable[[DataFrame, str], object]:
 
 
 def _stream_q1(window: str) -> Query:
-    def run(spark, d):
-        home, _ = _stream(_run_q1(window), spark, d)
-        return _stats(spark.read.parquet(f"{home}/out"))
-
-    return run
+    return lambda spark, d: _stats(spark.read.parquet(f"{_stream(_run_q1(window), spark, d)[0]}/out"))
 
 
 def _stream_q2(window: str) -> Query:
+    schema = "ts long, vault_id long, day timestamp, failures long, disks array<string>, rk int"
+
     def build(events, home):
         best = jobs.best_day_stream(events, WINDOW_DAYS[window])
         return jobs.start_ranking(best, lambda top: top, f"{home}/out", f"{home}/checkpoint", once=True)
 
     def run(spark, d):
         home, _ = _stream(build, spark, d)
-        return _long(_as_text(spark.read.parquet(f"{home}/out")))
+        found = existing(lambda: spark.read.schema(schema).parquet(f"{home}/out"), spark, T._parse_datatype_string(schema))
+        return _long(_as_text(found))
 
     return run
 
@@ -266,22 +298,24 @@ def _stream_q2(window: str) -> Query:
 def _stream_late_drop(spark, d):
     """Run to the end, then let every user's first event arrive again and go on from the checkpoint.
 
-    Those windows are closed, so the late rows change nothing.
+    Those windows are closed, so the late rows change nothing; the run's progress counts them.
     """
-    home, _ = _stream(_run_q1("1d"), spark, d)
-    events = _events(spark, d).filter(F.col("value").isNotNull())
-    first = events.groupBy("user_id").agg(F.min(F.struct("ts", "event_id", "event_type", "value", "props")).alias("e"))
-    first.select("e.event_id", "e.ts", "user_id", "e.event_type", "e.value", "e.props").write.mode("append").parquet(f"{home}/added")
-    _, again = _event_stream(spark, d, f"{home}/added")
-    _run_q1("1d")(again, home).awaitTermination()
-    return _stats(spark.read.parquet(f"{home}/out"))
+    home = shared_dir(spark, "stream")
+    topic = f"{home}/topic"
+    files = _topic(spark, d, topic)
+    _run(_run_q1("1d"), spark, home, files)
+    events = spark.read.parquet(topic).filter("vault_id >= 0")
+    first = events.groupBy("vault_id").agg(F.min_by(F.struct(*[c for c in events.columns if c != "vault_id"]), "seq").alias("e"))
+    first.select(*[F.col("vault_id") if c == "vault_id" else F.col(f"e.{c}").alias(c) for c in events.columns]).coalesce(1).write.mode("append").parquet(topic)
+    log = _run(_run_q1("1d"), spark, home, files)
+    dropped = log.metrics().agg(F.sum("rows_dropped").alias("late_rows"))
+    return _stats(spark.read.parquet(f"{home}/out")).join(F.broadcast(dropped))
 
 
 def _stream_metrics(spark, d):
-    """What the progress of a run says about the rows it has read."""
-    _, query = _stream(_run_q1("1d"), spark, d)
-    found = metrics(spark, [query])
-    return found.agg(F.sum("input_rows").alias("input_rows"), F.sum("rows_dropped").alias("rows_dropped"))
+    """What the progress of a run says about the rows it has read, whatever the number of batches."""
+    _, log = _stream(_run_q1("1d"), spark, d)
+    return log.metrics().agg(F.sum("input_rows").alias("input_rows"), F.sum("rows_dropped").alias("rows_dropped"), (F.count_if(F.col("input_rows") > 0) >= 5).alias("several_batches"))
 
 
 def _llm_modules() -> list:
@@ -312,6 +346,7 @@ def _telemetry_queries() -> dict[str, Query]:
             found[f"q2_best_day_{window}"] = _q2_best_day(window)
     return found | {
         "q1_moments_daily": _q1_moments_daily,
+        "q1_merge_moments": _q1_merge_moments,
         "q1_variances": _q1_variances,
         "q1_all_three": _q1_windows,
         "q2_daily_failures": _q2_daily_failures,
@@ -449,6 +484,12 @@ def _telemetry_sql() -> dict[str, str]:
                    round(round(avg(value), 9), 6) AS mean, round(round(var_pop(value) * count(value), 9), 6) AS m2
             FROM events WHERE value IS NOT NULL AND ts IS NOT NULL AND user_id BETWEEN {USERS[0]} AND {USERS[1]}
             GROUP BY 1, 2""",
+        "q1_merge_moments": f"""
+            WITH v AS (SELECT epoch_ms({_bucket(1, 'ts')}) AS ts, user_id AS vault_id, round(value * 4) / 4 AS x FROM events
+                       WHERE value IS NOT NULL AND ts IS NOT NULL AND user_id BETWEEN {USERS[0]} AND {USERS[1]})
+            SELECT ts, vault_id, count(*) AS count, round(avg(x) + {LIFT}, 4) AS mean,
+                   round(sum(x * x) - sum(x) * sum(x) / count(*), 1) AS m2
+            FROM v GROUP BY 1, 2""",
         "q1_variances": f"""
             SELECT epoch_ms({_bucket(1, 'ts')}) AS ts, user_id AS vault_id, CAST(count(value) AS INTEGER) AS count,
                    round(round(avg(value), 9), 6) AS mean_s194,
@@ -479,7 +520,10 @@ def _telemetry_sql() -> dict[str, str]:
             SELECT strftime(ts + INTERVAL '{CLOSING_DAYS} days', '%Y-%m-%dT%H:%M:%S.%f') AS date, event_id AS seq,
                    user_id AS vault_id, value AS s194_temperature_celsius, event_type = 'error' AS failure
             FROM events WHERE value IS NOT NULL ORDER BY event_id DESC LIMIT 1""",
-        "stream_late_drop": _q1_sql(1, closed=True),
+        "stream_late_drop": f"""
+            SELECT *, (SELECT count(DISTINCT user_id) FROM events WHERE value IS NOT NULL
+                       AND user_id BETWEEN {USERS[0]} AND {USERS[1]}) AS late_rows FROM ({_q1_sql(1, closed=True)})""",
         "stream_metrics": """
-            SELECT CAST(count(*) + 1 AS BIGINT) AS input_rows, CAST(0 AS BIGINT) AS rows_dropped FROM events""",
+            SELECT CAST(count(*) + 1 AS BIGINT) AS input_rows, CAST(0 AS BIGINT) AS rows_dropped, true AS several_batches
+            FROM events WHERE value IS NOT NULL""",
     }

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from datetime import datetime, timedelta, timezone
 
+from pyspark.sql import types as T
+
 from vaultwatch.plans.batch import prepare
 from vaultwatch.schemas import EVENT_SCHEMA
 
@@ -16,7 +18,9 @@ def event(day, serial="S", failure=False, vault=1000, temp=20.0, time="00:00:00.
 
 
 def frame(spark, rows):
-    return spark.createDataFrame(rows, EVENT_SCHEMA)
+    """The rows with their order as arrival."""
+    schema = T.StructType([*EVENT_SCHEMA.fields, T.StructField("seq", T.LongType())])
+    return spark.createDataFrame([(*row, i) for i, row in enumerate(rows)], schema)
 
 
 def events(spark, rows):

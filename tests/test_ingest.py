@@ -1,5 +1,4 @@
 import csv
-import json
 import shutil
 
 import pytest
@@ -7,6 +6,8 @@ from pyspark.sql import functions as F
 
 from helpers import plan_of
 from vaultwatch.functions.telemetry import scaled
+from vaultwatch.operators.sequence import event_gaps
+from vaultwatch.plans.batch import query2
 from vaultwatch.schemas import EVENT_SCHEMA, RAW_POSITIONS
 from vaultwatch.sources import raw, topics
 from vaultwatch.streaming import jobs
@@ -91,11 +92,48 @@ def test_closing_event_needs_a_sound_row(spark, parsed):
 def test_land_splits_in_one_pass(spark, csv_path, tmp_path):
     out = str(tmp_path / "landed")
     raw.land(raw.read_raw(spark, csv_path), out)
-    events = spark.read.schema(EVENT_SCHEMA).option("mode", "FAILFAST").json(f"{out}/status=event")
-    assert events.count() == 5
-    rejects = [json.loads(r.value) for r in spark.read.text(f"{out}/status=reject").collect()]
+    events = raw.landed(spark, out)
+    assert events.schema["failure"].dataType.typeName() == "boolean"
+    want = raw.clean_events(raw.parse_raw(raw.read_raw(spark, csv_path))).select(EVENT_SCHEMA.fieldNames())
+    assert sorted(map(str, events.select(EVENT_SCHEMA.fieldNames()).collect())) == sorted(map(str, want.collect()))
+    rejects = spark.read.parquet(out).filter("status = 'reject'").collect()
     assert len(rejects) == 6
-    assert {"c0": "2023-04-01", "reason": "date"}.items() <= next(r for r in rejects if r["c1"] == "r-date").items()
+    assert next(r for r in rejects if r.c1 == "r-date").asDict().items() >= {"c0": "2023-04-01", "reason": "date"}.items()
+
+
+def test_failures_of_days_are_read_from_their_folders(spark, csv_path, tmp_path):
+    out = str(tmp_path / "landed")
+    raw.land(raw.read_raw(spark, csv_path), out)
+    scan = plan_of(raw.landed(spark, out).filter("failure AND day = '2023-04-01'"))
+    filters = scan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+    assert "failure" in filters and "day" in filters and "status" in filters
+    plan = plan_of(query2(raw.landed(spark, out), "1d"))
+    assert "failure" in plan.split("PartitionFilters: [")[1].split("PushedFilters")[0]
+
+
+def test_arrival_is_the_order_of_the_file(spark, tmp_path):
+    rows = [line(c1=f"s{i * 7919 % 1000:04d}", c3="1", c4="7") for i in range(1000)]
+    path = str(tmp_path / "raw.csv")
+    with open(path, "w", newline="") as f:
+        csv.writer(f).writerows([["h"] * 26, *rows])
+    session = spark.newSession()
+    session.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    session.conf.set("spark.sql.session.timeZone", "UTC")
+    out = str(tmp_path / "landed")
+    raw.land(raw.read_raw(session, path), out)
+    assert raw.read_raw(session, path).rdd.getNumPartitions() > 3
+    for events in (raw.clean_events(raw.parse_raw(raw.read_raw(session, path))), raw.landed(session, out)):
+        assert query2(events, "1d").first().disks == [f"M,{r[1]}" for r in rows]
+        gaps = event_gaps(events.select("seq", "ts"))
+        assert gaps.filter("gap_seconds IS NULL").count() == 1
+
+
+def test_line_breaks_in_cells_need_the_choice(spark, tmp_path):
+    path = str(tmp_path / "raw.csv")
+    with open(path, "w", newline="") as f:
+        csv.writer(f).writerows([["h"] * 26, line(c2="two\nlines"), line(c1="S2")])
+    found = raw.clean_events(raw.parse_raw(raw.read_raw(spark, path, multi_line=True)))
+    assert sorted((r.serial_number, r.model) for r in found.collect()) == [("S1", "two\nlines"), ("S2", "M")]
 
 
 def test_raw_rows_land_as_they_arrive(spark, csv_path, tmp_path):
@@ -105,8 +143,9 @@ def test_raw_rows_land_as_they_arrive(spark, csv_path, tmp_path):
         shutil.copy(csv_path, source / f"{i}.csv")
         session = jobs.streaming_session(spark, 2)
         jobs.start_landing(raw.stream_raw(session, str(source)), out, str(tmp_path / "c"), once=True).awaitTermination()
-    landed = spark.read.json(out).groupBy("status").count().collect()
+    landed = spark.read.parquet(out).groupBy("status").count().collect()
     assert {r.status: r["count"] for r in landed} == {"event": 10, "no_temperature": 2, "reject": 12}
+    assert raw.landed(spark, out).select("seq").distinct().count() == 10
 
 
 def test_raw_width_is_checked():

@@ -89,10 +89,23 @@ def test_merge_in_any_order_equals_one_pass(spark):
     assert row["m2"] == pytest.approx(sum((x - mean) ** 2 for x in values), rel=1e-9)
 
 
-def test_center_keeps_small_spreads_of_large_values(spark):
-    parts = [(1, 2, 1e9, 2.0), (1, 2, 1e9 + 1, 2.0)]
-    df = spark.createDataFrame(parts, "k int, count long, mean double, m2 double")
-    assert moments.merge_moments(df, "k", center=1e9).first()["m2"] == pytest.approx(5.0, abs=1e-6)
+def test_small_spreads_of_large_values_keep_their_digits(spark):
+    rows = [("k", 1, 1e9 + i, 0.0) for i in (1, 2, 3, 4)] + [(None, 2, 1e8, 0.5), (None, 0, None, None)]
+    df = spark.createDataFrame(rows, "k string, count long, mean double, m2 double")
+    got = {r.k: (r["count"], r["mean"], r["m2"]) for r in moments.merge_moments(df, "k").collect()}
+    assert got["k"] == (4, 1e9 + 2.5, pytest.approx(5.0, abs=1e-6)) and got[None] == (2, 1e8, 0.5)
+    many = [("k", 10, 1e8 + i % 7, 2.0) for i in range(50)]
+    row = moments.merge_moments(spark.createDataFrame(many, df.schema).repartition(5), "k").first()
+    mean = sum(m for _, _, m, _ in many) / 50
+    assert row.m2 == pytest.approx(sum(2.0 + 10 * (m - mean) ** 2 for _, _, m, _ in many), rel=1e-9)
+    with pytest.raises(ValueError):
+        moments.merge_moments(df)
+
+
+def test_a_vault_without_values_has_no_row(spark):
+    rows = [event("04-02", vault=1000, temp=None), event("04-02", vault=1001, temp=4.0)]
+    assert [r.vault_id for r in moments.windowed_stats(events(spark, rows), 1).collect()] == [1001]
+    assert [r.vault_id for r in moments.daily_moments(events(spark, rows)).collect()] == [1001]
 
 
 def test_rollup_keeps_small_spreads_of_large_values(spark):

@@ -1,3 +1,7 @@
+import csv
+import glob
+import os
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,4 +74,34 @@ def test_records_are_routed_to_the_files_of_their_topics(spark, tmp_path):
 def test_published_events_are_read_back(spark, tmp_path):
     topics.publish(frame(spark, ROWS), f"{tmp_path}/topic")
     back = spark.read.schema(EVENT_SCHEMA).json(f"{tmp_path}/topic")
-    assert sorted(map(str, back.collect())) == sorted(map(str, frame(spark, ROWS).collect()))
+    assert sorted(map(str, back.collect())) == sorted(map(str, frame(spark, ROWS).drop("seq").collect()))
+
+
+ODD = ['q"x', "a, b", "back\\", "\\\"both\\", "plain"]
+
+
+def test_odd_labels_are_read_back_and_by_other_readers(spark, tmp_path):
+    rows = [event("04-02", serial, True) for serial in ODD]
+    run_batch("query2", "1d", events(spark, rows), str(tmp_path))
+    want = ", ".join(f"M,{serial}" for serial in ODD)
+    assert results.read_result(spark, str(tmp_path), "query2_1d_results").first().failed_disks1 == want
+    (path,) = glob.glob(f"{tmp_path}/query2_1d_results.csv/part-*")
+    with open(path, newline="") as lines:
+        header, row = csv.reader(lines)
+    assert row[header.index("failed_disks1")] == want
+    record = topics.encode(result_rows("query2", query2(events(spark, rows), "1d")), RESULT_TOPICS["query2_1d_results"])
+    results.route_results(record.withColumn("topic", F.lit("query2_1d_results")), 3, f"{tmp_path}/routed", ["query2_1d_results"])
+    assert results.read_result(spark, f"{tmp_path}/routed", "query2_1d_results").first().failed_disks1 == want
+
+
+@pytest.mark.parametrize("topic,value", [("other", "{}"), (None, "{}"), ("query1_1d_results", '{"ts": 1, "extra": 2}'), ("query1_1d_results", "{")])
+def test_what_no_file_is_for_ends_the_batch(spark, tmp_path, topic, value):
+    good = '{"ts": 1, "vault_id": 2, "count": 3, "mean_s194": 1.0, "stddev_s194": null}'
+    batch = spark.createDataFrame([("query1_1d_results", good), (topic, value)], "topic string, value string")
+    with pytest.raises(Exception):
+        results.route_results(batch, 0, str(tmp_path), ["query1_1d_results", "query2_1d_results"])
+    assert results.read_result(spark, str(tmp_path), "query1_1d_results").count() == 0
+    sound = spark.createDataFrame([("query1_1d_results", good)], batch.schema)
+    results.route_results(sound, 0, str(tmp_path), ["query1_1d_results", "query2_1d_results"])
+    assert results.read_result(spark, str(tmp_path), "query1_1d_results").count() == 1
+    assert os.listdir(tmp_path) == ["query1_1d_results.csv"]

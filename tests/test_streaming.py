@@ -1,5 +1,6 @@
 import os
 import time
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,7 +12,7 @@ from vaultwatch.schemas import EVENT_SCHEMA, RANKING_RESULT, TEMPERATURE_RESULT
 from vaultwatch.sources import results, topics
 from vaultwatch.sources.shared import shared_dir
 from vaultwatch.streaming import jobs
-from vaultwatch.streaming.progress import METRICS_SCHEMA, ProgressLog, metrics
+from vaultwatch.streaming.progress import METRICS_SCHEMA, recorded
 
 
 class Topic:
@@ -80,9 +81,11 @@ def test_late_row_is_dropped_and_counted(spark, topic, tmp_path):
     for day in ("04-01", "04-02", "04-03"):
         topic.add([event(day)])
     topic.add([event("04-04"), event("04-01", serial="late")])
-    query = run_q1(topic, 1, tmp_path)
+    stream = topic.stream()
+    with recorded(stream.sparkSession) as log:
+        run(jobs.temperature_stream(stream, 1), tmp_path)
     assert emitted(spark, tmp_path) == [(ms(day), 1000, 1) for day in ("04-01", "04-02", "04-03")]
-    totals = metrics(spark, [query]).agg(F.sum("rows_dropped").alias("d"), F.sum("input_rows").alias("n")).first()
+    totals = log.metrics().agg(F.sum("rows_dropped").alias("d"), F.sum("input_rows").alias("n")).first()
     assert (totals.d, totals.n) == (1, 5)
 
 
@@ -136,12 +139,14 @@ def busy(spark, topic):
 
 
 @pytest.mark.parametrize("window,days", [("1d", 1), ("3d", 3), ("all", 23)])
-def test_streams_equal_batch(spark, busy, tmp_path, window, days):
-    topic, rows = busy
-    out, checkpoints = str(tmp_path / "results"), str(tmp_path / "checkpoints")
-    jobs.wait(jobs.run_stream("query1", window, topic.stream(4), out, checkpoints, once=True))
-    jobs.wait(jobs.run_stream("query2", window, topic.stream(4), out, checkpoints, once=True))
+def test_streams_equal_batch(spark, tmp_path, window, days):
+    rows, path = [*month(spark), event("04-19", failure=True)], str(tmp_path / "topic")
     df = prepare(frame(spark, rows))
+    files = topics.publish_in_order(df.drop("disk"), path, [datetime(2023, 4, d) for d in (4, 7, 10, 19)])
+    out, checkpoints = str(tmp_path / "results"), str(tmp_path / "checkpoints")
+    for query in ("query1", "query2"):
+        stream = topics.parquet_events(jobs.streaming_session(spark, 2), path, df.drop("disk").schema, files)
+        jobs.wait(jobs.run_stream(query, window, stream, out, checkpoints, once=True))
     for query, batch in (("query1", query1(df, window)), ("query2", query2(df, window))):
         want = closed_only(result_rows(query, batch), F.lit(ms("04-19")), days).collect()
         got = results.read_result(spark, out, f"{query}_{window}_results").collect()
@@ -150,15 +155,41 @@ def test_streams_equal_batch(spark, busy, tmp_path, window, days):
 
 def test_all_windows_run_side_by_side(spark, busy, tmp_path):
     topic, rows = busy
-    log = ProgressLog()
-    started = jobs.run_stream("query1", "all_three", topic.stream(None), str(tmp_path / "out"), str(tmp_path / "c"), once=True)
-    jobs.wait(started)
+    stream = topic.stream(None)
+    with recorded(stream.sparkSession) as log:
+        started = jobs.run_stream("query1", "all_three", stream, str(tmp_path / "out"), str(tmp_path / "c"), once=True)
+        jobs.wait(started)
     assert len(started) == 3
-    found = metrics(spark, started)
+    found = log.metrics()
     assert found.schema == METRICS_SCHEMA
     assert found.filter("input_rows > 0").count() == 3
     assert found.agg(F.sum("input_rows")).first()[0] == 3 * (len(rows) + 1)
-    assert log.metrics(spark).count() == 0
+
+
+def test_files_out_of_time_order_need_a_lateness(spark, topic, tmp_path):
+    for day in ("04-05", "04-06", "04-02", "04-20"):
+        topic.add([event(day, failure=True)])
+    for name, files, lateness in (("one", 1, "0 seconds"), ("one-late", 1, "4 days"), ("all", None, "0 seconds")):
+        for query in ("query1", "query2"):
+            jobs.wait(jobs.run_stream(query, "1d", topic.stream(files), str(tmp_path / name), str(tmp_path / f"c-{name}"), once=True, lateness=lateness))
+        counts = [results.read_result(spark, str(tmp_path / name), f"{query}_1d_results").count() for query in ("query1", "query2")]
+        assert counts == ([2, 2] if name == "one" else [3, 3])
+
+
+@pytest.mark.parametrize("rows_per_file", [5_000_000, 40])
+def test_replay_in_order_loses_nothing(spark, tmp_path, rows_per_file):
+    rows = month(spark)
+    df = prepare(frame(spark, rows)).repartition(5)
+    steps = [datetime(2023, 4, d) for d in (3, 5, 9)]
+    files = topics.publish_in_order(df.drop("seq", "disk"), f"{tmp_path}/topic", steps, rows_per_file=rows_per_file)
+    assert (files > 1) == (rows_per_file == 40)
+    want = sorted((r.ts, r.vault_id, r["count"]) for r in query1(df, "1d").collect() if r.ts < ms("04-12"))
+    session = jobs.streaming_session(spark, 2)
+    for name, batch in (("steps", files), ("all", None)):
+        stream = topics.parquet_events(session, f"{tmp_path}/topic", spark.read.parquet(f"{tmp_path}/topic").schema, batch)
+        run(jobs.temperature_stream(stream, 1), tmp_path / name)
+        got = emitted(spark, tmp_path / name)
+        assert got == want
 
 
 class Recorder:
@@ -185,21 +216,16 @@ def test_results_for_kafka_are_json_records_per_window(spark, topic, tmp_path, m
     assert seen.started == [(["value"], None, "kafka", f"query{q}_{w}_results") for q in (1, 2) for w in ("1d", "3d", "all")]
 
 
-def test_listener_collects_progress(spark, topic, tmp_path):
-    topic.add([event("04-01")]).add([event("04-02")])
+def test_progress_of_many_batches_is_complete(spark, topic, tmp_path):
+    for i in range(12):
+        topic.add([event(f"04-{1 + i:02d}")])
     stream = topic.stream()
-    log = ProgressLog(keep=50)
-    stream.sparkSession.streams.addListener(log)
-    try:
-        run(jobs.temperature_stream(stream, 1), tmp_path)
-        for _ in range(100):
-            if log.metrics(spark).agg(F.sum("input_rows")).first()[0] == 2:
-                break
-            time.sleep(0.1)
-        else:
-            raise AssertionError("no progress arrived")
-    finally:
-        stream.sparkSession.streams.removeListener(log)
+    stream.sparkSession.conf.set("spark.sql.streaming.numRecentProgressUpdates", 2)
+    with recorded(stream.sparkSession) as log:
+        log._rows_per_file = 5
+        query = run(jobs.temperature_stream(stream, 1), tmp_path)
+    assert len(query.recentProgress) <= 2
+    assert log.metrics().agg(F.sum("input_rows")).first()[0] == 12
 
 
 def test_watermark_takes_utc_timestamps(spark, topic):
@@ -208,9 +234,11 @@ def test_watermark_takes_utc_timestamps(spark, topic):
     assert df.schema["ts"].dataType.typeName() == "timestamp"
 
 
-def test_state_partitions_are_bounded(spark):
-    assert int(jobs.streaming_session(spark).conf.get("spark.sql.shuffle.partitions")) <= 8
-    assert jobs.streaming_session(spark, 3).conf.get("spark.sql.shuffle.partitions") == "3"
+def test_state_partitions_are_those_of_the_session(spark):
+    assert jobs.streaming_session(spark, 200).conf.get("spark.sql.shuffle.partitions") == "200"
+    wide = spark.newSession()
+    wide.conf.set("spark.sql.shuffle.partitions", 200)
+    assert jobs.streaming_session(wide).conf.get("spark.sql.shuffle.partitions") == "200"
 
 
 def test_declared_streams(spark, topic):

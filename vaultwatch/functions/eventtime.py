@@ -69,9 +69,13 @@ def with_event_time(df: DataFrame, date: str = "date", ts: str = "ts") -> DataFr
     return df.withColumn(ts, F.to_timestamp(F.col(date), PARSE_FORMAT))
 
 
-def monotonous(df: DataFrame, ts: str = "ts") -> DataFrame:
-    """Watermark at the latest event time seen, without allowance for rows out of order."""
-    return df.withWatermark(ts, "0 seconds")
+def monotonous(df: DataFrame, ts: str = "ts", lateness: str = "0 seconds") -> DataFrame:
+    """Watermark at the latest event time seen, less ``lateness``.
+
+    Without an allowance, a row that comes in a later batch than one of a window after its own is dropped; so
+    sources in time order need none, and others the longest stretch by which they are out of order.
+    """
+    return df.withWatermark(ts, lateness)
 
 
 def event_time_filter(df: DataFrame, predicate: Column, ts: str = "ts") -> DataFrame:

@@ -11,9 +11,13 @@ VAULT_RANGE = (1000, 1020)
 TEMPERATURE = "s194_temperature_celsius"
 
 
-def in_range(df: DataFrame, bounds: tuple[int, int] | None, key: str = "vault_id", ts: str = "ts") -> DataFrame:
-    """Keep dated events with a key within ``bounds``, both ends included."""
-    return event_time_filter(df, F.lit(True) if bounds is None else F.col(key).between(*bounds), ts)
+def in_range(df: DataFrame, bounds: tuple[int, int] | None, key: str = "vault_id", ts: str = "ts", value: str = TEMPERATURE) -> DataFrame:
+    """Keep dated events with a value and a key within ``bounds``, both ends included.
+
+    A row without a value, such as a closing row may be, moves the watermark and is no event.
+    """
+    known = F.col(value).isNotNull()
+    return event_time_filter(df, known if bounds is None else known & F.col(key).between(*bounds), ts)
 
 
 def windowed_stats(
@@ -30,7 +34,7 @@ def windowed_stats(
     Batch and streaming. Each task sends one partial row per window and key, however many events
     a key has. The deviation of a single event is 0.0.
     """
-    grouped = in_range(df, bounds, key, ts).groupBy(window_key(df, ts, days, offset_days).alias("w"), key)
+    grouped = in_range(df, bounds, key, ts, value).groupBy(window_key(df, ts, days, offset_days).alias("w"), key)
     stats = grouped.agg(
         F.count(value).cast("int").alias("count"),
         F.avg(value).alias("mean_s194"),
@@ -50,7 +54,7 @@ def windowed_variances(
     """Population and sample variance per window and key; both NaN for fewer than two events."""
     nan = F.lit(float("nan"))
     n = F.count(value)
-    grouped = in_range(df, bounds, key, ts).groupBy(window_key(df, ts, days).alias("w"), key)
+    grouped = in_range(df, bounds, key, ts, value).groupBy(window_key(df, ts, days).alias("w"), key)
     return grouped.agg(
         n.cast("int").alias("count"),
         F.avg(value).alias("mean_s194"),
@@ -67,7 +71,7 @@ def daily_moments(
     value: str = TEMPERATURE,
 ) -> DataFrame:
     """(count, mean, m2) per day and key of a table: all that any wider window needs."""
-    grouped = in_range(df, bounds, key, ts).groupBy(grid_start(ts, 1).alias("w"), key)
+    grouped = in_range(df, bounds, key, ts, value).groupBy(grid_start(ts, 1).alias("w"), key)
     return grouped.agg(
         F.count(value).alias("count"),
         F.avg(value).alias("mean"),
@@ -75,24 +79,22 @@ def daily_moments(
     ).select(F.timestamp_millis("w").alias("day"), key, "count", "mean", "m2")
 
 
-def merge_moments(partials: DataFrame, *keys: str, center: float = 0.0) -> DataFrame:
+def merge_moments(partials: DataFrame, *keys: str) -> DataFrame:
     """Merge any number of (count, mean, m2) rows per key, in any order.
 
-    Sums only, so partial aggregation applies and one hot key costs one row per task. Means are
-    taken from ``center``: set it near the values where these are large beside their spread.
+    The mean comes first and the squares are summed around it, so no digits are lost where means are large beside
+    their spread. Both steps combine in the tasks before the shuffle: a hot key costs one row per task and step.
+    Null keys are a group; rows without a count add nothing.
     """
-    n = F.sum("count")
-    shift = F.col("mean") - F.lit(float(center))
-    mean = F.sum(F.col("count") * shift) / n
-    squares = F.sum(F.col("m2") + F.col("count") * shift * shift)
-    return (
-        partials.filter(F.col("count") > 0)
-        .groupBy(*keys)
-        .agg(
-            n.alias("count"),
-            (mean + F.lit(float(center))).alias("mean"),
-            F.greatest(squares - n * mean * mean, F.lit(0.0)).alias("m2"),
-        )
+    if not keys:
+        raise ValueError("name the keys to merge by")
+    rows = partials.filter(F.col("count") > 0)
+    centers = rows.groupBy(*keys).agg(F.sum("count").alias("_n"), (F.sum(F.col("count") * F.col("mean")) / F.sum("count")).alias("_center"))
+    centers = centers.withColumnsRenamed({key: f"_{key}" for key in keys})
+    same = [rows[key].eqNullSafe(centers[f"_{key}"]) for key in keys]
+    off = F.col("mean") - F.col("_center")
+    return rows.join(centers, same).groupBy(*keys).agg(
+        F.max("_n").alias("count"), F.max("_center").alias("mean"), F.sum(F.col("m2") + F.col("count") * off * off).alias("m2")
     )
 
 

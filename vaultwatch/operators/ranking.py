@@ -33,6 +33,8 @@ def best_day(daily: DataFrame, days: int, key: str = "vault_id", offset_days: in
     ``i`` the day's place in the window, a larger ``failures * days + (days - 1 - i)`` is a larger
     count or, for the same count, an earlier day.
     """
+    if days == 1 and not offset_days:  # a day is a window; the rows are unique already
+        return daily.select(F.unix_millis("day").alias("ts"), key, "day", "failures")
     placed = daily.withColumn("w", grid_start("day", days, offset_days))
     place = F.expr(f"(unix_millis(day) - w) div {DAY_MS}")
     packed = F.max(F.col("failures") * days + (F.lit(days - 1) - place)).alias("packed")
@@ -62,8 +64,9 @@ def top_vaults(best: DataFrame, k: int = RANKING_SLOTS, key: str = "vault_id") -
 def failed_disks(df: DataFrame, vault_days: DataFrame, key: str = "vault_id", ts: str = "ts", flag: str = "failure") -> DataFrame:
     """One row per failure report of the given (vault, day) rows, with that row's columns.
 
-    ``vault_days`` should be settled: the planner then broadcasts it if it is small and else
-    shuffles both sides, where adaptive execution splits a vault that holds much of the data.
+    ``vault_days`` should be settled: the planner then broadcasts it if it is small and else shuffles both sides.
+    Adaptive execution can then split a vault that holds much of the data, as long as nothing above the join needs
+    the rows of a vault together; :func:`ordered_lists` deals them anew for that reason.
     """
     reports = failing(df, flag, ts).withColumn("day", F.timestamp_millis(grid_start(ts, 1)))
     return reports.withColumnRenamed(ts, "reported").join(
@@ -71,26 +74,34 @@ def failed_disks(df: DataFrame, vault_days: DataFrame, key: str = "vault_id", ts
     ).drop(reports[key], reports["day"])
 
 
-def by_minute(ts: str = "ts") -> Column:
-    """Chunk of a day's list for events spread over the day."""
-    return F.date_trunc("minute", F.col(ts))
+CHUNK_ROWS = 10_000
 
 
-def by_instant(ts: str = "ts", label: str = "disk", prefix: int = 12) -> Column:
-    """Chunk of a day's list for snapshots, whose events share one instant and are ordered by label."""
-    return F.struct(F.col(ts), F.substring(F.col(label), 1, prefix))
+def by_arrival(df: DataFrame, seq: str = "seq", rows: int = CHUNK_ROWS) -> Column:
+    """Chunk of a list: a stretch of ``rows`` in the order of arrival, so that events of one instant divide as well.
+
+    ``seq`` is a number, or a place (struct) whose last field is the number of a row within the other fields.
+    """
+    kind = df.schema[seq].dataType
+    if kind.typeName() != "struct":
+        return F.expr(f"`{seq}` div {rows}")
+    *outer, last = kind.fieldNames()
+    return F.struct(*[F.col(seq)[name].alias(name) for name in outer], F.floor(F.col(seq)[last] / rows).alias(last))
 
 
 def ordered_lists(rows: DataFrame, groups: list[str], chunk: Column, order: list[str], label: str = "disk") -> DataFrame:
     """Per group the number of rows and the list of their labels, duplicates kept, in ``order``.
 
-    Two levels: rows are sorted and collected within chunks of a group, and the final step only
-    strings finished chunks together, so the work on a hot group is spread over its chunks.
-    ``chunk`` must not decrease along ``order``. Runs on streams as well, where the open state of a
-    chunk stays small and a chunk is passed on when its window closes.
+    Two levels: rows are sorted and collected within chunks of a group, and the final step only strings finished
+    chunks together. Tables are dealt by group and chunk first, so the chunks of a hot group go to many tasks even
+    where the rows come from a join that has brought the group together. ``chunk`` must not decrease along
+    ``order``. Runs on streams as well.
     """
+    rows = rows.withColumn("chunk", chunk)
+    if not rows.isStreaming:
+        rows = rows.repartition(*groups, "chunk")
     listed = F.sort_array(F.collect_list(F.struct(*order, F.col(label).alias("label"))))
-    pieces = rows.groupBy(*groups, chunk.alias("chunk")).agg(
+    pieces = rows.groupBy(*groups, "chunk").agg(
         F.count("*").alias("n"), F.transform(listed, lambda x: x["label"]).alias("labels")
     )
     chunks = F.sort_array(F.collect_list(F.struct("chunk", "labels")))
@@ -101,16 +112,16 @@ def ordered_lists(rows: DataFrame, groups: list[str], chunk: Column, order: list
 
 def daily_failures(
     df: DataFrame,
-    chunk: Column | None = None,
-    order: tuple[str, ...] = ("ts", "seq"),
     key: str = "vault_id",
     ts: str = "ts",
     flag: str = "failure",
     label: str = "disk",
+    seq: str = "seq",
+    rows_per_chunk: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Failures and disk list per day window ``w`` and vault, for batch and streams."""
+    """Failures and disk list per day window ``w`` and vault, in order of arrival, for batch and streams."""
     rows = failing(df, flag, ts).withColumn("w", tumbling(ts, 1))
-    return ordered_lists(rows, ["w", key], by_minute(ts) if chunk is None else chunk, list(order), label)
+    return ordered_lists(rows, ["w", key], by_arrival(df, seq, rows_per_chunk), [seq], label)
 
 
 def best_day_with_disks(daily: DataFrame, days: int, key: str = "vault_id") -> DataFrame:
@@ -132,17 +143,16 @@ def best_day_with_disks(daily: DataFrame, days: int, key: str = "vault_id") -> D
 def with_disks(
     df: DataFrame,
     vault_days: DataFrame,
-    chunk: Column | None = None,
-    order: tuple[str, ...] = ("reported", "seq"),
     key: str = "vault_id",
     label: str = "disk",
+    seq: str = "seq",
+    rows_per_chunk: int = CHUNK_ROWS,
 ) -> DataFrame:
-    """Add the ``disks`` list to settled (vault, day) rows."""
+    """Add the ``disks`` list, in order of arrival, to settled (vault, day) rows."""
     columns = vault_days.columns
     rows = failed_disks(df, vault_days, key).withColumnRenamed("failures", "expected")
     groups = ["expected" if c == "failures" else c for c in columns]
-    chunk = by_minute("reported") if chunk is None else chunk
-    return ordered_lists(rows, groups, chunk, list(order), label).select(*columns, "disks")
+    return ordered_lists(rows, groups, by_arrival(df, seq, rows_per_chunk), [seq], label).select(*columns, "disks")
 
 
 def ranked(df: DataFrame, days: int, k: int = RANKING_SLOTS, key: str = "vault_id") -> DataFrame:
@@ -150,15 +160,14 @@ def ranked(df: DataFrame, days: int, k: int = RANKING_SLOTS, key: str = "vault_i
     return top_vaults(best_day(daily_counts(df, key), days, key), k, key)
 
 
-def ranked_with_disks(df: DataFrame, days: int, k: int = RANKING_SLOTS, key: str = "vault_id", chunk: Column | None = None,
-                      order: tuple[str, ...] = ("reported", "seq")) -> DataFrame:
+def ranked_with_disks(df: DataFrame, days: int, k: int = RANKING_SLOTS, key: str = "vault_id") -> DataFrame:
     """Top ``k`` vaults per window, each with the list of its failed disks.
 
     Two scans: counts decide the ranking, which is at most ``k`` small rows per window; the second
     scan keeps only the winners' reports, so no other disk name is ever shuffled.
     """
     winners = settle(ranked(df, days, k, key), "ranking")
-    return with_disks(df, winners, chunk, order, key)
+    return with_disks(df, winners, key)
 
 
 def merge_rankings(a: DataFrame, b: DataFrame, k: int = RANKING_SLOTS, key: str = "vault_id") -> DataFrame:

@@ -2,53 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_BUCKETS = 20_000
-_SAMPLES = 100
+from vaultwatch.sources.shared import settle
 
 
-def _bounds(df: DataFrame, seq: str, rows_per_bucket: int) -> list[float]:
-    """Cut points that split ``seq`` into buckets of about the same number of rows.
+def event_gaps(df: DataFrame, seq: str = "seq", ts: str = "ts") -> DataFrame:
+    """Seconds since the previous event in file order; null for the first. ``seq`` is a number or a place.
 
-    They only decide how the work is split, so a sample will do; at most ``MAX_BUCKETS`` numbers
-    come to the driver.
-    """
-    n = df.count()
-    buckets = min(MAX_BUCKETS, -(-n // rows_per_bucket))
-    if buckets < 2:
-        return []
-    place = df.select(F.col(seq).cast("double").alias("place"))
-    if n > _SAMPLES * buckets:
-        place = place.sample(_SAMPLES * buckets / n, seed=7)
-    shares = [i / buckets for i in range(1, buckets)]
-    cuts = place.agg(F.percentile_approx("place", shares, 10 * buckets)).first()[0]
-    return sorted(set(cuts or []))
-
-
-def event_gaps(df: DataFrame, seq: str = "seq", ts: str = "ts", rows_per_bucket: int = 50_000) -> DataFrame:
-    """Seconds since the previous event in file order; null for the first. ``seq`` is a number.
-
-    A window over the whole file would run in one task. The file is cut into buckets of consecutive
-    events instead, and the first event of a bucket takes its predecessor from a table with the
-    last event of each bucket.
+    A window over the whole file would run in one task. The file is dealt to tasks by ranges of its order instead,
+    and the first event of a range takes its predecessor from a table with the last event of each. Ranges and
+    their number follow the session's shuffle partitions; the table has a row for each.
     """
     rows = df.filter(F.col(ts).isNotNull() & F.col(seq).isNotNull())
-    splits = [float("-inf"), *(_bounds(rows, seq, rows_per_bucket) or [0.0]), float("inf")]
-    place = rows.withColumn("_place", F.col(seq).cast("double"))
-    rows = Bucketizer(splits=splits, inputCol="_place", outputCol="_bucket").transform(place)
-
-    tails = rows.groupBy("_bucket").agg(F.max_by(ts, seq).alias("_last"))
-    # One row per bucket, so at most MAX_BUCKETS + 1: fit for one task and for a broadcast.
-    heads = tails.select("_bucket", F.lag("_last").over(Window.orderBy("_bucket")).alias("_before"))
-    within = Window.partitionBy("_bucket").orderBy(seq)
+    width = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ordered = rows.repartitionByRange(width, seq).sortWithinPartitions(seq)
+    placed = settle(ordered.withColumn("_row", F.monotonically_increasing_id()).withColumn("_part", F.spark_partition_id()), "file-order")
+    tails = placed.groupBy("_part").agg(F.max_by(ts, "_row").alias("_last"))
+    heads = tails.select("_part", F.lag("_last").over(Window.orderBy("_part")).alias("_before"))  # a row per range
+    within = Window.partitionBy("_part").orderBy("_row")
     return (
-        rows.join(F.broadcast(heads), "_bucket", "left")
+        placed.join(heads, "_part")
         .withColumn("_previous", F.coalesce(F.lag(ts).over(within), F.col("_before")))
         .withColumn("gap_seconds", (F.unix_micros(ts) - F.unix_micros("_previous")) / F.lit(1e6))
-        .drop("_place", "_bucket", "_before", "_previous")
+        .drop("_row", "_part", "_before", "_previous")
     )
 
 

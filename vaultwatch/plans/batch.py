@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vaultwatch.functions.eventtime import DAY_MS, grid_start, with_event_time
@@ -20,27 +20,20 @@ from vaultwatch.sources.shared import settle
 
 
 def prepare(events: DataFrame) -> DataFrame:
-    """Events as published: event time from the date text, ``disk`` as label and tie order."""
+    """Events as published: event time from the date text, ``disk`` as label; ``seq``, their arrival, must be there."""
+    if "seq" not in events.columns:
+        raise ValueError("events need their order of arrival in a column seq, as the sources give it")
     df = events if "ts" in events.columns else with_event_time(events)
     return df if "disk" in df.columns else df.withColumn("disk", disk_label())
 
 
-def list_order(df: DataFrame, ts: str = "ts") -> tuple[Column, tuple[str, ...]]:
-    """How a day's disk list is cut and ordered: by arrival if there is a sequence, else by label."""
-    if "seq" in df.columns:
-        return ranking.by_minute(ts), (ts, "seq")
-    return ranking.by_instant(ts), (ts, "disk")
-
-
 def query1(events: DataFrame, window: str, bounds: tuple[int, int] | None = moments.VAULT_RANGE) -> DataFrame:
     return moments.windowed_stats(prepare(events), WINDOW_DAYS[window], bounds)
 
 
 def query2(events: DataFrame, window: str) -> DataFrame:
     """Long form: (ts, vault_id, day, failures, rk, disks)."""
-    df = prepare(events)
-    chunk, order = list_order(df, "reported")
-    return ranking.ranked_with_disks(df, WINDOW_DAYS[window], chunk=chunk, order=order)
+    return ranking.ranked_with_disks(prepare(events), WINDOW_DAYS[window])
 
 
 def query1_windows(events: DataFrame, windows: str | list[str], bounds: tuple[int, int] | None = moments.VAULT_RANGE) -> dict[str, DataFrame]:
@@ -58,7 +51,7 @@ def query2_windows(events: DataFrame, windows: str | list[str]) -> dict[str, Dat
         ranking.top_vaults(ranking.best_day(daily, WINDOW_DAYS[name])).withColumn("window_name", F.lit(name)) for name in names
     ]
     winners = settle(reduce(DataFrame.unionByName, tops), "rankings")
-    listed = settle(ranking.with_disks(df, winners, *list_order(df, "reported")), "ranked-disks")
+    listed = settle(ranking.with_disks(df, winners), "ranked-disks")
     return {name: listed.filter(F.col("window_name") == name).drop("window_name") for name in names}
 
 

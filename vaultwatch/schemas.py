@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Every CSV reader and writer: a quote inside a quoted cell is doubled, as other CSV tools do it.
+CSV_OPTIONS = {"quote": '"', "escape": '"'}
+
 # Position in the raw CSV row -> field of the event.
 RAW_POSITIONS = {
     0: "date",
@@ -16,6 +19,7 @@ RAW_POSITIONS = {
 }
 RAW_MIN_WIDTH = max(RAW_POSITIONS) + 1
 
+# Fields of an event, in their order.
 EVENT_SCHEMA = T.StructType(
     [
         T.StructField("date", T.StringType()),
@@ -28,6 +32,7 @@ EVENT_SCHEMA = T.StructType(
     ]
 )
 
+# Fields of Query 1's result.
 TEMPERATURE_RESULT = T.StructType(
     [
         T.StructField("ts", T.LongType()),
@@ -42,7 +47,7 @@ RANKING_SLOTS = 10
 
 
 def ranking_result(slots: int = RANKING_SLOTS) -> T.StructType:
-    """``ts`` and then (vault, failures, disks) for each slot; unused slots are null."""
+    """Fixed values, fields of Query 2's result: ``ts`` and then (vault, failures, disks) for each slot; unused slots are null."""
     schema = T.StructType([T.StructField("ts", T.LongType())])
     for slot in range(1, slots + 1):
         schema = (

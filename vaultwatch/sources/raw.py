@@ -8,10 +8,10 @@ from pyspark.sql import types as T
 
 from vaultwatch.functions.eventtime import parse_time, print_time
 from vaultwatch.functions.telemetry import as_float, as_int, is_blank
-from vaultwatch.schemas import EVENT_SCHEMA, RAW_MIN_WIDTH, RAW_POSITIONS
+from vaultwatch.schemas import CSV_OPTIONS, EVENT_SCHEMA, RAW_MIN_WIDTH, RAW_POSITIONS
+from vaultwatch.sources.topics import arrival, stream_arrival
 
 EVENT_FIELDS = EVENT_SCHEMA.fieldNames()
-CSV_OPTIONS = {"quote": '"', "escape": '"'}
 
 EVENT, NO_TEMPERATURE, REJECT = "event", "no_temperature", "reject"
 
@@ -23,16 +23,21 @@ def raw_schema(width: int = RAW_MIN_WIDTH) -> T.StructType:
     return T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(width)])
 
 
-def read_raw(spark: SparkSession, path: str, width: int = RAW_MIN_WIDTH) -> DataFrame:
-    """Scan headered CSV. The parser reads only the cells that a plan uses."""
-    return spark.read.schema(raw_schema(width)).options(header=True, **CSV_OPTIONS).csv(path)
+def read_raw(spark: SparkSession, path: str, width: int = RAW_MIN_WIDTH, multi_line: bool = False) -> DataFrame:
+    """Scan headered CSV, with ``seq``, the place of each row. The parser reads only the cells that a plan uses.
+
+    Files are split over tasks at line breaks. Where quoted cells may hold line breaks, ``multi_line`` reads each file
+    in one task instead.
+    """
+    reader = spark.read.schema(raw_schema(width)).options(header=True, multiLine=multi_line, **CSV_OPTIONS)
+    return reader.csv(path).withColumn("seq", arrival())
 
 
 def stream_raw(spark: SparkSession, path: str, width: int = RAW_MIN_WIDTH, files_per_batch: int | None = None) -> DataFrame:
     reader = spark.readStream.schema(raw_schema(width)).options(header=True, **CSV_OPTIONS)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.csv(path)
+    return reader.csv(path).withColumn("seq", stream_arrival())
 
 
 def parse_raw(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -64,6 +69,7 @@ def parse_raw(raw: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
         .when(unreadable("s9_power_on_hours"), "s9_power_on_hours")
         .when(unreadable("s194_temperature_celsius"), "s194_temperature_celsius")
     )
+    keep = tuple(keep) + (("seq",) if "seq" in raw.columns and "seq" not in keep else ())
     no_temperature = value["s194_temperature_celsius"].isNull()
     status = F.when(reason.isNotNull(), REJECT).when(no_temperature, NO_TEMPERATURE).otherwise(EVENT)
     return raw.select("*", once).select(
@@ -90,25 +96,37 @@ def rejected_rows(parsed: DataFrame) -> DataFrame:
 
 
 def landing(raw: DataFrame) -> DataFrame:
-    """Event fields for sound rows, raw cells and reason for rejects, and the ``status`` to part them by."""
-    cells = raw.columns
+    """Event fields for sound rows, raw cells and reason for rejects, and what to part them by: ``status``, the
+    day, and whether the drive has failed."""
+    cells = [c for c in raw.columns if c != "seq"]
     parsed = parse_raw(raw, keep=tuple(cells))
     sound, rejected = F.col("status") != REJECT, F.col("status") == REJECT
     return parsed.select(
-        "status",
-        *[F.when(sound, F.col(name)).alias(name) for name in EVENT_FIELDS],
+        *[F.when(sound, F.col(name)).alias(name) for name in EVENT_FIELDS if name != "failure"],
+        F.when(sound, F.col("ts")).alias("ts"),
+        *[c for c in parsed.columns if c == "seq"],
         F.col("reason"),
         *[F.when(rejected, F.col(name)).alias(name) for name in cells],
+        "status",
+        F.when(sound, F.date_format("ts", "yyyy-MM-dd")).alias("day"),
+        F.when(sound, F.col("failure")).alias("failure"),
     )
 
 
 def land(raw: DataFrame, path: str) -> None:
-    """One pass over the CSV into JSON lines, a folder per status.
+    """One pass over the CSV into Parquet, parted by status, day and failure flag.
 
-    ``{path}/status=event`` is a file topic of clean events; ``{path}/status=reject`` holds the raw
-    cells of each rejected row with the reason.
+    :func:`landed` reads the events; ``{path}/status=reject`` holds the raw cells of each rejected row with the reason.
     """
-    landing(raw).write.mode("overwrite").partitionBy("status").json(path)
+    landing(raw).write.mode("overwrite").partitionBy("status", "day", "failure").parquet(path)
+
+
+def landed(spark: SparkSession, path: str) -> DataFrame:
+    """The landed events with ``ts`` and ``seq``. Filters on day and failure leave out whole folders."""
+    table = spark.read.parquet(path)
+    types = {name: EVENT_SCHEMA[name].dataType for name in EVENT_FIELDS}
+    fields = [F.col(name).cast(kind).alias(name) for name, kind in types.items()]
+    return table.filter(F.col("status") == EVENT).select(*fields, "ts", "seq", "day")
 
 
 def closing_event(parsed: DataFrame, seq: str, days: int = 7) -> DataFrame:

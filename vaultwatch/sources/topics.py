@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -15,13 +15,13 @@ def encode(rows: DataFrame, schema: T.StructType) -> DataFrame:
     return rows.select(F.to_json(fields, {"ignoreNullFields": "false"}).alias("value"))
 
 
-def decode(records: DataFrame, schema: T.StructType, mode: str = "FAILFAST") -> DataFrame:
-    """JSON text back to columns. A corrupt record ends the job, unless ``mode`` is PERMISSIVE.
+def decode(records: DataFrame, schema: T.StructType, mode: str = "FAILFAST", keep: tuple[str, ...] = ()) -> DataFrame:
+    """JSON text back to columns, after those to ``keep``. A corrupt record ends the job, unless ``mode`` is PERMISSIVE.
 
     ``inline`` keeps the parser to one call per record: a struct column would be parsed again by
     every filter that is moved below its projection.
     """
-    return records.select(F.inline(F.array(F.from_json(F.col("value").cast("string"), schema, {"mode": mode}))))
+    return records.select(*keep, F.inline(F.array(F.from_json(F.col("value").cast("string"), schema, {"mode": mode}))))
 
 
 def decode_with_rejects(records: DataFrame, schema: T.StructType) -> DataFrame:
@@ -46,15 +46,37 @@ def kafka_writer_options(servers: str, topic: str | None = None) -> dict[str, st
     return {"kafka.bootstrap.servers": servers} | ({"topic": topic} if topic else {})
 
 
-def kafka_events(spark: SparkSession, servers: str, topic: str = EVENT_TOPIC, start: str = "latest", group: str | None = None) -> DataFrame:
-    records = spark.readStream.format("kafka").options(**kafka_reader_options(servers, topic, start, group)).load()
-    return decode(records, EVENT_SCHEMA)
+def kafka_events(
+    spark: SparkSession, servers: str, topic: str = EVENT_TOPIC, start: str = "latest", group: str | None = None, records_per_batch: int | None = None
+) -> DataFrame:
+    """Events of a topic; ``seq``, their arrival, is the partition and the offset in it."""
+    options = kafka_reader_options(servers, topic, start, group) | ({"maxOffsetsPerTrigger": str(records_per_batch)} if records_per_batch else {})
+    records = spark.readStream.format("kafka").options(**options).load()
+    return decode(records.withColumn("seq", F.struct("partition", "offset")), EVENT_SCHEMA, keep=("seq",))
+
+
+def arrival(row: Column | None = None) -> Column:
+    """The place of a row of files: file, block and the row within the block.
+
+    Rows of a block are read in order by one task, so the last, which only has to rise there, is the task's own
+    count. Streams cannot count: give them ``_metadata.row_index`` for Parquet. Other streams know the block only
+    (``row`` a constant); rows of a block are then in the order of their labels.
+    """
+    row = F.monotonically_increasing_id() if row is None else row
+    return F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), row.alias("row"))
+
 
+def stream_arrival() -> Column:
+    return arrival(F.lit(0).cast("long"))
 
-def kafka_records(spark: SparkSession, servers: str, names: list[str], start: str = "earliest") -> DataFrame:
-    """Records of several topics as (topic, value)."""
-    records = spark.readStream.format("kafka").options(**kafka_reader_options(servers, names, start)).load()
-    return records.select("topic", F.col("value").cast("string").alias("value"))
+
+def parquet_events(spark: SparkSession, path: str, schema: T.StructType, files_per_batch: int | None = None) -> DataFrame:
+    """Event stream over a folder of Parquet files, such as :func:`publish_in_order` makes, with ``seq``, their arrival."""
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    events = reader.parquet(path)
+    return events if "seq" in schema.fieldNames() else events.withColumn("seq", arrival(F.col("_metadata.row_index")))
 
 
 def file_events(
@@ -64,11 +86,30 @@ def file_events(
     schema: T.StructType = EVENT_SCHEMA,
     mode: str = "FAILFAST",
 ) -> DataFrame:
-    """Event stream over a folder of JSON lines; ``files_per_batch`` bounds a batch and sets the replay's pace."""
+    """Event stream over a folder of JSON lines, with ``seq``, their arrival.
+
+    ``files_per_batch`` bounds a batch and sets the replay's pace. Files come in the order in which they were written:
+    see :func:`publish_in_order`, or give the query a lateness.
+    """
     reader = spark.readStream.schema(schema).option("mode", mode)
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(path)
+    return reader.json(path).withColumn("seq", stream_arrival())
+
+
+def publish_in_order(events: DataFrame, path: str, steps: list, ts: str = "ts", rows_per_file: int = 5_000_000, fmt: str = "parquet") -> int:
+    """Add a table to a file topic in steps of time: first what lies before ``steps[0]``, at last what is beyond all.
+
+    Each step is written, in parallel, when the one before it is done, in as many files as the largest step needs.
+    Returns that number: with so many files to a batch, a stream reads a step at a time and no row comes late.
+    """
+    place = F.size(F.filter(F.array(*[F.lit(s) for s in steps]), lambda s: s <= F.col(ts))) if steps else F.lit(0)
+    placed = events.withColumn("_step", F.when(F.col(ts).isNull(), 0).otherwise(place))
+    sizes = {r["_step"]: r["count"] for r in placed.groupBy("_step").count().collect()}  # a row per step
+    files = max([1, *(-(-n // rows_per_file) for n in sizes.values())])
+    for step in sorted(sizes):
+        placed.filter(F.col("_step") == step).drop("_step").repartition(files).write.mode("append").format(fmt).save(path)
+    return files
 
 
 def publish(events: DataFrame, path: str, schema: T.StructType = EVENT_SCHEMA, mode: str = "append") -> None:

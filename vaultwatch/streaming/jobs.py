@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from vaultwatch.functions.eventtime import monotonous, pin_utc, start_ms
 from vaultwatch.operators import moments, ranking
-from vaultwatch.plans.batch import list_order, prepare, result_rows
-from vaultwatch.schemas import QUERY_RESULTS, WINDOW_DAYS, result_topic, windows_for
+from vaultwatch.plans.batch import prepare, result_rows
+from vaultwatch.schemas import CSV_OPTIONS, QUERY_RESULTS, WINDOW_DAYS, result_topic, windows_for
 from vaultwatch.sources.raw import landing
 from vaultwatch.sources.results import result_path, route_results
 from vaultwatch.sources.topics import encode, kafka_writer_options
@@ -21,33 +21,29 @@ def streaming_session(spark: SparkSession, state_partitions: int | None = None)
     """A session of the same application with state settings of its own.
 
     State lives in RocksDB, off the heap, with change logs instead of full snapshots per batch. The
-    number of state partitions is fixed for a checkpoint's life; without a choice it is the
-    session's shuffle partitions, but no more than the cluster has cores.
+    number of state partitions is fixed for a checkpoint's life: choose it for the cluster the query
+    grows into. Without a choice it is the session's shuffle partitions.
     """
     session = spark.newSession()
-    partitions = state_partitions or min(
-        int(spark.conf.get("spark.sql.shuffle.partitions")), max(spark.sparkContext.defaultParallelism, 2)
-    )
+    partitions = state_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     session.conf.set("spark.sql.shuffle.partitions", partitions)
     session.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
     session.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     return pin_utc(session)
 
 
-def temperature_stream(events: DataFrame, days: int, bounds: tuple[int, int] | None = moments.VAULT_RANGE) -> DataFrame:
+def temperature_stream(events: DataFrame, days: int, bounds: tuple[int, int] | None = moments.VAULT_RANGE, lateness: str = "0 seconds") -> DataFrame:
     """Query 1 on a stream. The state holds one accumulator per open window and vault."""
-    return moments.windowed_stats(monotonous(prepare(events)), days, bounds)
+    return moments.windowed_stats(monotonous(prepare(events), lateness=lateness), days, bounds)
 
 
-def best_day_stream(events: DataFrame, days: int, chunk: Column | None = None) -> DataFrame:
+def best_day_stream(events: DataFrame, days: int, lateness: str = "0 seconds") -> DataFrame:
     """Query 2 on a stream up to each vault's best day: (ts, vault_id, day, failures, disks).
 
     Chained aggregates: chunks of a day's list, the day, the wide window. A day passes on when it
     closes. All vaults of a window leave in the same batch, which is where they are ranked.
     """
-    df = prepare(events)
-    default_chunk, order = list_order(df)
-    daily = ranking.daily_failures(monotonous(df), default_chunk if chunk is None else chunk, order)
+    daily = ranking.daily_failures(monotonous(prepare(events), lateness=lateness))
     if days > 1:
         return ranking.best_day_with_disks(daily, days)
     return daily.select(
@@ -66,9 +62,16 @@ def start_append(rows: DataFrame, path: str | None, checkpoint: str, fmt: str =
 
 
 def start_landing(raw_rows: DataFrame, path: str, checkpoint: str, once: bool = False) -> StreamingQuery:
-    """Ingest raw CSV as it arrives, into a folder per status as :func:`vaultwatch.sources.raw.land` does."""
-    writer = landing(raw_rows).writeStream.outputMode("append").format("json").partitionBy("status")
-    return _start(writer, checkpoint, once, path)
+    """Ingest raw CSV as it arrives, as :func:`vaultwatch.sources.raw.land` does; :func:`raw.landed` reads it.
+
+    A batch owns a folder and replaces it when it is run again. Rows are numbered there, as a stream cannot.
+    """
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        placed = batch.withColumn("seq", F.col("seq").withField("row", F.monotonically_increasing_id()))
+        landing(placed).write.mode("overwrite").partitionBy("status", "day", "failure").parquet(f"{path}/batch={batch_id}")
+
+    return _start(raw_rows.writeStream.foreachBatch(write), checkpoint, once)
 
 
 def start_ranking(best: DataFrame, finish, path: str | None, checkpoint: str, fmt: str = "parquet", once: bool = False, **options) -> StreamingQuery:
@@ -105,6 +108,7 @@ def run_stream(
     checkpoints: str,
     once: bool = False,
     kafka: str | None = None,
+    lateness: str = "0 seconds",
 ) -> list[StreamingQuery]:
     """Start a query for the chosen windows over one event stream.
 
@@ -119,16 +123,16 @@ def run_stream(
         if kafka:
             path, fmt, options = None, "kafka", kafka_writer_options(kafka, topic)
         else:
-            path, fmt, options = result_path(out_dir, topic), "csv", {"header": "true"}
+            path, fmt, options = result_path(out_dir, topic), "csv", {"header": "true"} | CSV_OPTIONS
 
         def finish(rows: DataFrame) -> DataFrame:
             rows = result_rows(query, rows)
             return encode(rows, QUERY_RESULTS[query]) if kafka else rows
 
         if query == "query1":
-            started.append(start_append(finish(temperature_stream(events, days)), path, checkpoint, fmt, once, **options))
+            started.append(start_append(finish(temperature_stream(events, days, lateness=lateness)), path, checkpoint, fmt, once, **options))
         else:
-            started.append(start_ranking(best_day_stream(events, days), finish, path, checkpoint, fmt, once, **options))
+            started.append(start_ranking(best_day_stream(events, days, lateness), finish, path, checkpoint, fmt, once, **options))
     return started
 
 

@@ -3,16 +3,21 @@
 from __future__ import annotations
 
 import json
-from collections import deque
+import threading
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
-from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.listener import StreamingQueryListener
 
+from vaultwatch.sources.results import existing
+from vaultwatch.sources.shared import shared_dir
+
 METRICS_SCHEMA = T.StructType(
     [
         T.StructField("query", T.StringType()),
+        T.StructField("run", T.StringType()),
         T.StructField("batch_id", T.LongType()),
         T.StructField("input_rows", T.LongType()),
         T.StructField("input_rows_per_second", T.DoubleType()),
@@ -30,6 +35,7 @@ def _row(progress: dict) -> tuple:
     state = progress.get("stateOperators") or []
     return (
         progress.get("name") or progress["id"],
+        progress["runId"],
         progress["batchId"],
         progress["numInputRows"],
         progress.get("inputRowsPerSecond"),
@@ -42,26 +48,28 @@ def _row(progress: dict) -> tuple:
     )
 
 
-def metrics(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
-    """The recent progress of the given queries; Spark keeps the last hundred batches of each."""
-    rows = [_row(json.loads(p.json)) for query in queries for p in query.recentProgress]
-    return spark.createDataFrame(rows, METRICS_SCHEMA)
-
-
 class ProgressLog(StreamingQueryListener):
-    """Listener that keeps the latest batches of every query of a session.
+    """Listener that writes the progress of every query of a session to a table in the shared folder.
 
-    Register with ``spark.streams.addListener(log)``.
+    Register with ``spark.streams.addListener(log)`` before the queries start. Every batch is kept: rows go out in
+    files of ``rows_per_file``, and what is not yet written is held here until then.
     """
 
-    def __init__(self, keep: int = 1000):
-        self._rows = deque(maxlen=keep)
+    def __init__(self, spark: SparkSession, rows_per_file: int = 1000):
+        self._spark, self._rows_per_file = spark, rows_per_file
+        self._path = shared_dir(spark, "progress")
+        self._rows: list[tuple] = []
+        self._lock = threading.Lock()
 
     def onQueryStarted(self, event):
         pass
 
     def onQueryProgress(self, event):
-        self._rows.append(_row(json.loads(event.progress.json)))
+        row = _row(json.loads(event.progress.json))
+        with self._lock:
+            self._rows.append(row)
+            if len(self._rows) >= self._rows_per_file:
+                self._write()
 
     def onQueryIdle(self, event):
         pass
@@ -69,5 +77,26 @@ class ProgressLog(StreamingQueryListener):
     def onQueryTerminated(self, event):
         pass
 
-    def metrics(self, spark: SparkSession) -> DataFrame:
-        return spark.createDataFrame(list(self._rows), METRICS_SCHEMA)
+    def _write(self) -> None:
+        self._spark.createDataFrame(self._rows, METRICS_SCHEMA).coalesce(1).write.mode("append").parquet(self._path)
+        self._rows = []
+
+    def metrics(self) -> DataFrame:
+        """All batches so far, the latest state of each if its progress came more than once."""
+        with self._lock:
+            if self._rows:
+                self._write()
+        rows = existing(lambda: self._spark.read.schema(METRICS_SCHEMA).parquet(self._path), self._spark, METRICS_SCHEMA)
+        return rows.dropDuplicates(["query", "run", "batch_id", "input_rows", "trigger_ms"])
+
+
+@contextmanager
+def recorded(spark: SparkSession) -> Iterator[ProgressLog]:
+    """A log of the queries that start inside; on leaving, all their events have arrived."""
+    log = ProgressLog(spark)
+    spark.streams.addListener(log)
+    try:
+        yield log
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+    finally:
+        spark.streams.removeListener(log)
