@@ -146,10 +146,11 @@ def _q2_windows(spark, d):
 
 
 def _q2_merge_rankings(spark, d):
-    """Rankings of the first 11 and the last 12 days of each 23-day window, merged."""
-    days = WINDOW_DAYS["all"]
-    parts = [ranking.ranked_with_disks(df, days) for df in batch.first_part(_telemetry(spark, d), days, 11)]
-    return _long(_as_text(ranking.merge_rankings(*parts)))
+    """Rankings of the first 11 and the last 12 days of each 23-day window, merged on counts; lists come after."""
+    days, df = WINDOW_DAYS["all"], _telemetry(spark, d)
+    parts = [ranking.ranked(part, days) for part in batch.first_part(df, days, 11)]
+    winners = settle(ranking.merge_rankings(*parts), "ranking")
+    return _long(_as_text(ranking.with_disks(df, winners)))
 
 
 # Ingest and topics
