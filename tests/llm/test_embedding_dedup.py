@@ -76,6 +76,23 @@ def test_recall_on_the_tables(spark):
     assert sum(got.values()) >= 0.9 * sum(want.values())
 
 
+def test_all_links_inside_a_group_that_holds_a_third(spark):
+    rng = np.random.default_rng(5)
+    n, size = 21_000, 64
+    x = rng.normal(size=(n, size)) / size**0.5
+    x[: n // 3] = x[0] / np.linalg.norm(x[0]) + 0.235 * rng.normal(size=(n // 3, size)) / size**0.5
+    x = x.astype(np.float32)
+    unit = x.astype(float) / np.linalg.norm(x.astype(float), axis=1, keepdims=True)
+    group = unit[: n // 3]
+    links = np.concatenate([(group[i : i + 1000] @ group.T >= 0.93).sum(axis=1) - 1 for i in range(0, n // 3, 1000)])
+    assert links.sum() > 0.5 * len(group) ** 2 and links.min() < 0.5 * len(group)
+    rows = [(i, e, 1) for i, e in enumerate(x.tolist())]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(8)
+    got = {r.vec_id: (r.n_links, r.component_id) for r in emb.link(table).collect()}
+    assert [got[i][0] for i in range(len(group))] == links.tolist()
+    assert {got[i][1] for i in range(len(group)) if links[i]} == {int(np.flatnonzero(links)[0])}
+
+
 def test_empty_table(spark):
     assert emb.link(spark.createDataFrame([], SCHEMA)).collect() == []
     assert [tuple(r) for r in emb.link(spark.createDataFrame(EDGES[:2], SCHEMA)).collect()]

@@ -4,6 +4,11 @@ A vector is described by its nearest reference points, in order of nearness. Inv
 and label, the vectors that name it; two vectors of one list are candidates if they share enough pivots, and are
 verified by their cosine in double precision.
 
+Pivots are drawn from the vectors, so a large group of near copies would draw many, which name its members in an
+order made by noise. Pivots closer than twice the angle of a link are therefore one. A vector also names no pivot
+further off than its nearest by more than twice that angle: the nearest pivot of all that it links to is not beyond.
+If all within that reach are named, its list is whole, one shared pivot is enough, and none of its links is missed.
+
 A list is compared inside tasks, block against block of bounded size, so that a long list becomes many tasks and
 no pair leaves a task: what leaves are each vector's number of links and a forest of links. A pair that meets in
 several lists counts in that of the smallest pivot it shares. Equal vectors of a label are one class with a weight.
@@ -38,8 +43,19 @@ def usable(embedding: str) -> F.Column:
     return F.col(embedding).isNotNull() & F.coalesce(finite, F.lit(False)) & F.exists(embedding, lambda x: x != 0)
 
 
-def pivots(vectors: DataFrame, count: int) -> dict[int, np.ndarray]:
-    """Reference points for each number of dimensions: vectors chosen by their hash, ``MOST_PIVOTS`` at most."""
+def _apart(points: np.ndarray, limit: float) -> np.ndarray:
+    """The points without those closer to an earlier one that stays than twice the angle of ``limit``, or 60 degrees."""
+    near = max(0.5, 2 * limit * limit - 1) if limit > 0 else 0.5
+    kept, n = np.empty_like(points), 0
+    for point in points:
+        if not n or (kept[:n] @ point).max() < near:
+            kept[n] = point
+            n += 1
+    return kept[:n]
+
+
+def pivots(vectors: DataFrame, count: int, limit: float) -> dict[int, np.ndarray]:
+    """Reference points for each number of dimensions: vectors chosen by their hash, ``MOST_PIVOTS`` at most, apart."""
     place = F.pmod(F.xxhash64("embedding"), F.lit(1 << 40)) / float(1 << 40)
     total = vectors.count()
     chosen = vectors.select("embedding", place.alias("place")).filter(F.col("place") < 3.0 * count / max(1, total))
@@ -47,16 +63,19 @@ def pivots(vectors: DataFrame, count: int) -> dict[int, np.ndarray]:
     found: dict[int, list] = {}
     for r in rows:
         found.setdefault(len(r.embedding), []).append(r.embedding)
-    return {size: _unit(pa.array(v, pa.list_(pa.float64()))) for size, v in found.items()}
+    return {size: _apart(_unit(pa.array(v, pa.list_(pa.float64()))), limit) for size, v in found.items()}
 
 
-def _described(classes: DataFrame, points: dict[int, np.ndarray], nearest: int) -> DataFrame:
-    """The classes with ``near``: their nearest pivots. A size that has no pivots has one list, pivot -1."""
+def _described(classes: DataFrame, points: dict[int, np.ndarray], nearest: int, limit: float) -> DataFrame:
+    """The classes with ``near``, their nearest pivots within reach, and ``sure``, whether these are all within reach.
+    A size that has no pivots has one list, pivot -1."""
+    reach = 2 * float(np.arccos(np.clip(limit, -1, 1))) + 1e-6
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sizes = np.array([len(e) for e in batch.column("embedding")])
             near: list = [None] * batch.num_rows
+            sure = np.ones(batch.num_rows, bool)
             for size in np.unique(sizes):
                 rows = np.flatnonzero(sizes == size)
                 known = points.get(int(size))
@@ -67,28 +86,32 @@ def _described(classes: DataFrame, points: dict[int, np.ndarray], nearest: int)
                 likeness = _unit(batch.column("embedding").take(pa.array(rows))) @ known.T
                 k = min(nearest, len(known))
                 first = np.argpartition(-likeness, k - 1, axis=1)[:, :k]
-                for i, names in zip(rows, first):
-                    near[i] = names.tolist()
-            yield pa.record_batch([*batch.columns, pa.array(near, pa.list_(pa.int32()))], names=[*batch.schema.names, "near"])
+                least = np.cos(np.minimum(np.arccos(np.clip(likeness.max(axis=1), -1, 1)) + reach, np.pi))[:, None] - 1e-9
+                within = np.take_along_axis(likeness, first, axis=1) >= least
+                sure[rows] = (likeness >= least).sum(axis=1) <= k
+                for i, names, inside in zip(rows, first, within):
+                    near[i] = names[inside].tolist()
+            yield pa.record_batch([*batch.columns, pa.array(near, pa.list_(pa.int32())), pa.array(sure)], names=[*batch.schema.names, "near", "sure"])
 
-    return classes.mapInArrow(run, "node long, label long, weight long, embedding array<double>, near array<int>")
+    return classes.mapInArrow(run, "node long, label long, weight long, embedding array<double>, near array<int>, sure boolean")
 
 
 def compare(x: dict, y: dict | None, pivot: int, shared: int, limit: float) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Links of two blocks of one list (``y`` None: within ``x``): what each side's vectors link to by weight, and
-    the linked places. A pair counts if this is the smallest pivot that it shares."""
+    the linked places. A pair counts if this is the smallest pivot that it shares; one is enough if a side is sure."""
     own = y is None
     y = x if own else y
-    names = np.unique(np.concatenate([x["near"].ravel(), y["near"].ravel()]))
+    names = np.unique(np.concatenate([x["near"], y["near"]]))
 
-    def marks(near: np.ndarray) -> np.ndarray:
-        out = np.zeros((len(near), len(names)), np.float32)
-        np.put_along_axis(out, np.searchsorted(names, near), 1, axis=1)
+    def marks(side: dict) -> np.ndarray:
+        out = np.zeros((len(side["named"]), len(names)), np.float32)
+        out[np.repeat(np.arange(len(side["named"])), side["named"]), np.searchsorted(names, side["near"])] = 1
         return out
 
-    a, b = marks(x["near"]), marks(y["near"])
+    a, b = marks(x), marks(y)
     below = names < pivot
-    linked = (x["unit"] @ y["unit"].T >= limit) & (a @ b.T >= min(shared, x["near"].shape[1])) & (a[:, below] @ b[:, below].T == 0)
+    enough = np.where(x["sure"][:, None] | y["sure"], 1, shared)
+    linked = (x["unit"] @ y["unit"].T >= limit) & (a @ b.T >= enough) & (a[:, below] @ b[:, below].T == 0)
     if own:
         np.fill_diagonal(linked, False)
     i, j = np.nonzero(linked)
@@ -97,14 +120,14 @@ def compare(x: dict, y: dict | None, pivot: int, shared: int, limit: float) -> t
 
 def _compared(described: DataFrame, shared: int, limit: float, block: int) -> DataFrame:
     """Rows (a, b, n): that ``b`` has n more links; or, with n null, that a and b are linked."""
-    lists = described.select("node", "label", "weight", "embedding", "near", F.explode("near").alias("pivot"), F.size("embedding").alias("size"))
+    lists = described.select("node", "label", "weight", "embedding", "near", "sure", F.explode("near").alias("pivot"), F.size("embedding").alias("size"))
     sizes = lists.groupBy("label", "pivot", "size").agg(F.count("*").alias("n"))
     sizes = settle(sizes.withColumn("blocks", F.ceil(F.col("n") / block).cast("int")), "pivot-lists").drop("n")
     key = ["label", "pivot", "size"]
     placed = lists.join(sizes, key).withColumn("mine", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
     # Block i meets block j, i <= j, in the task (i, j).
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda o: F.struct(F.least(o, "mine").alias("i"), F.greatest(o, "mine").alias("j")))
-    dealt = placed.withColumn("meet", F.explode(meets)).select(*key, "meet.i", "meet.j", "mine", "node", "weight", "embedding", "near")
+    dealt = placed.withColumn("meet", F.explode(meets)).select(*key, "meet.i", "meet.j", "mine", "node", "weight", "embedding", "near", "sure")
 
     def run(table: pa.Table) -> pa.Table:
         batch = table.combine_chunks().to_batches()[0]
@@ -113,8 +136,10 @@ def _compared(described: DataFrame, shared: int, limit: float, block: int) -> Da
 
         def side(number: int) -> dict:
             rows = batch.take(pa.array(np.flatnonzero(mine == number)))
-            near = np.sort(np.array(rows.column("near").to_pylist(), np.int64).reshape(rows.num_rows, -1), axis=1)
-            return {"node": rows.column("node").to_numpy(), "weight": rows.column("weight").to_numpy().astype(float), "near": near, "unit": _unit(rows.column("embedding")) if rows.num_rows else np.zeros((0, 1))}
+            near = rows.column("near").flatten().to_numpy().astype(np.int64)
+            named = np.array([len(n) for n in rows.column("near")], np.int64)
+            sure = rows.column("sure").to_numpy(zero_copy_only=False).astype(bool)
+            return {"node": rows.column("node").to_numpy(), "weight": rows.column("weight").to_numpy().astype(float), "near": near, "named": named, "sure": sure, "unit": _unit(rows.column("embedding")) if rows.num_rows else np.zeros((0, 1))}
 
         x = side(first)
         y = side(second) if second != first else None
@@ -169,7 +194,7 @@ def link(vectors: DataFrame, limit: float = 0.93, nearest: int = NEAREST, shared
     grouped = rows.filter("class IS NOT NULL").groupBy("label", F.col("class").alias("embedding")).agg(F.count("*").alias("weight"), F.min("vec_id").alias("first"))
     classes = settle(grouped.withColumn("node", F.monotonically_increasing_id()), "vector-classes")
     count = int(min(MOST_PIVOTS, max(LEAST_PIVOTS, 2 * classes.count() ** 0.5)))
-    described = settle(_described(classes.select("node", "label", "weight", "embedding"), pivots(classes, count), nearest), "vector-pivots")
+    described = settle(_described(classes.select("node", "label", "weight", "embedding"), pivots(classes, count, limit), nearest, limit), "vector-pivots")
     found = settle(_compared(described, shared, limit, block), "vector-links")
     links = found.filter("n IS NOT NULL").groupBy(F.col("b").alias("node")).agg(F.sum("n").alias("others"))
     roots = components(found.filter("n IS NULL").select("a", "b"), "vector-components")
