@@ -18,6 +18,7 @@ from vaultwatch.llm.common import settle, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 RANKS = "byte_bpe_multi_50k.tiktoken"
+PASSAGE_WORDS = 51  # a passage of more than 50 words that repeats goes, and one of substring_dedup.LENGTH bytes
 
 
 def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
@@ -38,7 +39,7 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The texts without passages that stand elsewhere too; a text of nothing else becomes empty and stays."""
-    cleaned = substring_dedup.clean(docs)
+    cleaned = substring_dedup.clean(docs, n_words=PASSAGE_WORDS)
     return cleaned.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(*docs.columns)
 
 

@@ -1,6 +1,7 @@
 """The pipeline: each stage on all that the one before kept, against brute force."""
 
 import hashlib
+import re
 from collections import Counter
 
 import public_tokenizers as P
@@ -57,6 +58,30 @@ def test_repeated_passages(stages):
     assert all(r.n_chars == len(r.text) for r in stages[3] if r.text is not None)
 
 
+def test_repeated_passages_of_51_words(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    raw = {r.doc_id: (r.text or "").encode() for r in docs.collect()}
+    spans = {i: [m.span() for m in re.finditer(rb"[^ \t-\r]+", r)] for i, r in raw.items()}
+    words = {i: [raw[i][a:b] for a, b in s] for i, s in spans.items()}
+    grams = Counter(tuple(w[j : j + 51]) for w in words.values() for j in range(len(w) - 50))
+    strings = Counter(hashlib.md5(r[j : j + 400]).digest() for r in raw.values() for j in range(len(r) - 399))
+    want, short = {}, 0
+    for i, r in raw.items():
+        gone = bytearray(len(r))
+        for j in range(len(r) - 399):
+            if strings[hashlib.md5(r[j : j + 400]).digest()] > 1:
+                gone[j : j + 400] = b"\1" * 400
+        before = sum(gone)
+        told = {k for j in range(len(words[i]) - 50) if grams[tuple(words[i][j : j + 51])] > 1 for k in range(j, j + 51)}
+        for k in told:  # with the space to the next word, if that goes too
+            a, b = spans[i][k][0], spans[i][k + 1][0] if k + 1 in told else spans[i][k][1]
+            gone[a:b] = b"\1" * (b - a)
+        short += sum(gone) - before
+        want[i] = bytes(b for b, g in zip(r, gone) if not g).decode("utf-8", "ignore")
+    assert short > 1000
+    assert {r.doc_id: r.text or "" for r in corpus_pipeline.substring_stage(spark, docs, SF).collect()} == want
+
+
 def test_decontamination(spark, stages):
     bench = [(r.item_id, r.text) for r in spark.read.parquet(f"{SF}/benchmark.parquet").collect()]
     found = leaks_of(bench, [(r.doc_id, r.text) for r in stages[3]], (decontaminate.SCORE, decontaminate.QUESTION, decontaminate.ANSWER))

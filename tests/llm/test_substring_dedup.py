@@ -69,6 +69,31 @@ def test_cleaned_texts(spark):
             assert hashlib.sha256(got[i].encode()).hexdigest() == want[i][3]
 
 
+def test_passages_by_words(spark):
+    rnd = random.Random(4)
+
+    def prose(n):
+        return " ".join("".join(rnd.choice("abcdefgh") for _ in range(rnd.randrange(3, 7))) for _ in range(n))
+
+    short, passage, long = (prose(n) for n in (50, 51, 63))
+    assert len(long) < sub.LENGTH
+    texts = []
+    for told in (short, passage, long, passage.replace(" ", "\n ")):
+        texts += [f"{prose(80)} {told} {prose(20)}", f"{told} {prose(90)}"]
+    texts += [prose(51)] * 2 + [prose(30)] * 2 + [None, "", "é" * 250 + " x", "é" * 250 + " y"]
+    split = [(t or "").split() for t in texts]
+    count = Counter(tuple(w[i : i + 51]) for w in split for i in range(len(w) - 50))
+    want = []
+    for w in split:
+        gone = {j for i in range(len(w) - 50) if count[tuple(w[i : i + 51])] > 1 for j in range(i, i + 51)}
+        want.append([t for j, t in enumerate(w) if j not in gone])
+    want[-2:] = [["x"], ["y"]]  # as 400 bytes
+    assert len(want[0]) == 150 and [len(w) for w in want[2:8]] == [100, 90] * 3 and want[8] == [] and len(want[10]) == 30
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    got = {r.doc_id: r.text for r in sub.clean(docs, n_words=51).collect()}
+    assert [(got[i] or "").split() for i in range(len(texts))] == want and got[12] is None
+
+
 def test_repeated_rows_and_empty_tables(spark):
     docs = spark.createDataFrame([(1, "r" * 50), (1, "r" * 50), (None, "short")], "doc_id long, text string")
     got = sorted((str(r.doc_id), r.n_removed, r.n_spans) for r in sub.removed(docs, 40, 16).collect())

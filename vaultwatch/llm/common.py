@@ -106,11 +106,8 @@ def hash_spans(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.n
     return mix((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(U64))
 
 
-def words(raw: np.ndarray, at: np.ndarray, word_bytes: np.ndarray | None = None, upto: int | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """A 64-bit hash of each word (A-Z lower-cased), or of its first ``upto`` bytes, and the text it is of.
-
-    Words are parted by ASCII white space, or made of the bytes marked in ``word_bytes``.
-    """
+def word_spans(raw: np.ndarray, at: np.ndarray, word_bytes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of each word: parted by ASCII white space, or made of the bytes marked in ``word_bytes``."""
     solid = ~IS_SPACE[raw] if word_bytes is None else word_bytes[raw]
     begins, ends = solid.copy(), solid.copy()
     cut = ~(solid[1:] & solid[:-1])
@@ -118,10 +115,15 @@ def words(raw: np.ndarray, at: np.ndarray, word_bytes: np.ndarray | None = None,
     cut[inner - 1] = True
     begins[1:] &= cut
     ends[:-1] &= cut
-    starts = np.flatnonzero(begins)
+    return np.flatnonzero(begins), np.flatnonzero(ends) + 1
+
+
+def words(raw: np.ndarray, at: np.ndarray, word_bytes: np.ndarray | None = None, upto: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of each word (A-Z lower-cased) of :func:`word_spans`, or of its first ``upto`` bytes, and the text
+    it is of."""
+    starts, stops = word_spans(raw, at, word_bytes)
     if not len(starts):
         return np.empty(0, U64), np.empty(0, np.int64)
-    stops = np.flatnonzero(ends) + 1
     h = hash_spans(LOWER[raw], starts, stops if upto is None else np.minimum(stops, starts + upto))
     return h, np.searchsorted(at, starts, side="right") - 1
 

@@ -30,13 +30,14 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultwatch.llm.common import U64, hash_spans, hash_table, mix, pieces, settle, text_bytes
+from vaultwatch.llm.common import U64, hash_spans, hash_table, mix, pieces, settle, text_bytes, word_spans
 
 LENGTH = 400
 GRAM = 128
 SHARD = 4096  # distinct segments to a shard, of less than twice ``length`` bytes each
 STEP = 16  # a shard drops segments that have not all but so many bytes of a string in common with another
 FILTER_BITS = 23
+WORD = 8  # bytes of a word's hash
 _EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
@@ -451,35 +452,97 @@ def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, key: str =
     )
 
 
-def clean(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "text") -> DataFrame:
+def _worded(column: pa.Array) -> list[bytes]:
+    """Each text as the hashes of its words, parted by white space: strings of them are strings of so many words."""
+    raw, at = text_bytes(column)
+    starts, stops = word_spans(raw, at)
+    whole = hash_spans(raw, starts, stops).astype("<u8").tobytes()
+    ends = (np.searchsorted(starts, at) * WORD).tolist()
+    return [whole[a:b] for a, b in zip(ends, ends[1:])]
+
+
+def _in_words(docs: DataFrame) -> DataFrame:
+    """key and text, the text as the hashes of its words."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in pieces(batch, "text"):
+                yield pa.record_batch([part.column("key"), pa.array(_worded(part.column("text")), pa.binary())], names=["key", "text"])
+
+    return docs.mapInArrow(run, f"key {dict(docs.dtypes)['key']}, text binary")
+
+
+def _repeats(rows: DataFrame, length: int, gram: int) -> DataFrame:
+    """Per digest of a text of which something repeats: ``spans``, null if the text stands several times."""
+    _, copies, spans = _found(rows, length, gram)
+    return spans.unionByName(copies.select("digest", F.expr(f"CAST(NULL AS {dict(spans.dtypes)['spans']}) AS spans")))
+
+
+def _word_runs(raw: bytes, spans: list[dict] | None) -> list[tuple[int, int]]:
+    """What spans of the hashes of a text's words (None: all words) cover of the text; parts of a hash are no word."""
+    starts, stops = word_spans(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]))
+    runs = [(0, len(starts) * WORD)] if spans is None else _covered(len(starts) * WORD, spans)
+    whole = [(-(-a // WORD), b // WORD) for a, b in runs]
+    return [(int(starts[a]), int(stops[b - 1])) for a, b in whole if a < b]
+
+
+def _union(runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for a, b in sorted(runs):
+        if out and a <= out[-1][1]:
+            out[-1] = (out[-1][0], max(b, out[-1][1]))
+        else:
+            out.append((a, b))
+    return out
+
+
+def clean(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "text", n_words: int | None = None) -> DataFrame:
     """All rows and columns with what repeats cut out of the text; a character cut through goes as a whole.
 
-    Null texts stay null. Rows without anything to cut pass by without a shuffle.
+    With ``n_words``, strings of so many words go too, however few bytes they have and whatever white space parts
+    them; both kinds are found in the texts as they are. Null texts stay null. Rows without anything to cut pass by
+    without a shuffle.
     """
     rows = docs.select(F.lit(None).cast("long").alias("key"), F.col(text).alias("text"))
-    _, copies, spans = _found(rows, length, gram)
-    spans = spans.unionByName(copies.select("digest", F.expr(f"CAST(NULL AS {dict(spans.dtypes)['spans']}) AS spans")))
-    table, names = _filter_of(spans), docs.columns
+    found = {"_bytes": _repeats(rows, length, gram)}
+    if n_words:
+        found["_words"] = _repeats(_in_words(rows), n_words * WORD, min(GRAM, n_words * WORD // 3))
+    filters, names = {kind: _filter_of(spans) for kind, spans in found.items()}, docs.columns
     schema = ", ".join(f"`{name}` {kind}" for name, kind in docs.dtypes)
+    added = [f"{kind}_digest" for kind in found]
 
     def tag(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            digests = [_digest((t or "").encode()) if t is not None else b"" for t in batch.column(text).to_pylist()]
-            bits = [int.from_bytes(d[:4], "little") >> (32 - FILTER_BITS) for d in digests]
-            maybe = [bool(d) and bool(table[b >> 3] >> (b & 7) & 1) for d, b in zip(digests, bits)]
-            yield pa.record_batch([*batch.columns, pa.array(digests, pa.binary()), pa.array(maybe, pa.bool_())], names=[*names, "_digest", "_maybe"])
+        for part in (part for batch in batches for part in pieces(batch, text)):
+            column = part.column(text)
+            told, maybe = [], np.zeros(part.num_rows, bool)
+            for kind, table in filters.items():
+                forms = [t.encode() if t is not None else None for t in column.to_pylist()] if kind == "_bytes" else _worded(column)
+                digests = [_digest(form) if form is not None else b"" for form in forms]
+                bits = [int.from_bytes(d[:4], "little") >> (32 - FILTER_BITS) for d in digests]
+                maybe |= [bool(d) and bool(table[b >> 3] >> (b & 7) & 1) for d, b in zip(digests, bits)]
+                told.append(pa.array(digests, pa.binary()))
+            yield pa.record_batch([*part.columns, *told, pa.array(maybe)], names=[*names, *added, "_maybe"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            for whole, found, hit in zip(*(batch.column(c).to_pylist() for c in (text, "_spans", "_hit"))):
-                if hit:
-                    raw = whole.encode()
-                    whole = kept_bytes(raw, _covered(len(raw), found)).decode("utf-8", "ignore") if found is not None else ""
+            hits = [list(zip(batch.column(f"{kind}_spans").to_pylist(), batch.column(f"{kind}_hit").to_pylist())) for kind in filters]
+            for whole, *by_kind in zip(batch.column(text).to_pylist(), *hits):
+                if whole is not None and any(hit for _, hit in by_kind):
+                    raw, runs = whole.encode(), []
+                    for kind, (spans, hit) in zip(filters, by_kind):
+                        if hit and kind == "_words":
+                            runs += _word_runs(raw, spans)
+                        elif hit:
+                            runs += _covered(len(raw), spans) if spans is not None else [(0, len(raw))]
+                    whole = kept_bytes(raw, _union(runs)).decode("utf-8", "ignore")
                 out.append(whole)
             yield pa.record_batch([pa.array(out, batch.column(c).type) if c == text else batch.column(c) for c in names], names=names)
 
-    tagged = docs.mapInArrow(tag, f"{schema}, _digest binary, _maybe boolean")
-    hits = spans.select(F.col("digest").alias("_digest"), F.col("spans").alias("_spans"), F.lit(True).alias("_hit"))
-    touched = tagged.filter("_maybe").join(hits, "_digest", "left").select(*names, "_spans", "_hit").mapInArrow(cut, schema)
+    tagged = docs.mapInArrow(tag, f"{schema}, {', '.join(f'{c} binary' for c in added)}, _maybe boolean")
+    touched = tagged.filter("_maybe")
+    for kind, spans in found.items():
+        hits = spans.select(F.col("digest").alias(f"{kind}_digest"), F.col("spans").alias(f"{kind}_spans"), F.lit(True).alias(f"{kind}_hit"))
+        touched = touched.join(hits, f"{kind}_digest", "left")
+    touched = touched.select(*names, *(f"{kind}_{c}" for kind in found for c in ("spans", "hit"))).mapInArrow(cut, schema)
     return tagged.filter("NOT _maybe").select(*names).unionByName(touched)
