@@ -70,6 +70,24 @@ def test_same_components_as_all_pairs(spark, seed, width):
     assert got == brute(rows, width)
 
 
+@pytest.mark.parametrize("size", range(5))
+def test_few_words_in_all(size):
+    words = [f"w{i}" for i in range(size)]
+    found = list(near.shingle_sets(*near.text_bytes(near.pa.array([" ".join(words)])), 5))
+    padded = list(near.shingle_sets(*near.text_bytes(near.pa.array([" ".join(words), "more words than a run of five has"])), 5))
+    assert [len(s) for s in found] == [min(1, size)] and found[0].tolist() == padded[0].tolist()
+
+
+def test_few_words_in_a_partition_of_their_own(spark):
+    texts = ["one", "one two", "one two three", "one two three four", "one two", None, ""]
+    parts = [spark.createDataFrame([(i, t)], "doc_id long, text string").coalesce(1) for i, t in enumerate(texts)]
+    docs = parts[0]
+    for part in parts[1:]:
+        docs = docs.unionByName(part)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in near.link(docs).collect()}
+    assert got == {0: (1, 0), 1: (1, 1), 2: (1, 2), 3: (1, 3), 4: (1, 1), 5: (0, 5), 6: (0, 6)}
+
+
 def test_empty_table(spark):
     assert near.link(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

@@ -141,7 +141,7 @@ def shingle_sets(raw: np.ndarray, at: np.ndarray, width: int) -> Iterator[np.nda
     runs: dict[int, np.ndarray] = {}
     for n in range(1, width + 1):
         moved = np.zeros(len(h), U64)
-        moved[: len(h) - n + 1] = h[n - 1 :] if n > 1 else h
+        moved[: max(0, len(h) - n + 1)] = h[n - 1 :] if n > 1 else h
         total = mix(total * _STEP + moved + U64(n))
         runs[n] = total
     for i in range(texts):
