@@ -106,6 +106,18 @@ def test_bounds_are_never_below_scores():
         assert index.top[t] == index.weight[own].max()
 
 
+ENDINGS = ['w%d red."', "w%d red...", "w%d red?!", "w%d (red.)", "w%d red.”", "w%d red. …", "w%d red!\n]"]
+
+
+def test_items_that_end_in_marks(spark):
+    bench = [(i, f"... Which q{i} a{i} of b{i} is c{i} here? " + end % i) for i, end in enumerate(ENDINGS)] + [(90, "w90 red..."), (91, "..."), (92, '"?!"')]
+    docs = [(i, f"Words before it. {t} And words after it.") for i, t in bench]
+    got = dec.find(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(bench, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in got} >= {(i, i) for i in (*range(len(ENDINGS)), 90)}
+    assert all(set(words(dec.parts(bench[i][1])[1])) == {f"w{i}", "red"} and words(dec.parts(bench[i][1])[0])[0] == "which" for i in range(len(ENDINGS)))
+    assert not any(r.item_id in (91, 92) for r in got)
+
+
 def test_empty_tables(spark):
     docs = spark.createDataFrame([(1, "a b c")], "doc_id long, text string")
     items = spark.createDataFrame([(1, "a b c")], "item_id long, text string")

@@ -31,6 +31,7 @@ WIDTH = 5
 # Bytes of item texts in one index; more items make more indexes, each searched with the whole corpus.
 INDEX_BYTES = 16 << 20
 _SENTENCE = regex.compile(r"(?<=[.!?\n])\s*(?=\S)")
+_WORDED = regex.compile(r"[\p{L}\p{N}]")
 
 
 def terms(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -50,8 +51,16 @@ def shingles(h: np.ndarray, width: int = WIDTH) -> np.ndarray:
 
 
 def parts(text: str) -> tuple[str, str]:
-    """Question and answer: the last sentence answers those before it; a single one is both."""
-    cuts = [s for s in _SENTENCE.split(text.strip()) if s]
+    """Question and answer: the last sentence answers those before it; a single one is both.
+
+    A piece without a letter or digit, as a closing mark or dots, belongs to the piece before it, or the one after.
+    """
+    cuts: list[str] = []
+    for piece in filter(None, _SENTENCE.split(text.strip())):
+        if cuts and not (_WORDED.search(piece) and _WORDED.search(cuts[-1])):
+            cuts[-1] += piece
+        else:
+            cuts.append(piece)
     return ("".join(cuts[:-1]), cuts[-1]) if len(cuts) > 1 else (text, text)
 
 
