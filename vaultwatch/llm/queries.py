@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vaultwatch.llm import bpe, decontaminate, embedding_dedup, language, minhash_dedup, quality, sharding, substring_dedup, token_file, warc
+from vaultwatch.llm import bpe, decontaminate, embedding_dedup, exact_dedup, language, lexical_search, minhash_dedup, quality, sharding, substring_dedup, token_file, warc, whitening
 from vaultwatch.llm.common import table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -64,6 +64,18 @@ def _op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.removed(table(spark, sf_dir, "documents"))
 
 
+def _op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.duplicates(table(spark, sf_dir, "documents"))
+
+
+def _op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def _op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.rank(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_shards": _op1,
@@ -76,6 +88,9 @@ def queries() -> dict[str, Query]:
         "op8_language": _op8,
         "op9_token_file": _op9,
         "op10_suffix_arrays": _op10,
+        "op11_digest_index": _op11,
+        "op12_whitening": _op12,
+        "op13_norm_buckets": _op13,
     }
 
 
@@ -88,5 +103,34 @@ _OP5_SQL = """
     FROM marked"""
 
 
+_OP11_SQL = """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents)
+    SELECT doc_id, max(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+           row_number() OVER (PARTITION BY t ORDER BY doc_id DESC NULLS LAST) = 1 AS kept, sha256(t) AS text_sha256
+    FROM d"""
+
+
+def _terms_sql(text: str) -> str:
+    lower = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return f"regexp_extract_all({lower}, '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')"
+
+
+_OP13_SQL = f"""
+    WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_terms_sql('text')} AS terms FROM documents),
+    s AS (SELECT CAST(count(*) AS BIGINT) AS N, CAST(sum(len(terms)) AS BIGINT) AS L FROM d WHERE len(terms) > 0),
+    i AS (SELECT DISTINCT item_id, unnest({_terms_sql('text')}) AS term FROM benchmark),
+    v AS (SELECT DISTINCT term FROM i),
+    words AS (SELECT r, doc_id, CAST(len(terms) AS BIGINT) AS n, unnest(terms) AS term FROM d),
+    tf AS (SELECT r, doc_id, n, term, count(*) AS tf FROM words SEMI JOIN v USING (term) GROUP BY ALL),
+    w AS (SELECT term, CAST(floor(1000 * ln((2 * N + 2) / (2 * df + 1))) AS BIGINT) AS w
+          FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), s),
+    p AS (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * N) // L)))) AS part
+          FROM tf JOIN w USING (term), s),
+    scored AS (SELECT item_id, r, doc_id, CAST(sum(part) AS BIGINT) AS score FROM i JOIN p USING (term) GROUP BY ALL),
+    ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
+                      doc_id, score FROM scored WHERE score > 0)
+    SELECT * FROM ranked WHERE rank <= 50"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc": _OP5_SQL}
+    return {"op5_warc": _OP5_SQL, "op11_digest_index": _OP11_SQL, "op13_norm_buckets": _OP13_SQL}
