@@ -117,14 +117,14 @@ def _terms_sql(text: str) -> str:
 
 _OP13_SQL = f"""
     WITH d AS (SELECT row_number() OVER () AS r, doc_id, {_terms_sql('text')} AS terms FROM documents),
-    s AS (SELECT CAST(count(*) AS BIGINT) AS N, CAST(sum(len(terms)) AS BIGINT) AS L FROM d WHERE len(terms) > 0),
+    s AS (SELECT CAST(count(*) AS BIGINT) AS all_docs, CAST(sum(len(terms)) AS BIGINT) AS all_terms FROM d WHERE len(terms) > 0),
     i AS (SELECT DISTINCT item_id, unnest({_terms_sql('text')}) AS term FROM benchmark),
     v AS (SELECT DISTINCT term FROM i),
     words AS (SELECT r, doc_id, CAST(len(terms) AS BIGINT) AS n, unnest(terms) AS term FROM d),
     tf AS (SELECT r, doc_id, n, term, count(*) AS tf FROM words SEMI JOIN v USING (term) GROUP BY ALL),
-    w AS (SELECT term, CAST(floor(1000 * ln((2 * N + 2) / (2 * df + 1))) AS BIGINT) AS w
+    w AS (SELECT term, CAST(floor(1000 * ln((2 * all_docs + 2) / (2 * df + 1))) AS BIGINT) AS w
           FROM (SELECT term, count(*) AS df FROM tf GROUP BY term), s),
-    p AS (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * N) // L)))) AS part
+    p AS (SELECT r, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (100 - 50 + ((50 * n * all_docs) // all_terms)))) AS part
           FROM tf JOIN w USING (term), s),
     scored AS (SELECT item_id, r, doc_id, CAST(sum(part) AS BIGINT) AS score FROM i JOIN p USING (term) GROUP BY ALL),
     ranked AS (SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank,
