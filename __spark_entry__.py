@@ -89,7 +89,8 @@ def _q1_merge_moments(spark, d):
     rows = df.select("vault_id", F.date_trunc("hour", "ts").alias("hour"), value.alias("v"))
     hourly = rows.groupBy("vault_id", "hour").agg(F.count("v").alias("count"), F.avg("v").alias("mean"), F.regr_sxx("v", "v").alias("m2"))
     merged = moments.merge_moments(hourly.withColumn("ts", F.unix_millis(F.date_trunc("day", "hour"))), "ts", "vault_id")
-    return merged.select("ts", "vault_id", "count", F.round("mean", 4).alias("mean"), F.round("m2", 1).alias("m2"))
+    # in two steps, as _rounded does it; the lift leaves fewer decimals
+    return merged.select("ts", "vault_id", "count", F.round(F.round("mean", 6), 4).alias("mean"), F.round(F.round("m2", 4), 1).alias("m2"))
 
 
 def _q1_variances(spark, d):
@@ -488,8 +489,8 @@ def _telemetry_sql() -> dict[str, str]:
         "q1_merge_moments": f"""
             WITH v AS (SELECT epoch_ms({_bucket(1, 'ts')}) AS ts, user_id AS vault_id, round(value * 4) / 4 AS x FROM events
                        WHERE value IS NOT NULL AND ts IS NOT NULL AND user_id BETWEEN {USERS[0]} AND {USERS[1]})
-            SELECT ts, vault_id, count(*) AS count, round(avg(x) + {LIFT}, 4) AS mean,
-                   round(sum(x * x) - sum(x) * sum(x) / count(*), 1) AS m2
+            SELECT ts, vault_id, count(*) AS count, round(round(avg(x) + {LIFT}, 6), 4) AS mean,
+                   round(round(sum(x * x) - sum(x) * sum(x) / count(*), 4), 1) AS m2
             FROM v GROUP BY 1, 2""",
         "q1_variances": f"""
             SELECT epoch_ms({_bucket(1, 'ts')}) AS ts, user_id AS vault_id, CAST(count(value) AS INTEGER) AS count,

@@ -1,5 +1,6 @@
 import math
 import random
+from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
@@ -8,7 +9,7 @@ from helpers import event, events, ms, plan_of, tuples
 from vaultwatch.functions.eventtime import grid_start, start_ms, tumbling
 from vaultwatch.operators import moments
 from vaultwatch.plans.batch import query1, query1_windows, result_rows
-from vaultwatch.schemas import TEMPERATURE_RESULT
+from vaultwatch.schemas import TEMPERATURE_RESULT, WINDOW_DAYS
 
 
 @pytest.fixture(scope="module")
@@ -102,6 +103,29 @@ def test_small_spreads_of_large_values_keep_their_digits(spark):
         moments.merge_moments(df)
 
 
+def test_merge_is_the_same_to_the_last_bit_in_any_order(spark):
+    """A hundred orders of the same partials, dealt to tasks at random, against whole numbers of Python."""
+    rng = random.Random(5)
+    parts = [(rng.randrange(1, 10**6), rng.gauss(25, 3) * 10 ** rng.randrange(-3, 9), abs(rng.gauss(0, 1)) * 10 ** rng.randrange(-5, 12)) for _ in range(60)]
+    rows = [(order, *part) for order in range(100) for part in rng.sample(parts, len(parts))]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "k int, count long, mean double, m2 double")
+    got = {(r["count"], r["mean"], r["m2"]) for n in (1, 7) for r in moments.merge_moments(df.repartition(n), "k").collect()}
+    assert len(got) == 1
+    n, mean, m2 = got.pop()
+    exact = sum(Fraction(c) * Fraction(m) for c, m, _ in parts) / sum(c for c, _, _ in parts)
+    spread = sum(Fraction(s) + c * (Fraction(m) - exact) ** 2 for c, m, s in parts)
+    assert n == sum(c for c, _, _ in parts)
+    assert mean == pytest.approx(float(exact), rel=1e-15) and m2 == pytest.approx(float(spread), rel=1e-14)
+
+
+def test_merge_of_partials_that_are_not_finite(spark):
+    rows = [("nan", 1, float("nan"), 0.0), ("nan", 2, 1.0, 0.0), ("inf", 1, float("inf"), 0.0), ("m2", 1, 1.0, float("nan")), ("ok", 3, 2.0, 0.0), ("zero", 1, 0.0, 0.0)]
+    df = spark.createDataFrame(rows, "k string, count long, mean double, m2 double")
+    got = {r.k: (r["count"], str(r["mean"]), str(r.m2)) for r in moments.merge_moments(df, "k").collect()}
+    assert got == {"nan": (3, "nan", "nan"), "inf": (1, "nan", "nan"), "m2": (1, "nan", "nan"), "ok": (3, "2.0", "0.0"), "zero": (1, "0.0", "0.0")}
+
+
 def test_a_vault_without_values_has_no_row(spark):
     rows = [event("04-02", vault=1000, temp=None), event("04-02", vault=1001, temp=4.0)]
     assert [r.vault_id for r in moments.windowed_stats(events(spark, rows), 1).collect()] == [1001]
@@ -118,6 +142,15 @@ def test_rollup_keeps_small_spreads_of_large_values(spark):
     assert plan.count("Exchange hashpartitioning") == 1
 
 
+def test_several_windows_in_one_aggregate(readings):
+    rows = moments.stats_of_windows(readings, WINDOW_DAYS)
+    plan = plan_of(rows)
+    assert plan.count("Exchange hashpartitioning") == 1
+    for window in WINDOW_DAYS:
+        one = rows.filter(F.col("window_name") == window).drop("window_name")
+        assert tuples(one) == tuples(query1(readings, window))
+
+
 def test_windows_from_one_scan(readings):
     for window, rows in query1_windows(readings, "all_three").items():
         assert tuples(rows, "ts", "vault_id", "count") == tuples(query1(readings, window), "ts", "vault_id", "count")

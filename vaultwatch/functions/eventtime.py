@@ -64,6 +64,24 @@ def start_ms(window: Column | str) -> Column:
     return F.unix_millis(_col(window)["start"])
 
 
+def in_windows(df: DataFrame, ts: str, windows: dict[str, int], mark: str | None = None) -> DataFrame:
+    """Each row once per window (name: days), with ``window_name`` and ``w``, the :func:`tumbling` window it falls in.
+
+    Grouped by both, windows of several lengths share one read and one state. On streams ``w`` carries the watermark
+    of ``mark`` (``ts``, or the window of an earlier aggregate), so each window's state goes when that window ends.
+    """
+    metadata = df.schema[mark or ts].metadata
+
+    def place(name: str, days: int) -> Column:
+        start = grid_start(ts, days)
+        window = F.struct(F.timestamp_millis(start).alias("start"), F.timestamp_millis(start + days * DAY_MS).alias("end"))
+        return F.struct(F.lit(name).alias("window_name"), window.alias("w"))
+
+    placed = df.withColumn("_place", F.explode(F.array(*[place(name, days) for name, days in windows.items()])))
+    kept = [c for c in df.columns if c not in ("window_name", "w")]
+    return placed.select(*kept, F.col("_place.window_name").alias("window_name"), F.col("_place.w").alias("w", metadata=metadata))
+
+
 def with_event_time(df: DataFrame, date: str = "date", ts: str = "ts") -> DataFrame:
     """Event time from the event's own date text. A date that does not parse fails the job."""
     return df.withColumn(ts, F.to_timestamp(F.col(date), PARSE_FORMAT))

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultwatch.functions.eventtime import event_time_filter, grid_start, key_start, window_key
+from vaultwatch.functions.eventtime import event_time_filter, grid_start, in_windows, key_start, start_ms, window_key
+from vaultwatch.functions.exact import exact_sum, exact_unit
 
 VAULT_RANGE = (1000, 1020)
 TEMPERATURE = "s194_temperature_celsius"
@@ -43,6 +44,27 @@ def windowed_stats(
     return stats.select(key_start(df, "w").alias("ts"), key, "count", "mean_s194", "stddev_s194")
 
 
+def stats_of_windows(
+    df: DataFrame,
+    windows: dict[str, int],
+    bounds: tuple[int, int] | None = VAULT_RANGE,
+    key: str = "vault_id",
+    ts: str = "ts",
+    value: str = TEMPERATURE,
+) -> DataFrame:
+    """As :func:`windowed_stats` for several windows (name: days) at once, named in ``window_name``.
+
+    Batch and streaming. One read and one aggregate: a task sends one partial row per window and key.
+    """
+    placed = in_windows(in_range(df, bounds, key, ts, value).select(ts, key, value), ts, windows)
+    stats = placed.groupBy("window_name", "w", key).agg(
+        F.count(value).cast("int").alias("count"),
+        F.avg(value).alias("mean_s194"),
+        F.stddev_pop(value).alias("stddev_s194"),
+    )
+    return stats.select("window_name", start_ms("w").alias("ts"), key, "count", "mean_s194", "stddev_s194")
+
+
 def windowed_variances(
     df: DataFrame,
     days: int,
@@ -79,23 +101,52 @@ def daily_moments(
     ).select(F.timestamp_millis("w").alias("day"), key, "count", "mean", "m2")
 
 
+def _beside(rows: DataFrame, groups: DataFrame, keys: tuple[str, ...]) -> DataFrame:
+    """Each row with the other columns of its group; null keys are a group."""
+    groups = groups.withColumnsRenamed({key: f"_{key}" for key in keys})
+    return rows.join(groups, [rows[key].eqNullSafe(groups[f"_{key}"]) for key in keys]).drop(*[f"_{key}" for key in keys])
+
+
 def merge_moments(partials: DataFrame, *keys: str) -> DataFrame:
-    """Merge any number of (count, mean, m2) rows per key, in any order.
+    """Merge any number of (count, mean, m2) rows per key; equal to the last bit in any order and partitioning.
 
-    The mean comes first and the squares are summed around it, so no digits are lost where means are large beside
-    their spread. Both steps combine in the tasks before the shuffle: a hot key costs one row per task and step.
-    Null keys are a group; rows without a count add nothing.
+    All sums are error-free: terms are cut on a grid that the group's extremes set, and summed as integers. The mean
+    comes first and the squares are summed around it, so no digits are lost where means are large beside their
+    spread. Every step combines in the tasks before the shuffle: a hot key costs one row per task and step.
+    Null keys are a group; rows without a count add nothing. Where a mean or m2 is not finite, both results are NaN.
     """
     if not keys:
         raise ValueError("name the keys to merge by")
-    rows = partials.filter(F.col("count") > 0)
-    centers = rows.groupBy(*keys).agg(F.sum("count").alias("_n"), (F.sum(F.col("count") * F.col("mean")) / F.sum("count")).alias("_center"))
-    centers = centers.withColumnsRenamed({key: f"_{key}" for key in keys})
-    same = [rows[key].eqNullSafe(centers[f"_{key}"]) for key in keys]
+    rows = partials.filter(F.col("count") > 0).select(*keys, "count", "mean", "m2")
+    finite = F.abs(F.col("mean")) + F.abs(F.col("m2")) < float("inf")
+    extremes = rows.groupBy(*keys).agg(
+        F.sum("count").alias("_n"),
+        F.max("count").alias("_most"),
+        F.min("mean").alias("_low"),
+        F.max("mean").alias("_high"),
+        F.max("m2").alias("_m2"),
+        F.bool_and(finite & ~F.isnan("mean") & ~F.isnan("m2")).alias("_sound"),
+    )
+    reach = F.col("_most") * (F.col("_high") - F.col("_low"))
+    extremes = extremes.withColumn("_unit", exact_unit(reach))
+    above = exact_sum(F.col("count") * (F.col("mean") - F.col("_low")), F.first("_unit"), F.col("_unit"))
+    named = _beside(rows, extremes, keys)
+    fixed = [F.first(c).alias(c) for c in ("_n", "_low", "_high", "_most", "_m2", "_sound")]
+    centers = named.groupBy(*keys).agg(*fixed, above.alias("_above"))
+    centers = centers.select(
+        *keys,
+        "_n",
+        "_sound",
+        (F.col("_low") + F.col("_above") / F.col("_n")).alias("_center"),
+        exact_unit(F.col("_m2") + F.col("_most") * (F.col("_high") - F.col("_low")) * (F.col("_high") - F.col("_low"))).alias("_unit"),
+    )
     off = F.col("mean") - F.col("_center")
-    return rows.join(centers, same).groupBy(*keys).agg(
-        F.max("_n").alias("count"), F.max("_center").alias("mean"), F.sum(F.col("m2") + F.col("count") * off * off).alias("m2")
+    squares = exact_sum(F.col("m2") + F.col("count") * off * off, F.first("_unit"), F.col("_unit"))
+    merged = _beside(rows, centers, keys).groupBy(*keys).agg(
+        F.first("_n").alias("count"), F.first("_center").alias("mean"), squares.alias("m2"), F.first("_sound").alias("_sound")
     )
+    nan = F.lit(float("nan"))
+    return merged.select(*keys, "count", *[F.when(F.col("_sound"), F.col(c)).otherwise(nan).alias(c) for c in ("mean", "m2")])
 
 
 def rollup_stats(daily: DataFrame, days: int, key: str = "vault_id", offset_days: int = 0) -> DataFrame:
