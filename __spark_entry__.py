@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import importlib.util
 from collections.abc import Callable
-from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -230,17 +229,17 @@ def _closing_row(spark, d):
 # Streams
 
 
-STEPS = ("2024-01-06", "2024-01-12", "2024-01-18", "2024-01-24")
+BATCHES = 5
 
 
 def _topic(spark: SparkSession, sf_dir: str, path: str) -> int:
-    """The events as a file topic in steps of time, with the date as text, and the closing row as the last step.
+    """The events as a file topic in order of time, with the date as text, and the closing row as the last file.
 
-    The closing row's user is beyond Query 1's range: it only moves the watermark. Returns the files of a step.
+    The closing row's user is beyond Query 1's range: it only moves the watermark. Returns the files of a batch.
     """
     events = _telemetry(spark, sf_dir)
     closing = sequence.closing_row(events, days=CLOSING_DAYS).withColumns({"vault_id": F.lit(-1).cast("long"), "failure": F.lit(False)})
-    files = topics.publish_in_order(_dated(events), path, [datetime.fromisoformat(s) for s in STEPS])
+    files = topics.publish_in_order(_dated(events), path, BATCHES)
     _dated(closing).write.mode("append").parquet(path)
     return files
 
@@ -250,7 +249,7 @@ def _dated(events: DataFrame) -> DataFrame:
 
 
 def _event_stream(spark: SparkSession, path: str, files: int) -> DataFrame:
-    """The topic as a stream, a step to a batch. Event time is read from the date text."""
+    """The topic as a stream of several batches. Event time is read from the date text."""
     session = jobs.streaming_session(spark)
     stream = topics.parquet_events(session, path, spark.read.parquet(path).schema, files)
     return with_event_time(stream.drop("ts"))
@@ -282,19 +281,43 @@ def _stream_q1(window: str) -> Query:
     return lambda spark, d: _stats(spark.read.parquet(f"{_stream(_run_q1(window), spark, d)[0]}/out"))
 
 
-def _stream_q2(window: str) -> Query:
-    schema = "ts long, vault_id long, day timestamp, failures long, disks array<string>, rk int"
+def _stream_q1_windows(spark, d):
+    """The three windows from one streaming query, which reads each file once."""
+    schema = "window_name string, ts long, vault_id long, count int, mean_s194 double, stddev_s194 double"
 
     def build(events, home):
-        best = jobs.best_day_stream(events, WINDOW_DAYS[window])
-        return jobs.start_ranking(best, lambda top: top, f"{home}/out", f"{home}/checkpoint", once=True)
+        rows = jobs.temperature_windows_stream(events, WINDOW_DAYS, USERS)
+        return jobs.start_windows(rows, _batch_folders(home), f"{home}/checkpoint", once=True)
 
-    def run(spark, d):
-        home, _ = _stream(build, spark, d)
-        found = existing(lambda: spark.read.schema(schema).parquet(f"{home}/out"), spark, T._parse_datatype_string(schema))
-        return _long(_as_text(found))
+    return _stats(_emitted(spark, _stream(build, spark, d)[0], schema))
 
-    return run
+
+def _batch_folders(home: str) -> Callable[[DataFrame, int], None]:
+    return lambda rows, batch_id: rows.write.mode("overwrite").parquet(f"{home}/out/part{batch_id}")
+
+
+def _emitted(spark: SparkSession, home: str, schema: str) -> DataFrame:
+    return existing(lambda: spark.read.schema(schema).parquet(f"{home}/out/*"), spark, T._parse_datatype_string(schema))
+
+
+def _stream_rankings(windows: dict[str, int]) -> Query:
+    schema = "window_name string, ts long, vault_id long, day timestamp, failures long, rk int, disks array<string>"
+
+    def build(events, home):
+        return jobs.start_rankings(jobs.ranking_stream(events, windows), f"{home}/log", _batch_folders(home), f"{home}/checkpoint", once=True)
+
+    return lambda spark, d: _as_text(_emitted(spark, _stream(build, spark, d)[0], schema))
+
+
+def _stream_q2(window: str) -> Query:
+    run = _stream_rankings({window: WINDOW_DAYS[window]})
+    return lambda spark, d: _long(run(spark, d))
+
+
+def _stream_q2_windows(spark, d):
+    """The three windows from one streaming query and one state."""
+    found = _stream_rankings(WINDOW_DAYS)(spark, d)
+    return found.select("window_name", *_long(found).columns)
 
 
 def _stream_late_drop(spark, d):
@@ -359,6 +382,8 @@ def _telemetry_queries() -> dict[str, Query]:
         "json_roundtrip": _json_roundtrip,
         "event_gaps": _event_gaps,
         "closing_row": _closing_row,
+        "stream_q1_all_three": _stream_q1_windows,
+        "stream_q2_all_three": _stream_q2_windows,
         "stream_late_drop": _stream_late_drop,
         "stream_metrics": _stream_metrics,
     }
@@ -432,8 +457,8 @@ def _q2_disks_sql(days: int) -> str:
         WHERE e.event_type = 'error' AND e.value IS NOT NULL"""
 
 
-def _three(sql: Callable[[int], str]) -> str:
-    return " UNION ALL ".join(f"SELECT *, '{name}' AS window_name FROM ({sql(days)})" for name, days in WINDOW_DAYS.items())
+def _three(sql: Callable[..., str], **options) -> str:
+    return " UNION ALL ".join(f"SELECT *, '{name}' AS window_name FROM ({sql(days, **options)})" for name, days in WINDOW_DAYS.items())
 
 
 _RAW_SQL = """
@@ -522,6 +547,8 @@ def _telemetry_sql() -> dict[str, str]:
             SELECT strftime(ts + INTERVAL '{CLOSING_DAYS} days', '%Y-%m-%dT%H:%M:%S.%f') AS date, event_id AS seq,
                    user_id AS vault_id, value AS s194_temperature_celsius, event_type = 'error' AS failure
             FROM events WHERE value IS NOT NULL ORDER BY event_id DESC LIMIT 1""",
+        "stream_q1_all_three": _three(_q1_sql, closed=True),
+        "stream_q2_all_three": _three(_q2_sql, closed=True),
         "stream_late_drop": f"""
             SELECT *, (SELECT count(DISTINCT user_id) FROM events WHERE value IS NOT NULL
                        AND user_id BETWEEN {USERS[0]} AND {USERS[1]}) AS late_rows FROM ({_q1_sql(1, closed=True)})""",

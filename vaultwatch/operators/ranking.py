@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vaultwatch.functions.eventtime import DAY_MS, event_time_filter, grid_start, start_ms, tumbling
+from vaultwatch.functions.eventtime import DAY_MS, event_time_filter, grid_start, in_windows, start_ms, tumbling
 from vaultwatch.functions.telemetry import join_disks
 from vaultwatch.schemas import RANKING_SLOTS
 from vaultwatch.sources.shared import settle
@@ -51,13 +51,13 @@ def best_day(daily: DataFrame, days: int, key: str = "vault_id", offset_days: in
     )
 
 
-def top_vaults(best: DataFrame, k: int = RANKING_SLOTS, key: str = "vault_id") -> DataFrame:
-    """The ``k`` first vaults of each window, numbered in ``rk``.
+def top_vaults(best: DataFrame, k: int = RANKING_SLOTS, key: str = "vault_id", window: tuple[str, ...] = ("ts",)) -> DataFrame:
+    """The ``k`` first vaults of each window, numbered in ``rk``; ``window`` are the columns that name it.
 
     Every task cuts its own rows to ``k`` per window before the shuffle, so a window never gathers
     more than ``k`` rows per task.
     """
-    order = Window.partitionBy("ts").orderBy(F.desc("failures"), F.asc("day"), F.asc(key))
+    order = Window.partitionBy(*window).orderBy(F.desc("failures"), F.asc("day"), F.asc(key))
     return best.withColumn("rk", F.row_number().over(order)).filter(F.col("rk") <= k)
 
 
@@ -127,7 +127,7 @@ def daily_failures(
 def best_day_with_disks(daily: DataFrame, days: int, key: str = "vault_id") -> DataFrame:
     """As :func:`best_day` for rows of :func:`daily_failures`, the disk list going with its day.
 
-    The form for streams, where the lists are at hand and a second look at the events is not.
+    The form where the lists are at hand and a second look at the events is not possible.
     """
     record = F.struct("failures", (-start_ms("w")).alias("earlier"), "disks")
     best = daily.groupBy(tumbling("w", days).alias("wide"), key).agg(F.max(record).alias("best"))
@@ -140,6 +140,47 @@ def best_day_with_disks(daily: DataFrame, days: int, key: str = "vault_id") -> D
     )
 
 
+def best_days_counted(df: DataFrame, windows: dict[str, int], key: str = "vault_id", ts: str = "ts", flag: str = "failure") -> DataFrame:
+    """Each vault's best single day, as :func:`best_day`, in several windows (name: days) of a stream.
+
+    Rows (window_name, ts, vault, day, failures, until) as windows close. The state is two numbers per open day and
+    vault and three per open window and vault, however many failures there are. ``until`` is the time of the last
+    batch that a counted failure came with. Later reports of that day came too late, as a day closes for all at once;
+    so reports up to ``until`` are the ones that were counted.
+    """
+    reports = failing(df, flag, ts).withColumn("at", F.current_timestamp())
+    daily = reports.groupBy(tumbling(ts, 1).alias("w"), key).agg(F.count("*").alias("failures"), F.max("at").alias("until"))
+    placed = in_windows(daily.withColumn("day", F.col("w.start")), "day", windows, mark="w")
+    record = F.struct("failures", (-F.unix_millis("day")).alias("earlier"), "until")
+    best = placed.groupBy("window_name", "w", key).agg(F.max(record).alias("best"))
+    return best.select(
+        "window_name",
+        start_ms("w").alias("ts"),
+        key,
+        F.timestamp_millis(-F.col("best.earlier")).alias("day"),
+        F.col("best.failures").alias("failures"),
+        F.col("best.until").alias("until"),
+    )
+
+
+def counted_reports(df: DataFrame, key: str = "vault_id", ts: str = "ts", flag: str = "failure", label: str = "disk", seq: str = "seq") -> DataFrame:
+    """The failure reports of each batch of a stream as they come: (vault, day, seq, disk, until), the batch's time."""
+    day = F.timestamp_millis(grid_start(ts, 1))
+    return df.filter(F.col(ts).isNotNull() & F.col(flag)).select(
+        key, day.alias("day"), F.col(seq).alias("seq"), F.col(label).alias("disk"), F.current_timestamp().alias("until")
+    )
+
+
+def with_counted_disks(reports: DataFrame, winners: DataFrame, key: str = "vault_id", rows_per_chunk: int = CHUNK_ROWS) -> DataFrame:
+    """Add the ``disks`` list to winners of :func:`best_days_counted` from the logged :func:`counted_reports`."""
+    columns = [c for c in winners.columns if c != "until"]
+    wanted = winners.withColumnsRenamed({"failures": "expected", "until": "last"})
+    same = (reports[key] == wanted[key]) & (reports["day"] == wanted["day"]) & (reports["until"] <= wanted["last"])
+    rows = reports.join(wanted, same).drop(reports[key], reports["day"])
+    groups = ["expected" if c == "failures" else c for c in columns]
+    return ordered_lists(rows, groups, by_arrival(reports, "seq", rows_per_chunk), ["seq"]).select(*columns, "disks")
+
+
 def with_disks(
     df: DataFrame,
     vault_days: DataFrame,

@@ -67,11 +67,17 @@ def read_result(spark: SparkSession, out_dir: str, topic: str) -> DataFrame:
     return existing(lambda: reader.csv(result_path(out_dir, topic)), spark, RESULT_TOPICS[topic])
 
 
-def existing(read: Callable[[], DataFrame], spark: SparkSession, schema: T.StructType) -> DataFrame:
-    """What ``read`` finds, or no rows where nothing has been written yet."""
+def found_at(read: Callable[[], DataFrame]) -> DataFrame | None:
+    """What ``read`` finds, or nothing where no path of it is there."""
     try:
         return read()
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        return spark.createDataFrame([], schema)
+        return None
+
+
+def existing(read: Callable[[], DataFrame], spark: SparkSession, schema: T.StructType) -> DataFrame:
+    """What ``read`` finds, or no rows where nothing has been written yet."""
+    found = found_at(read)
+    return spark.createDataFrame([], schema) if found is None else found

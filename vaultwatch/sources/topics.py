@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import time
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -97,19 +100,42 @@ def file_events(
     return reader.json(path).withColumn("seq", stream_arrival())
 
 
-def publish_in_order(events: DataFrame, path: str, steps: list, ts: str = "ts", rows_per_file: int = 5_000_000, fmt: str = "parquet") -> int:
-    """Add a table to a file topic in steps of time: first what lies before ``steps[0]``, at last what is beyond all.
+def publish_in_order(events: DataFrame, path: str, batches: int, ts: str = "ts", rows_per_file: int = 5_000_000, fmt: str = "parquet") -> int:
+    """Add a table to a file topic in order of time, in one write.
+
+    The rows are dealt by ranges of time, and then of a hash, so that one instant may hold any share of them, and each
+    task writes its range in order. Files are then moved to the topic one after the other, with rising times, which
+    is the order that streams read in. No file holds rows before those of a file read earlier, so no row comes late,
+    whatever a batch reads. Returns how many files a batch should read for about ``batches`` of them.
+    """
+    spark = events.sparkSession
+    staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
+    spread = F.xxhash64(*events.columns)
+    dealt = events.withColumn("_spread", spread).repartitionByRange(batches, ts, "_spread").sortWithinPartitions(ts).drop("_spread")
+    dealt.write.option("maxRecordsPerFile", rows_per_file).format(fmt).save(staging)
+    return max(1, -(-move_in_order(spark, staging, path) // batches))
+
+
+def move_in_order(spark: SparkSession, staging: str, path: str) -> int:
+    """Move the files of a finished write, by name, to a topic's folder behind those that are there; returns their number.
 
-    Each step is written, in parallel, when the one before it is done, in as many files as the largest step needs.
-    Returns that number: with so many files to a batch, a stream reads a step at a time and no row comes late.
+    Streams read files in order of their times, so each gets a later one than the file before it. A file system that
+    does not keep the times is an error, since a stream would read files of it in another order.
     """
-    place = F.size(F.filter(F.array(*[F.lit(s) for s in steps]), lambda s: s <= F.col(ts))) if steps else F.lit(0)
-    placed = events.withColumn("_step", F.when(F.col(ts).isNull(), 0).otherwise(place))
-    sizes = {r["_step"]: r["count"] for r in placed.groupBy("_step").count().collect()}  # a row per step
-    files = max([1, *(-(-n // rows_per_file) for n in sizes.values())])
-    for step in sorted(sizes):
-        placed.filter(F.col("_step") == step).drop("_step").repartition(files).write.mode("append").format(fmt).save(path)
-    return files
+    folder = spark._jvm.org.apache.hadoop.fs.Path
+    source, target = folder(staging), folder(path)
+    files = target.getFileSystem(spark._jsc.hadoopConfiguration())
+    written = sorted(s.getPath().getName() for s in files.listStatus(source) if s.getPath().getName().startswith("part-"))
+    there = [s.getModificationTime() for s in files.listStatus(target) if s.isFile()]
+    last = max([int(time.time() * 1000) - len(written), *there])
+    for name in written:
+        last += 1
+        moved = folder(target, name)
+        files.setTimes(folder(source, name), last, -1)
+        if not files.rename(folder(source, name), moved) or files.getFileStatus(moved).getModificationTime() < last:
+            raise RuntimeError(f"cannot keep the order of files in {path}")
+    files.delete(source, True)
+    return len(written)
 
 
 def publish(events: DataFrame, path: str, schema: T.StructType = EVENT_SCHEMA, mode: str = "append") -> None:

@@ -1,19 +1,23 @@
-"""Continuous queries: one streaming query per window, emitted once when the window closes."""
+"""Continuous queries: one streaming query for all chosen windows, each emitted once when it closes."""
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
-from vaultwatch.functions.eventtime import monotonous, pin_utc, start_ms
+from vaultwatch.functions.eventtime import monotonous, pin_utc
 from vaultwatch.operators import moments, ranking
 from vaultwatch.plans.batch import prepare, result_rows
 from vaultwatch.schemas import CSV_OPTIONS, QUERY_RESULTS, WINDOW_DAYS, result_topic, windows_for
 from vaultwatch.sources.raw import landing
-from vaultwatch.sources.results import result_path, route_results
+from vaultwatch.sources.results import found_at, result_path, route_results
 from vaultwatch.sources.topics import encode, kafka_writer_options
 
+KAFKA = "kafka"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
@@ -37,18 +41,26 @@ def temperature_stream(events: DataFrame, days: int, bounds: tuple[int, int] | N
     return moments.windowed_stats(monotonous(prepare(events), lateness=lateness), days, bounds)
 
 
-def best_day_stream(events: DataFrame, days: int, lateness: str = "0 seconds") -> DataFrame:
-    """Query 2 on a stream up to each vault's best day: (ts, vault_id, day, failures, disks).
+def temperature_windows_stream(
+    events: DataFrame, windows: dict[str, int], bounds: tuple[int, int] | None = moments.VAULT_RANGE, lateness: str = "0 seconds"
+) -> DataFrame:
+    """Query 1 for several windows (name: days), named in ``window_name``, from one read into one state."""
+    return moments.stats_of_windows(monotonous(prepare(events), lateness=lateness), windows, bounds)
+
+
+REPORT, CLOSED = "report", "closed"
+
+
+def ranking_stream(events: DataFrame, windows: dict[str, int], lateness: str = "0 seconds") -> DataFrame:
+    """Query 2 for several windows (name: days) up to the ranking: rows of two kinds for :func:`start_rankings`.
 
-    Chained aggregates: chunks of a day's list, the day, the wide window. A day passes on when it
-    closes. All vaults of a window leave in the same batch, which is where they are ranked.
+    ``closed``: the best days of windows that close, whose state is counts alone. ``report``: the failure reports of
+    the batch, which go to a log by day; a window's lists are read from there, for its winners only.
     """
-    daily = ranking.daily_failures(monotonous(prepare(events), lateness=lateness))
-    if days > 1:
-        return ranking.best_day_with_disks(daily, days)
-    return daily.select(
-        start_ms("w").alias("ts"), "vault_id", F.col("w.start").alias("day"), "failures", "disks"
-    )
+    prepared = prepare(events)
+    closed = ranking.best_days_counted(monotonous(prepared, lateness=lateness), windows).withColumn("kind", F.lit(CLOSED))
+    reports = ranking.counted_reports(prepared).withColumn("kind", F.lit(REPORT))
+    return closed.unionByName(reports, allowMissingColumns=True).withColumn("day_text", F.date_format("day", "yyyy-MM-dd"))
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, once: bool, path: str | None = None) -> StreamingQuery:
@@ -74,24 +86,43 @@ def start_landing(raw_rows: DataFrame, path: str, checkpoint: str, once: bool =
     return _start(raw_rows.writeStream.foreachBatch(write), checkpoint, once)
 
 
-def start_ranking(best: DataFrame, finish, path: str | None, checkpoint: str, fmt: str = "parquet", once: bool = False, **options) -> StreamingQuery:
-    """Rank each closed window and write it.
+def start_windows(rows: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Hand the rows of closed windows, whatever their ``window_name``, to ``write`` batch by batch.
 
-    ``row_number`` is a batch operator, so it runs on the closed windows of each batch, which are
-    whole. A batch owns a folder and replaces it when it is run again; one that closes no window
-    writes nothing. The ranked rows, ``k`` per closed window, are kept for that look.
+    ``write`` gets the batch's number too and should replace what it has written under it, as a batch may be run
+    again. It should read the rows once or keep them, as each read computes the batch anew.
     """
+    return _start(rows.writeStream.outputMode("append").foreachBatch(write), checkpoint, once)
 
-    def write(batch: DataFrame, batch_id: int) -> None:
-        rows = finish(ranking.top_vaults(batch)).persist()
-        try:
-            if not rows.isEmpty():
-                writer = rows.write.mode("overwrite" if path else "append").format(fmt).options(**options)
-                writer.save(f"{path}/batch={batch_id}" if path else None)
-        finally:
-            rows.unpersist()
 
-    return _start(best.writeStream.outputMode("append").foreachBatch(write), checkpoint, once)
+def start_rankings(rows: DataFrame, log: str, write: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False) -> StreamingQuery:
+    """Log the rows of :func:`ranking_stream` and rank each window that closes.
+
+    The log is parted by kind, day and batch; a batch that is run again replaces its own folders. Ranking runs on the
+    closed windows of the batch, which are whole, cut to ten per window in the tasks. Then the winners' reports are
+    read from the folders of their days. ``write`` gets (window_name, ts, vault_id, day, failures, rk, disks). Days
+    before the start of the oldest open window are not read again: their folders may be removed.
+    """
+    schema = T.StructType([*rows.schema.fields, T.StructField("batch", T.LongType())])
+    spark = rows.sparkSession  # a batch's own session plans without adaptive execution
+
+    def read(path: str) -> DataFrame | None:
+        return found_at(lambda: spark.read.schema(schema).option("basePath", log).parquet(path))
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        writer = batch.withColumn("batch", F.lit(batch_id)).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("kind", "day_text", "batch").parquet(log)
+        closed = read(f"{log}/kind={CLOSED}/day_text=*/batch={batch_id}")
+        if closed is None:
+            return
+        best = closed.select("window_name", "ts", "vault_id", "day", "failures", "until", "day_text")
+        found = ranking.top_vaults(best, window=("window_name", "ts")).collect()  # ten rows per closed window
+        days = ",".join(sorted({r["day_text"] for r in found}))
+        reports = read(f"{log}/kind={REPORT}/day_text={{{days}}}").select("vault_id", "day", "seq", "disk", "until")
+        winners = F.broadcast(spark.createDataFrame(found, ranking.top_vaults(best).schema).drop("day_text"))
+        write(ranking.with_counted_disks(reports, winners), batch_id)
+
+    return _start(rows.writeStream.outputMode("append").foreachBatch(step), checkpoint, once)
 
 
 def start_routing(records: DataFrame, out_dir: str, topics: list[str], checkpoint: str, once: bool = False) -> StreamingQuery:
@@ -100,6 +131,28 @@ def start_routing(records: DataFrame, out_dir: str, topics: list[str], checkpoin
     return _start(writer, checkpoint, once)
 
 
+def window_writer(query: str, windows: list[str], out_dir: str | None, kafka: str | None = None) -> Callable[[DataFrame, int], None]:
+    """Writes the rows of a batch to CSV files per window, in a folder per batch, or with ``kafka`` (the servers) to a
+    topic per window as JSON records."""
+
+    def write(rows: DataFrame, batch_id: int) -> None:
+        kept = rows.persist()
+        try:
+            there = {r["window_name"] for r in kept.select("window_name").distinct().collect()}  # a row per window
+            for name in [name for name in windows if name in there]:
+                topic = result_topic(query, name)
+                chosen = result_rows(query, kept.filter(F.col("window_name") == name).drop("window_name"))
+                if kafka:
+                    encode(chosen, QUERY_RESULTS[query]).write.format(KAFKA).options(**kafka_writer_options(kafka, topic)).save()
+                else:
+                    path = f"{result_path(out_dir, topic)}/batch={batch_id}"
+                    chosen.write.mode("overwrite").options(header="true", **CSV_OPTIONS).csv(path)
+        finally:
+            kept.unpersist()
+
+    return write
+
+
 def run_stream(
     query: str,
     windows: str | list[str],
@@ -110,30 +163,19 @@ def run_stream(
     kafka: str | None = None,
     lateness: str = "0 seconds",
 ) -> list[StreamingQuery]:
-    """Start a query for the chosen windows over one event stream.
+    """Start a query for the chosen windows over one event stream: one streaming query, which reads the source once.
 
-    Results go to CSV files below ``out_dir``, or with ``kafka`` (the servers) to a topic per window
-    as JSON records. Every window is a query with a checkpoint of its own, so they fail and restart
-    independently. With ``once`` they read what is there and stop.
+    Query 2 looks at it a second time for the failure reports alone. Results go to CSV files below ``out_dir``, or
+    with ``kafka`` (the servers) to a topic per window as JSON records. The checkpoint belongs to the choice of
+    windows. Query 2's log of failure reports lies beside it. With ``once`` it reads what is there and stops.
     """
-    started = []
-    for name in windows_for(windows):
-        topic, days = result_topic(query, name), WINDOW_DAYS[name]
-        checkpoint = f"{checkpoints.rstrip('/')}/{topic}"
-        if kafka:
-            path, fmt, options = None, "kafka", kafka_writer_options(kafka, topic)
-        else:
-            path, fmt, options = result_path(out_dir, topic), "csv", {"header": "true"} | CSV_OPTIONS
-
-        def finish(rows: DataFrame) -> DataFrame:
-            rows = result_rows(query, rows)
-            return encode(rows, QUERY_RESULTS[query]) if kafka else rows
-
-        if query == "query1":
-            started.append(start_append(finish(temperature_stream(events, days, lateness=lateness)), path, checkpoint, fmt, once, **options))
-        else:
-            started.append(start_ranking(best_day_stream(events, days, lateness), finish, path, checkpoint, fmt, once, **options))
-    return started
+    names = windows_for(windows)
+    lengths = {name: WINDOW_DAYS[name] for name in names}
+    home = f"{checkpoints.rstrip('/')}/{query}_{'_'.join(names)}"
+    write = window_writer(query, names, out_dir, kafka)
+    if query == "query1":
+        return [start_windows(temperature_windows_stream(events, lengths, lateness=lateness), write, home, once)]
+    return [start_rankings(ranking_stream(events, lengths, lateness), f"{home}_log", write, home, once)]
 
 
 def wait(queries: list[StreamingQuery]) -> list[StreamingQuery]:
