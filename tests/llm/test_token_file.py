@@ -76,3 +76,18 @@ def test_tables(spark):
     assert token_file.roundtrip(docs.limit(0), PATH, 1).collect() == []
     repeated = token_file.roundtrip(spark.createDataFrame([(1, "a b", "x")] * 3, "doc_id long, text string, ids string"), PATH, 1)
     assert sorted(r.start for r in repeated.collect()) == [0, 3, 6]
+
+
+def test_chunks_that_share_a_hash_keep_their_own_ids(monkeypatch):
+    """Words made to share a polynomial hash, and a hash that is the same for all."""
+    from test_minhash_dedup import thue_morse
+
+    rows = [f"see {w} here" for order in (8, 10, 11) for w in thue_morse(order)] + TEXTS[:1]
+    tool = token_file.WordEncoder(PATH, 1)
+    for row in rows:
+        assert tool.encode(pa.array([row]))[0].tolist() == ids_of(row)
+    assert token_file.WordEncoder(PATH, 1).encode(pa.array(rows))[0].tolist() == [i for t in rows for i in ids_of(t)]
+    monkeypatch.setattr(token_file, "hash_spans", lambda raw, begins, ends: (ends - begins).astype(np.uint64))
+    tool = token_file.WordEncoder(PATH, 1)
+    for row in [*rows, "one two six ten one", "a" * 17 + " " + "a" * 16 + "b"]:
+        assert tool.encode(pa.array([row]))[0].tolist() == ids_of(row)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -78,16 +79,20 @@ LOWER = np.arange(256, dtype=np.uint8)
 LOWER[ord("A") : ord("Z") + 1] += 32
 
 
-_POWERS = {"up": np.ones(1, U64), "down": np.ones(1, U64)}
+_POWERS: dict[str, np.ndarray] = {}
+_POWERS_KEPT = 1 << 22
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the odd step modulo 2**64, and of its inverse; kept for the worker, as far as a batch has needed."""
-    if len(_POWERS["up"]) < n:
+    """Powers of the odd step modulo 2**64, and of its inverse. The worker keeps so many as usual batches need; those
+    for a very long text go with it."""
+    if n > len(_POWERS.get("up", ())):
         size = max(n, 1 << 16)
         inverse = U64(pow(int(_STEP), -1, 1 << 64))
-        _POWERS["up"] = np.cumprod(np.concatenate([np.ones(1, U64), np.full(size, _STEP)]))
-        _POWERS["down"] = np.cumprod(np.concatenate([np.ones(1, U64), np.full(size, inverse)]))
+        up, down = (np.cumprod(np.concatenate([np.ones(1, U64), np.full(size, step)])) for step in (_STEP, inverse))
+        if size > _POWERS_KEPT:
+            return up, down
+        _POWERS["up"], _POWERS["down"] = up, down
     return _POWERS["up"], _POWERS["down"]
 
 
@@ -100,10 +105,17 @@ def hash_table(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return sums, down
 
 
-def hash_spans(values: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each span of byte values."""
+# Powers modulo 2**64 give strings of some shapes (Thue-Morse words) one sum, from a few hundred bytes on.
+LONG_SPAN = 256
+
+
+def hash_spans(values: np.ndarray, begins: np.ndarray, ends: np.ndarray, long_span: int | None = LONG_SPAN) -> np.ndarray:
+    """A 64-bit hash of each span of byte values; of spans longer than ``long_span`` a digest."""
     sums, down = hash_table(values)
-    return mix((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(U64))
+    found = mix((sums[ends] - sums[begins]) * down[begins] + (ends - begins).astype(U64))
+    for i in np.flatnonzero(ends - begins > long_span) if long_span else ():
+        found[i] = int.from_bytes(hashlib.blake2b(values[begins[i] : ends[i]].tobytes(), digest_size=8).digest(), "little")
+    return found
 
 
 def word_spans(raw: np.ndarray, at: np.ndarray, word_bytes: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:

@@ -1,7 +1,7 @@
 """Near-duplicate documents by bottom-k sketches of word shingles, confirmed on the full sets.
 
 One hash function orders all shingles; a sketch is the k smallest of a document. Documents of equal sets are one
-class. Inverted lists of retained values generate the pairs of classes, the sketch of the union estimates their
+class. Inverted lists of retained values generate the overlaps of classes, the sketch of the union estimates their
 similarity, and what may reach the limit is compared on the full sets.
 
 Lists. Two sets of similarity s share at least ``need`` retained values, but for a chance below ``MISS``: each
@@ -9,9 +9,13 @@ value among the k smallest of the union is in both with probability s. In a comm
 then share one of the first k - need + 1, so only those are listed; what most documents have comes last. The
 order is by counts of the values in a table of fixed size, which decides only the work, never the result.
 
-Links. In a list first only one member, drawn by a hash, is paired with the others. Where the verified links leave a list
-with members of several components, all its pairs across components follow. Pairs within one component would
-change nothing, so no group of copies is ever expanded into all its pairs.
+Links. First each class is compared with one other, the most like it by estimate of those that a hash draws from its
+lists, on the words of both texts. Lists whose members are then of several components are mixed, and all their pairs
+across components count. These are never rows: lists with the same first member are a crowd, which has each member
+once with a sketch wide enough to hold most sets in full, in blocks where it is large. A task compares the members of
+a block that share a listed value by one matrix product, and gives back a forest of links, at most one a member. Only
+pairs with a set beyond the wide sketch leave it as pairs, if the wide sketches say that they may reach the limit and
+the links of the task have not joined them.
 """
 
 from __future__ import annotations
@@ -24,9 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultwatch.llm.common import U64, binary_column, bit_filter, components, may_hold, mix, pieces, settle, shingle_sets, signed, text_bytes
+from vaultwatch.llm.common import LOWER, U64, binary_column, bit_filter, components, may_hold, mix, pieces, settle, shingle_sets, signed, text_bytes
 
 K = 64
+WIDE = 512  # values of a wide sketch: sets of so many shingles are whole in it
+BLOCK = 1_024  # members of a part of a crowd; a block has two parts
+PAIRS = 2_048  # pairs of wide sketches estimated at once
+_CELLS = 1 << 22  # of a matrix of members and shingles
 MISS = 1e-7
 COUNT_BITS = 20
 _SALT = (U64(0xA0761D6478BD642F), U64(0xE7037ED1A0B428DB))
@@ -50,18 +58,17 @@ def prefix(n: int, k: int, percent: int) -> int:
 
 
 def sketches(docs: DataFrame, width: int, k: int, key: str, text: str) -> DataFrame:
-    """Per row: key, n (size of the set), s1 and s2 (which equal sets share), sketch (k smallest hashes)
-    and their upper halves, for estimates."""
+    """Per row: key, n (size of the set), s1 and s2 (which equal sets share) and sketch (k smallest hashes)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
                 sets = list(shingle_sets(*text_bytes(part.column("text")), width))
                 sums = [signed([mix(s ^ salt).sum() if len(s) else U64(0) for s in sets]) for salt in _SALT]
-                yield pa.record_batch([part.column("key"), pa.array([len(s) for s in sets], pa.int64()), *sums, binary_column([s[:k] for s in sets]), binary_column([(s[:k] >> U64(32)).astype(np.uint32) for s in sets])], names=["key", "n", "s1", "s2", "sketch", "upper"])
+                yield pa.record_batch([part.column("key"), pa.array([len(s) for s in sets], pa.int64()), *sums, binary_column([s[:k] for s in sets])], names=["key", "n", "s1", "s2", "sketch"])
 
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
-    return rows.mapInArrow(run, f"key {dict(rows.dtypes)['key']}, n long, s1 long, s2 long, sketch binary, upper binary")
+    return rows.mapInArrow(run, f"key {dict(rows.dtypes)['key']}, n long, s1 long, s2 long, sketch binary")
 
 
 def _values(column: pa.Array) -> list[np.ndarray]:
@@ -101,10 +108,10 @@ def _postings(classes: DataFrame, k: int, percent: int) -> DataFrame:
     return classes.select("node", "n", "sketch").mapInArrow(run, "value long, node long, n long")
 
 
-def _padded(column: pa.Array, k: int) -> np.ndarray:
-    out = np.full((len(column), k), np.uint32(2**32 - 1))
-    for row, value in zip(out, column.to_pylist()):
-        row[: len(value) // 4] = np.frombuffer(value, np.uint32)
+def _padded(values: list[np.ndarray], k: int) -> np.ndarray:
+    out = np.full((len(values), k), U64(2**64 - 1))
+    for row, value in zip(out, values):
+        row[: len(value)] = value
     return out
 
 
@@ -121,28 +128,30 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, k: in
     return shared / np.maximum((new & within).sum(axis=1), 1)
 
 
-def _estimated(pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """The pairs (a, b) that may reach the limit, with the estimate."""
+def _best(pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """For each b the a that is most like it by estimate, of the pairs (a, b) that may reach the limit."""
     least = need(k, percent) / k
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
-            found = estimate(_padded(batch.column("sa"), k), _padded(batch.column("sb"), k), na, nb, k)
-            # Half a value of slack: the upper halves of two hashes may be equal by chance.
-            keep = pa.array(found >= np.where((na <= k) & (nb <= k), percent / 100, least) - 0.5 / k)
-            yield pa.record_batch({"a": batch.column("a").filter(keep), "b": batch.column("b").filter(keep), "like": pa.array(found).filter(keep)})
-
-    side = classes.select("node", "n", "upper")
-    joined = pairs.join(side.toDF("a", "na", "sa"), "a").join(side.toDF("b", "nb", "sb"), "b")
-    return joined.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long, like double")
-
-
-def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int, text: str) -> DataFrame:
-    """The pairs whose full sets reach the limit, compared on one text of each class."""
-
-    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-    chosen = settle(classes.join(wanted, "node").select("node", "n", "s1", "s2", F.col("s1").alias("h")), "near-wanted")
+            like = estimate(_padded(_values(batch.column("sa")), k), _padded(_values(batch.column("sb")), k), na, nb, k)
+            a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
+            may = np.flatnonzero(like >= np.where((na <= k) & (nb <= k), percent / 100, least) - 1e-9)
+            order = may[np.lexsort([a[may], -like[may], b[may]])]
+            first = order[np.append(True, b[order][1:] != b[order][:-1])] if len(order) else order
+            yield pa.record_batch({"a": pa.array(a[first]), "b": pa.array(b[first]), "like": pa.array(like[first])})
+
+    side = classes.select("node", "n", "sketch")
+    # The merge leaves the rows of a b side by side, so that a batch gives about one row for each.
+    joined = pairs.join(side.toDF("a", "na", "sa"), "a").join(side.toDF("b", "nb", "sb").hint("merge"), "b")
+    found = joined.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long, like double")
+    return found.groupBy("b").agg(F.max_by("a", "like").alias("a")).select("a", "b")
+
+
+def _pick(nodes: DataFrame, classes: DataFrame, docs: DataFrame, width: int, text: str, wide: int | None) -> DataFrame:
+    """node and the text of one document of each of these classes, or a sketch of ``wide`` values of it."""
+    chosen = settle(classes.join(nodes, "node").select("node", "n", "s1", "s2", F.col("s1").alias("h")), "near-wanted")
     table = bit_filter(chosen)
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -151,22 +160,49 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
                 sets = list(shingle_sets(*text_bytes(part.column("text")), width))
                 sums = [np.array([mix(s ^ salt).sum() if len(s) else U64(0) for s in sets], U64) for salt in _SALT]
                 maybe = pa.array(may_hold(table, sums[0]))
-                columns = [part.column("text"), pa.array([len(s) for s in sets], pa.int64()), *map(signed, sums)]
-                yield pa.record_batch([c.filter(maybe) for c in columns], names=["text", "n", "s1", "s2"])
+                what = part.column("text") if wide is None else binary_column([s[:wide] for s in sets])
+                columns = [what, pa.array([len(s) for s in sets], pa.int64()), *map(signed, sums)]
+                yield pa.record_batch([c.filter(maybe) for c in columns], names=["what", "n", "s1", "s2"])
+
+    kind = "string" if wide is None else "binary"
+    found = docs.select(docs[text].alias("text")).mapInArrow(pick, f"what {kind}, n long, s1 long, s2 long")
+    return settle(found.join(chosen.drop("h"), ["n", "s1", "s2"]).groupBy("node").agg(F.first("what").alias("what")), "near-texts")
+
+
+_WORDS = bytes(LOWER)
+
+
+def similar(one: str, other: str, width: int, percent: int) -> bool:
+    """Whether the sets of word runs of two texts reach the limit; by the words themselves, no hash decides."""
+    a, b = one.encode().translate(_WORDS).split(), other.encode().translate(_WORDS).split()
+    if len(a) < width or len(b) < width:
+        return a == b and len(a) > 0
+    place: dict[bytes, int] = {}
+    ids = np.array([place.setdefault(w, len(place)) for w in a + b])
+    code = ids
+    for i in range(1, width):  # one number for each distinct run so far
+        code = np.unique(code[:-1] * len(place) + ids[i:], return_inverse=True)[1]
+    x, y = np.unique(code[: len(a) - width + 1]), np.unique(code[len(a) :][: len(b) - width + 1])
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
+def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int, percent: int, text: str) -> DataFrame:
+    """The pairs whose full sets reach the limit, compared on one text of each class."""
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "ta"):
                 a, b = (shingle_sets(*text_bytes(part.column(c)), width) for c in ("ta", "tb"))
                 keep = []
-                for x, y in zip(a, b):
+                for x, y, one, other in zip(a, b, part.column("ta"), part.column("tb")):
                     both = len(np.intersect1d(x, y, assume_unique=True))
-                    keep.append(100 * both >= percent * (len(x) + len(y) - both))
+                    hashed = 100 * both >= percent * (len(x) + len(y) - both)
+                    keep.append(hashed and similar(one.as_py(), other.as_py(), width, percent))
                 yield part.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    found = docs.select(docs[text].alias("text")).mapInArrow(pick, "text string, n long, s1 long, s2 long")
-    texts = found.join(chosen.drop("h"), ["n", "s1", "s2"]).groupBy("node").agg(F.first("text").alias("text"))
-    texts = settle(texts, "near-texts")
+    wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+    texts = _pick(wanted, classes, docs, width, text, None)
     joined = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
     return joined.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long")
 
@@ -182,43 +218,157 @@ def _across(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return ends.filter(F.coalesce("ra", "a") != F.coalesce("rb", "b")).select("a", "b")
 
 
-def link(docs: DataFrame, width: int = 5, percent: int = 80, k: int = K, key: str = "doc_id", text: str = "text") -> DataFrame:
+def _crowds(members: DataFrame, block: int) -> DataFrame:
+    """Members of mixed lists, each once in a block of a crowd: crowd, i, j, node, n, root, part, values.
+
+    A crowd is the lists of one first member. It is dealt by a hash of the node to ``parts`` parts of about ``block``
+    members, and a block is a pair i, j of parts: a member is in as many blocks as there are parts.
+    """
+    mixed = members.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high"), F.min("node").alias("crowd"))
+    mixed = mixed.filter("low < high").select("value", "crowd")
+    placed = members.join(mixed, "value").groupBy("crowd", "node", "n", "root").agg(F.collect_set("value").alias("values"))
+    placed = settle(placed, "near-placed")
+    sizes = placed.groupBy("crowd").agg(F.count("*").alias("size"))
+    parts = F.pow(F.lit(2), F.greatest(F.lit(0), F.ceil(F.log2(F.col("size") / block)))).cast("int")
+    dealt = placed.join(sizes.withColumn("parts", parts).drop("size"), "crowd")
+    dealt = dealt.withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).withColumn("other", F.explode(F.expr("sequence(0, parts - 1)")))
+    return dealt.select("crowd", F.least("part", "other").alias("i"), F.greatest("part", "other").alias("j"), "node", "n", "root", "part", "values")
+
+
+def _shared(sets: list[np.ndarray], a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """The size of the intersection of the sets of each pair."""
+    if len(a) <= 2 * len(sets) or len(a) < 16:
+        return np.array([len(np.intersect1d(sets[x], sets[y], assume_unique=True)) for x, y in zip(a, b)], np.int64)
+    owner = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, value, count = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    often = np.flatnonzero(count[value] > 1)  # the others are in no intersection
+    owner, value = owner[often], np.unique(value[often], return_inverse=True)[1]
+    order = np.argsort(value, kind="stable")
+    owner, value = owner[order], value[order]
+    product = np.zeros((len(sets), len(sets)), np.float32)
+    step = max(1, _CELLS // len(sets))
+    for start in range(0, int(value[-1]) + 1 if len(value) else 0, step):
+        low, high = np.searchsorted(value, [start, start + step])
+        matrix = np.zeros((len(sets), step), np.float32)
+        matrix[owner[low:high], value[low:high] - start] = 1
+        product += matrix @ matrix.T
+    return product[a, b].astype(np.int64)
+
+
+class _Joined:
+    """Union-find over the places of a block."""
+
+    def __init__(self, roots: np.ndarray):
+        self.up = {int(r): int(r) for r in roots}
+
+    def find(self, r: int) -> int:
+        while self.up[r] != r:
+            self.up[r] = r = self.up[self.up[r]]
+        return r
+
+    def join(self, x: int, y: int) -> bool:
+        x, y = self.find(x), self.find(y)
+        self.up[max(x, y)] = min(x, y)
+        return x != y
+
+
+def block_links(node: np.ndarray, n: np.ndarray, root: np.ndarray, part: np.ndarray, values: list[np.ndarray], wide: list[np.ndarray], percent: int) -> tuple[list, list]:
+    """Of one block: links that join components, as few as do so, and pairs that the full sets must decide.
+
+    Pairs share a listed value and are of two roots and, where the block is of two parts, of two parts.
+    """
+    listed = np.concatenate(values)
+    owner = np.repeat(np.arange(len(node)), [len(v) for v in values])
+    distinct, at = np.unique(listed, return_inverse=True)
+    share = np.zeros((len(node), len(distinct)), np.float32)
+    share[owner, at] = 1
+    may = np.triu(share @ share.T > 0, 1) & (root[:, None] != root[None, :])
+    may &= (n[:, None] * 100 >= n[None, :] * percent) & (n[None, :] * 100 >= n[:, None] * percent)
+    if len(set(part.tolist())) > 1:
+        may &= part[:, None] != part[None, :]
+    a, b = np.nonzero(may)
+    if not len(a):
+        return [], []
+    joined, links, open_ = _Joined(root), [], []
+    whole = (n[a] <= WIDE) & (n[b] <= WIDE)
+    x, y = a[whole], b[whole]
+    both = _shared(wide, x, y)
+    reach = 100 * both >= percent * (n[x] + n[y] - both)
+    for i, j in zip(x[reach], y[reach]):
+        if joined.join(int(root[i]), int(root[j])):
+            links.append((node[i], node[j]))
+    x, y = a[~whole], b[~whole]
+    for start in range(0, len(x), PAIRS):
+        i, j = x[start : start + PAIRS], y[start : start + PAIRS]
+        like = estimate(_padded([wide[v] for v in i], WIDE), _padded([wide[v] for v in j], WIDE), n[i], n[j], WIDE)
+        for v, w in zip(i[like >= need(WIDE, percent) / WIDE], j[like >= need(WIDE, percent) / WIDE]):
+            if joined.find(int(root[v])) != joined.find(int(root[w])):
+                open_.append((node[v], node[w]))
+    return links, open_
+
+
+def _crowd_links(crowds: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
+    """Pairs (a, b) from the blocks: ``sure`` links, and those to verify."""
+    block = ["crowd", "i", "j"]
+
+    def emit(rows: pa.Table) -> pa.RecordBatch:
+        lists = rows.column("values").combine_chunks()
+        values = np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1])
+        numbers = [rows.column(c).to_numpy() for c in ("node", "n", "root", "part")]
+        links, open_ = block_links(*numbers, values, _values(rows.column("wide")), percent)
+        pairs = [*links, *open_]
+        sure = [True] * len(links) + [False] * len(open_)
+        return pa.record_batch({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64()), "sure": pa.array(sure, pa.bool_())})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None  # the rows of the block that the next batch may go on with
+        for batch in batches:
+            rows = pa.Table.from_batches([batch])
+            rows = pa.concat_tables([held, rows]) if held is not None else rows
+            keys = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in block])
+            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+            for start, end in zip([0, *cuts[:-1]], cuts):
+                yield emit(rows.slice(start, end - start))
+            held = rows.slice(cuts[-1]) if len(cuts) else rows
+        if held is not None and held.num_rows:
+            yield emit(held)
+
+    dealt = crowds.join(wide.withColumnRenamed("what", "wide"), "node").repartition(*block).sortWithinPartitions(*block)
+    return dealt.select(*block, "node", "n", "root", "part", "values", "wide").mapInArrow(run, "a long, b long, sure boolean")
+
+
+def link(docs: DataFrame, width: int = 5, percent: int = 80, k: int = K, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
     """Per row: key, n_shingles, component_id (smallest key reachable by links) and kept (key = component_id).
 
     A null text, or one without words, has no shingles and is linked with nothing; with fewer words than
     ``width`` the whole sequence is the one shingle. Rows of one key are judged each by its text. A null key is
-    never a component's smallest unless there is no other. An empty table gives no rows; other columns are not used.
+    never a component's smallest unless there is no other. Very long texts are taken whole, one at a time. An empty
+    table gives no rows; other columns are not used.
     """
     rows = settle(sketches(docs, width, k, key, text), "near-sketches")
-    grouped = rows.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("key").alias("first"), F.first("sketch").alias("sketch"), F.first("upper").alias("upper"))
+    grouped = rows.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("key").alias("first"), F.first("sketch").alias("sketch"))
     classes = settle(grouped.withColumn("node", F.monotonically_increasing_id()), "near-classes")
     postings = settle(_postings(classes, k, percent), "near-postings")
     lists = postings.groupBy("value").agg(F.count("*").alias("members"), F.min(F.struct(F.xxhash64("node", "value").alias("draw"), "node", "n")).alias("head")).filter("members > 1")
     lists = lists.select("value", F.col("head.node").alias("a"), F.col("head.n").alias("na"))
     shared = settle(postings.join(lists, "value").withColumnsRenamed({"node": "b", "n": "nb"}), "near-lists")
     heads = shared.filter((F.col("a") != F.col("b")) & _near(percent)).select("a", "b").distinct()
-    first = settle(_estimated(heads, classes, k, percent), "near-pairs")
-    # Each class first with the partner it is most like; of the others, what that has not brought together.
-    best = first.groupBy("b").agg(F.max_by("a", "like").alias("a")).select("a", "b")
+    best = settle(_best(heads, classes, k, percent), "near-pairs")
     links = settle(_verified(best, classes, docs, width, percent, text), "near-links")
     roots = components(links, "near-components")
-    apart = _across(first, roots).join(best, ["a", "b"], "left_anti")
-    links = links.unionByName(settle(_verified(settle(apart, "near-pairs"), classes, docs, width, percent, text), "near-links"))
-    roots = components(links, "near-components")
-    # What is left: pairs of one list across components.
     own = roots.select(F.col("node").alias("b"), "root")
     members = shared.join(own, "b", "left").select("value", F.col("b").alias("node"), F.col("nb").alias("n"), F.coalesce("root", "b").alias("root"))
-    members = settle(members, "near-members")
-    mixed = members.groupBy("value").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low < high").select("value")
-    left = members.join(mixed, "value")
-    x, y = left.toDF("value", "a", "na", "ra"), left.toDF("value", "b", "nb", "rb")
-    across = x.join(y, "value").filter((F.col("ra") < F.col("rb")) & _near(percent))
-    pairs = across.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct().join(heads, ["a", "b"], "left_anti")
-    second = settle(_estimated(pairs, classes, k, percent), "near-pairs")
-    more = settle(_verified(second, classes, docs, width, percent, text), "near-links")
-    if not more.isEmpty():
+    crowds = settle(_crowds(settle(members, "near-members"), block), "near-crowds")
+    if not crowds.isEmpty():
+        wide = _pick(crowds.select("node").distinct(), classes, docs, width, text, WIDE)
+        found = settle(_crowd_links(crowds, wide, percent), "near-crowd-links")
         stars = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
-        roots = components(stars.unionByName(more), "near-components")
+        roots = components(stars.unionByName(found.filter("sure").select("a", "b")), "near-components")
+        left = settle(_across(found.filter("NOT sure").select("a", "b").distinct(), roots), "near-pairs")
+        if not left.isEmpty():
+            more = settle(_verified(left, classes, docs, width, percent, text), "near-links")
+            stars = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
+            roots = components(stars.unionByName(more), "near-components")
     named = classes.join(roots, "node", "left").select("s1", "s2", "n", "first", F.coalesce("root", "node").alias("root"))
     smallest = named.groupBy("root").agg(F.min("first").alias("component"))
     named = settle(named.join(smallest, "root").select("s1", "s2", "n", "component"), "near-named")

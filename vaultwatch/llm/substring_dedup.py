@@ -301,7 +301,7 @@ def _shard(table: pa.Table, length: int, gram: int, groups: int) -> pa.Table:
     told = told[np.append(True, run[told[1:]] != run[told[:-1]]) | ~repeats[told]] if len(told) else told
     at = order[told]
     strings = np.empty(len(told), _STRING)
-    strings["code"], strings["more"] = (hash_spans(values, at, at + length) for values in (raw, raw ^ np.uint8(0x5A)))
+    strings["code"], strings["more"] = (hash_spans(values, at, at + length, None) for values in (raw, raw ^ np.uint8(0x5A)))
     strings["mark"], strings["segment"], strings["first"] = marks[spot[told]], segments[spot[told]], at - starts[spot[told]]
     strings["text"] = np.frombuffer(b"".join(table.column("digest").to_pylist()), "V16")[spot[told]]
     strings["place"], strings["repeats"] = place[told], repeats[told]

@@ -148,6 +148,16 @@ def spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
     return np.repeat(starts - (ends - sizes), sizes) + np.arange(int(ends[-1]) if len(ends) else 0)
 
 
+def _looks(raw: np.ndarray, begins: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Length, first and last eight bytes of each span: all there is to know of one of up to sixteen bytes."""
+    sizes = ends - begins
+    padded = np.concatenate([np.zeros(8, np.uint8), raw, np.zeros(8, np.uint8)])
+    eights = np.lib.stride_tricks.sliding_window_view(padded, 8)
+    first, last = (np.ascontiguousarray(eights[at]).view("<u8").ravel() for at in (begins + 8, ends))
+    outside = (8 * (8 - np.minimum(sizes, 8))).astype(np.uint64)  # bits of other spans
+    return np.stack([sizes.astype(np.uint64), (first << outside) >> outside, (last >> outside) << outside], axis=1)
+
+
 class WordEncoder:
     """Encodes texts by the library, each distinct chunk once; those of former batches are remembered."""
 
@@ -160,10 +170,12 @@ class WordEncoder:
 
     def forget(self) -> None:
         self.hashes = np.empty(0, np.uint64)
+        self.looks = np.empty((0, 3), np.uint64)
+        self.long: dict[int, bytes] = {}
         self.starts, self.sizes = np.empty(0, np.int64), np.empty(0, np.int64)
         self.ids = np.empty(0, "<u4")
 
-    def _learn(self, hashes: np.ndarray, texts: list[str]) -> None:
+    def _learn(self, hashes: np.ndarray, looks: np.ndarray, texts: list[str]) -> None:
         if len(self.hashes) + len(hashes) > REMEMBERED:
             self.forget()
         coded = [e.ids for e in self.tool.encode_batch_fast(texts, add_special_tokens=False)]
@@ -173,6 +185,7 @@ class WordEncoder:
         known = np.concatenate([self.hashes, hashes])
         order = np.argsort(known)
         self.hashes = known[order]
+        self.looks = np.concatenate([self.looks, looks])[order]
         self.starts, self.sizes = np.concatenate([self.starts, starts])[order], np.concatenate([self.sizes, sizes])[order]
 
     def _place(self, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -181,30 +194,51 @@ class WordEncoder:
         at = np.minimum(np.searchsorted(self.hashes, hashes), len(self.hashes) - 1)
         return at, self.hashes[at] == hashes
 
+    def _whole(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The library's ids of whole texts, where chunks would not do."""
+        coded = [e.ids + [self.end_id] for e in self.tool.encode_batch_fast([t or "" for t in texts.to_pylist()], add_special_tokens=False)]
+        return np.fromiter(chain.from_iterable(coded), "<u4"), np.array([len(c) for c in coded], np.int64)
+
+    def _same(self, raw: np.ndarray, begins: np.ndarray, ends: np.ndarray, hashes: np.ndarray, looks: np.ndarray, places: np.ndarray) -> bool:
+        """Whether each chunk has the bytes of the remembered one of its hash."""
+        if not np.array_equal(looks, self.looks[places]):
+            return False
+        for i in np.flatnonzero(ends - begins > 16):
+            chunk = raw[begins[i] : ends[i]].tobytes()
+            if self.long.setdefault(int(hashes[i]), chunk) != chunk:
+                return False
+        return True
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids, the end id after each text, and the number of each text's ids."""
         raw, at = text_bytes(texts)
         whole = raw.tobytes()
         if any(s in whole for s in self.special):  # a special token's name is one id and must stay whole
-            coded = [e.ids + [self.end_id] for e in self.tool.encode_batch_fast([t or "" for t in texts.to_pylist()], add_special_tokens=False)]
-            return np.fromiter(chain.from_iterable(coded), "<u4"), np.array([len(c) for c in coded], np.int64)
+            return self._whole(texts)
         begins, ends = chunks(raw, at)
         docs = len(at) - 1
         if not len(begins):
             return np.full(docs, self.end_id, "<u4"), np.ones(docs, np.int64)
-        hashes = hash_spans(LOWER[raw], begins, ends)
+        small = LOWER[raw]
+        hashes = hash_spans(small, begins, ends)
         beyond = np.concatenate([[0], np.cumsum(raw >= 128)])
         if beyond[-1]:  # beyond ASCII, case is left to the library
             foreign = np.flatnonzero(beyond[ends] > beyond[begins])
             hashes[foreign] = ~hash_spans(raw, begins[foreign], ends[foreign])
+            small = small.copy()
+            at_foreign = spread(begins[foreign], ends[foreign] - begins[foreign])
+            small[at_foreign] = raw[at_foreign]
+        looks = _looks(small, begins, ends)
         distinct, one, member = np.unique(hashes, return_index=True, return_inverse=True)
         fresh = np.flatnonzero(~self._place(distinct)[1])
         if len(fresh):
             if len(self.hashes) + len(fresh) > REMEMBERED:
                 self.forget()
                 fresh = np.arange(len(distinct))
-            self._learn(distinct[fresh], [whole[begins[i] : ends[i]].decode() for i in one[fresh]])
+            self._learn(distinct[fresh], looks[one[fresh]], [whole[begins[i] : ends[i]].decode() for i in one[fresh]])
         places = self._place(distinct)[0][member]
+        if not self._same(small, begins, ends, hashes, looks, places):
+            return self._whole(texts)
         owner = np.searchsorted(at, begins, side="right") - 1
         counts = np.bincount(owner, weights=self.sizes[places], minlength=docs).astype(np.int64)
         out = np.full(int(counts.sum()) + docs, self.end_id, "<u4")
