@@ -12,8 +12,9 @@ order is by counts of the values in a table of fixed size, which decides only th
 Links. First each class is compared with one other, the most like it by estimate of those that a hash draws from its
 lists, on the words of both texts. Lists whose members are then of several components are mixed, and all their pairs
 across components count. These are never rows: lists with the same first member are a crowd, which has each member
-once with a sketch wide enough to hold most sets in full, in blocks where it is large. A task compares the members of
-a block that share a listed value by one matrix product, and gives back a forest of links, at most one a member. Only
+once, in blocks where it is large. Tasks first count the fingerprints of retained values that members of a block
+share, and name those with a partner that may reach the limit. These come again with a sketch wide enough to hold most
+sets in full; a task compares them by one matrix product and gives back a forest of links, at most one a member. Only
 pairs with a set beyond the wide sketch leave it as pairs, if the wide sketches say that they may reach the limit and
 the links of the task have not joined them.
 """
@@ -34,6 +35,7 @@ K = 64
 WIDE = 512  # values of a wide sketch: sets of so many shingles are whole in it
 BLOCK = 1_024  # members of a part of a crowd; a block has two parts
 PAIRS = 2_048  # pairs of wide sketches estimated at once
+_SMALL = 96  # members of a block whose pairs are found together with those of other blocks
 _CELLS = 1 << 22  # of a matrix of members and shingles
 MISS = 1e-7
 COUNT_BITS = 20
@@ -57,18 +59,23 @@ def prefix(n: int, k: int, percent: int) -> int:
     return min(n, k) - need(k, percent) + 1
 
 
+def prints(values: np.ndarray) -> np.ndarray:
+    return (mix(values ^ _SALT[0]) >> U64(48)).astype(np.uint16)
+
+
 def sketches(docs: DataFrame, width: int, k: int, key: str, text: str) -> DataFrame:
-    """Per row: key, n (size of the set), s1 and s2 (which equal sets share) and sketch (k smallest hashes)."""
+    """Per row: key, n (size of the set), s1 and s2 (which equal sets share), sketch (k smallest hashes) and prints (a
+    fingerprint of 16 bits of each of them)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in pieces(batch, "text"):
                 sets = list(shingle_sets(*text_bytes(part.column("text")), width))
                 sums = [signed([mix(s ^ salt).sum() if len(s) else U64(0) for s in sets]) for salt in _SALT]
-                yield pa.record_batch([part.column("key"), pa.array([len(s) for s in sets], pa.int64()), *sums, binary_column([s[:k] for s in sets])], names=["key", "n", "s1", "s2", "sketch"])
+                yield pa.record_batch([part.column("key"), pa.array([len(s) for s in sets], pa.int64()), *sums, binary_column([s[:k] for s in sets]), binary_column([prints(s[:k]) for s in sets])], names=["key", "n", "s1", "s2", "sketch", "prints"])
 
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
-    return rows.mapInArrow(run, f"key {dict(rows.dtypes)['key']}, n long, s1 long, s2 long, sketch binary")
+    return rows.mapInArrow(run, f"key {dict(rows.dtypes)['key']}, n long, s1 long, s2 long, sketch binary, prints binary")
 
 
 def _values(column: pa.Array) -> list[np.ndarray]:
@@ -128,24 +135,40 @@ def estimate(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, k: in
     return shared / np.maximum((new & within).sum(axis=1), 1)
 
 
+def _prints(column: pa.Array, k: int) -> np.ndarray:
+    """A row of fingerprints for each value of the column, filled up with numbers that stand once in it."""
+    raw = [np.frombuffer(v, np.uint16) for v in column.to_pylist()]
+    out = np.tile(np.arange(1 << 16, (1 << 16) + k, dtype=np.uint32), (len(raw), 1))
+    for row, value in zip(out, raw):
+        row[: len(value)] = value
+    return out
+
+
+def alike(a: np.ndarray, b: np.ndarray, na: np.ndarray, nb: np.ndarray, k: int, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """How many fingerprints the two rows of each pair share, chance ones included, and whether the pair may reach the limit."""
+    both = np.sort(np.concatenate([a, np.where(b >= 1 << 16, b + np.uint32(1 << 16), b)], axis=1), axis=1)
+    shared = (both[:, 1:] == both[:, :-1]).sum(axis=1)
+    whole = -(-(na + nb) * percent // (100 + percent))
+    return shared, shared >= np.where((na <= k) & (nb <= k), whole, need(k, percent))
+
+
 def _best(pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """For each b the a that is most like it by estimate, of the pairs (a, b) that may reach the limit."""
-    least = need(k, percent) / k
+    """For each b the a that is most like it by its fingerprints, of the pairs (a, b) that may reach the limit."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
-            like = estimate(_padded(_values(batch.column("sa")), k), _padded(_values(batch.column("sb")), k), na, nb, k)
-            a, b = batch.column("a").to_numpy(), batch.column("b").to_numpy()
-            may = np.flatnonzero(like >= np.where((na <= k) & (nb <= k), percent / 100, least) - 1e-9)
+            shared, may = alike(_prints(batch.column("pa"), k), _prints(batch.column("pb"), k), na, nb, k, percent)
+            like = shared / np.maximum(np.minimum(na, k) + np.minimum(nb, k) - shared, 1)
+            a, b, may = batch.column("a").to_numpy(), batch.column("b").to_numpy(), np.flatnonzero(may)
             order = may[np.lexsort([a[may], -like[may], b[may]])]
             first = order[np.append(True, b[order][1:] != b[order][:-1])] if len(order) else order
             yield pa.record_batch({"a": pa.array(a[first]), "b": pa.array(b[first]), "like": pa.array(like[first])})
 
-    side = classes.select("node", "n", "sketch")
+    side = classes.select("node", "n", "prints")
     # The merge leaves the rows of a b side by side, so that a batch gives about one row for each.
-    joined = pairs.join(side.toDF("a", "na", "sa"), "a").join(side.toDF("b", "nb", "sb").hint("merge"), "b")
-    found = joined.select("a", "b", "na", "nb", "sa", "sb").mapInArrow(run, "a long, b long, like double")
+    joined = pairs.join(side.toDF("a", "na", "pa"), "a").join(side.toDF("b", "nb", "pb").hint("merge"), "b")
+    found = joined.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long, like double")
     return found.groupBy("b").agg(F.max_by("a", "like").alias("a")).select("a", "b")
 
 
@@ -272,21 +295,33 @@ class _Joined:
         return x != y
 
 
+def _meeting(n: np.ndarray, root: np.ndarray, part: np.ndarray, values: np.ndarray, counts: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """The pairs of a block that share a listed value, have sizes near each other and are of two roots and, where the
+    block is of two parts, of two parts."""
+    distinct, at = np.unique(values, return_inverse=True)
+    owner = np.repeat(np.arange(len(n)), counts)
+    product = np.zeros((len(n), len(n)), np.float32)
+    step = max(1, _CELLS // len(n))
+    order = np.argsort(at, kind="stable")
+    owner, at = owner[order], at[order]
+    for start in range(0, len(distinct), step):
+        low, high = np.searchsorted(at, [start, start + step])
+        share = np.zeros((len(n), min(step, len(distinct) - start)), np.float32)
+        share[owner[low:high], at[low:high] - start] = 1
+        product += share @ share.T
+    may = np.triu(product > 0, 1) & (root[:, None] != root[None, :])
+    may &= (n[:, None] * 100 >= n[None, :] * percent) & (n[None, :] * 100 >= n[:, None] * percent)
+    if part.min() != part.max():
+        may &= part[:, None] != part[None, :]
+    return np.nonzero(may)
+
+
 def block_links(node: np.ndarray, n: np.ndarray, root: np.ndarray, part: np.ndarray, values: list[np.ndarray], wide: list[np.ndarray], percent: int) -> tuple[list, list]:
     """Of one block: links that join components, as few as do so, and pairs that the full sets must decide.
 
-    Pairs share a listed value and are of two roots and, where the block is of two parts, of two parts.
+    The pairs are those of :func:`_meeting`.
     """
-    listed = np.concatenate(values)
-    owner = np.repeat(np.arange(len(node)), [len(v) for v in values])
-    distinct, at = np.unique(listed, return_inverse=True)
-    share = np.zeros((len(node), len(distinct)), np.float32)
-    share[owner, at] = 1
-    may = np.triu(share @ share.T > 0, 1) & (root[:, None] != root[None, :])
-    may &= (n[:, None] * 100 >= n[None, :] * percent) & (n[None, :] * 100 >= n[:, None] * percent)
-    if len(set(part.tolist())) > 1:
-        may &= part[:, None] != part[None, :]
-    a, b = np.nonzero(may)
+    a, b = _meeting(n, root, part, np.concatenate(values), np.array([len(v) for v in values]), percent)
     if not len(a):
         return [], []
     joined, links, open_ = _Joined(root), [], []
@@ -307,34 +342,102 @@ def block_links(node: np.ndarray, n: np.ndarray, root: np.ndarray, part: np.ndar
     return links, open_
 
 
+_BLOCK = ["crowd", "i", "j"]
+
+
+def _whole_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Table, np.ndarray]]:
+    """The rows of sorted batches in tables of whole blocks, and where each block of a table begins, and its end."""
+    held = None
+    for batch in batches:
+        rows = pa.Table.from_batches([batch])
+        rows = pa.concat_tables([held, rows]).combine_chunks() if held is not None else rows
+        keys = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in _BLOCK])
+        cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
+        held = rows.slice(cuts[-1]) if len(cuts) else rows
+        if len(cuts):
+            yield rows.slice(0, cuts[-1]), np.append(0, cuts)
+    if held is not None and held.num_rows:
+        yield held, np.array([0, held.num_rows])
+
+
+def _numbers(rows: pa.Table) -> list[np.ndarray]:
+    return [rows.column(c).to_numpy() for c in ("node", "n", "root", "part")]
+
+
+def _lists(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """All listed values, and how many each row has."""
+    lists = rows.column("values").combine_chunks()
+    return lists.flatten().to_numpy(), lists.value_lengths().to_numpy().astype(np.int64)
+
+
+def _candidates(crowds: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFrame:
+    """Rows (crowd, i, j, node) of members with a partner in the block that may reach the limit."""
+
+    def few(rows: pa.Table, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pairs of all small blocks at once: neighbours, next but one and so on in runs of a value."""
+        _, n, root, part = _numbers(rows)
+        values, counts = _lists(rows)
+        cross = rows.column("i").to_numpy() != rows.column("j").to_numpy()
+        small = np.repeat(np.where(np.diff(cuts) <= _SMALL, np.arange(len(cuts) - 1), -1), np.diff(cuts))
+        owner, block = np.repeat(np.arange(rows.num_rows), counts), np.repeat(small, counts)
+        order = np.lexsort([owner, values, block])
+        order = order[block[order] >= 0]
+        owner, values, block = owner[order], values[order], block[order]
+        runs = np.cumsum(np.append(True, (values[1:] != values[:-1]) | (block[1:] != block[:-1]))) if len(owner) else owner
+        found = [np.empty(0, np.int64)]
+        for distance in range(1, _SMALL):
+            at = np.flatnonzero(runs[distance:] == runs[:-distance])
+            if not len(at):
+                break
+            a, b = owner[at], owner[at + distance]
+            may = (root[a] != root[b]) & (n[a] * 100 >= n[b] * percent) & (n[b] * 100 >= n[a] * percent) & ~(cross[a] & (part[a] == part[b]))
+            found.append(np.unique(a[may] * np.int64(rows.num_rows) + b[may]))
+        code = np.unique(np.concatenate(found))
+        return code // rows.num_rows, code % rows.num_rows
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows, cuts in _whole_blocks(batches):
+            _, n, root, part = _numbers(rows)
+            own = _prints(rows.column("prints"), k)
+            named = np.zeros(rows.num_rows, bool)
+
+            def meet(a: np.ndarray, b: np.ndarray) -> None:
+                for start in range(0, len(a), PAIRS):
+                    x, y = a[start : start + PAIRS], b[start : start + PAIRS]
+                    open_ = ~(named[x] & named[y])
+                    x, y = x[open_], y[open_]
+                    _, reach = alike(own[x], own[y], n[x], n[y], k, percent)
+                    named[x[reach]] = named[y[reach]] = True
+
+            meet(*few(rows, cuts))
+            for start, end in zip(cuts[:-1], cuts[1:]):
+                if end - start > _SMALL:
+                    a, b = _meeting(n[start:end], root[start:end], part[start:end], *_lists(rows.slice(start, end - start)), percent)
+                    meet(a + start, b + start)
+            chosen = pa.array(np.flatnonzero(named))
+            yield pa.RecordBatch.from_arrays([rows.column(c).combine_chunks().take(chosen) for c in [*_BLOCK, "node"]], names=[*_BLOCK, "node"])
+
+    dealt = crowds.join(classes.select("node", "prints"), "node").repartition(*_BLOCK).sortWithinPartitions(*_BLOCK)
+    return dealt.select(*_BLOCK, "node", "n", "root", "part", "values", "prints").mapInArrow(run, "crowd long, i int, j int, node long")
+
+
 def _crowd_links(crowds: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) from the blocks: ``sure`` links, and those to verify."""
-    block = ["crowd", "i", "j"]
 
     def emit(rows: pa.Table) -> pa.RecordBatch:
-        lists = rows.column("values").combine_chunks()
-        values = np.split(lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())[:-1])
-        numbers = [rows.column(c).to_numpy() for c in ("node", "n", "root", "part")]
-        links, open_ = block_links(*numbers, values, _values(rows.column("wide")), percent)
+        values, counts = _lists(rows)
+        links, open_ = block_links(*_numbers(rows), np.split(values, np.cumsum(counts)[:-1]), _values(rows.column("wide")), percent)
         pairs = [*links, *open_]
         sure = [True] * len(links) + [False] * len(open_)
         return pa.record_batch({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64()), "sure": pa.array(sure, pa.bool_())})
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None  # the rows of the block that the next batch may go on with
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            rows = pa.concat_tables([held, rows]) if held is not None else rows
-            keys = np.stack([rows.column(c).to_numpy().astype(np.int64) for c in block])
-            cuts = np.flatnonzero((keys[:, 1:] != keys[:, :-1]).any(axis=0)) + 1
-            for start, end in zip([0, *cuts[:-1]], cuts):
+        for rows, cuts in _whole_blocks(batches):
+            for start, end in zip(cuts[:-1], cuts[1:]):
                 yield emit(rows.slice(start, end - start))
-            held = rows.slice(cuts[-1]) if len(cuts) else rows
-        if held is not None and held.num_rows:
-            yield emit(held)
 
-    dealt = crowds.join(wide.withColumnRenamed("what", "wide"), "node").repartition(*block).sortWithinPartitions(*block)
-    return dealt.select(*block, "node", "n", "root", "part", "values", "wide").mapInArrow(run, "a long, b long, sure boolean")
+    dealt = crowds.join(wide.withColumnRenamed("what", "wide"), "node").repartition(*_BLOCK).sortWithinPartitions(*_BLOCK)
+    return dealt.select(*_BLOCK, "node", "n", "root", "part", "values", "wide").mapInArrow(run, "a long, b long, sure boolean")
 
 
 def link(docs: DataFrame, width: int = 5, percent: int = 80, k: int = K, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:
@@ -346,7 +449,7 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80, k: int = K, key: st
     table gives no rows; other columns are not used.
     """
     rows = settle(sketches(docs, width, k, key, text), "near-sketches")
-    grouped = rows.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("key").alias("first"), F.first("sketch").alias("sketch"))
+    grouped = rows.filter("n > 0").groupBy("s1", "s2", "n").agg(F.min("key").alias("first"), F.first("sketch").alias("sketch"), F.first("prints").alias("prints"))
     classes = settle(grouped.withColumn("node", F.monotonically_increasing_id()), "near-classes")
     postings = settle(_postings(classes, k, percent), "near-postings")
     lists = postings.groupBy("value").agg(F.count("*").alias("members"), F.min(F.struct(F.xxhash64("node", "value").alias("draw"), "node", "n")).alias("head")).filter("members > 1")
@@ -359,8 +462,10 @@ def link(docs: DataFrame, width: int = 5, percent: int = 80, k: int = K, key: st
     own = roots.select(F.col("node").alias("b"), "root")
     members = shared.join(own, "b", "left").select("value", F.col("b").alias("node"), F.col("nb").alias("n"), F.coalesce("root", "b").alias("root"))
     crowds = settle(_crowds(settle(members, "near-members"), block), "near-crowds")
-    if not crowds.isEmpty():
-        wide = _pick(crowds.select("node").distinct(), classes, docs, width, text, WIDE)
+    chosen = settle(_candidates(crowds, classes, k, percent), "near-candidates")
+    if not chosen.isEmpty():
+        crowds = crowds.join(chosen, [*_BLOCK, "node"])
+        wide = _pick(chosen.select("node").distinct(), classes, docs, width, text, WIDE)
         found = settle(_crowd_links(crowds, wide, percent), "near-crowd-links")
         stars = roots.select(F.col("root").alias("a"), F.col("node").alias("b"))
         roots = components(stars.unionByName(found.filter("sure").select("a", "b")), "near-components")
