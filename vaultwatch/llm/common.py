@@ -25,6 +25,20 @@ def settle(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession, limit: int = 4 << 20) -> None:
+    """Lower the session's bound on the bytes of a batch that goes to a Python worker, where it is above ``limit``.
+
+    A batch is in memory several times, in the JVM and in each worker, whatever pieces the operators take it in.
+    """
+    size = spark.conf.get(_BATCH_BYTES).lower().rstrip("b")
+    units = {"k": 1 << 10, "m": 1 << 20, "g": 1 << 30}
+    if int(size.rstrip("kmg")) * units.get(size[-1:], 1) > limit or int(size.rstrip("kmg")) <= 0:
+        spark.conf.set(_BATCH_BYTES, limit)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -80,7 +94,7 @@ LOWER[ord("A") : ord("Z") + 1] += 32
 
 
 _POWERS: dict[str, np.ndarray] = {}
-_POWERS_KEPT = 1 << 22
+_POWERS_KEPT = (1 << 21) + (1 << 16)
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
