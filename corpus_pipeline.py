@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vaultwatch.llm import bpe, decontaminate, minhash_dedup, quality, substring_dedup
-from vaultwatch.llm.common import settle, table
+from vaultwatch.llm.common import settle, small_batches, table
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 RANKS = "byte_bpe_multi_50k.tiktoken"
@@ -28,28 +28,33 @@ def _without(docs: DataFrame, ids: DataFrame) -> DataFrame:
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier takes for good ones; all of them where there is nothing to learn from."""
+    small_batches(spark)
     return quality.accept(docs, quality.learn(docs, table(spark, sf_dir, "labels")))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near copies, that of the smallest doc_id; five words, similarity 0.8."""
+    small_batches(spark)
     found = minhash_dedup.link(docs).groupBy("doc_id").agg(F.max("kept").alias("kept"))
     return _without(docs, found.filter("NOT kept").select("doc_id"))
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The texts without passages that stand elsewhere too; a text of nothing else becomes empty and stays."""
+    small_batches(spark)
     cleaned = substring_dedup.clean(docs, n_words=PASSAGE_WORDS)
     return cleaned.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), "n_chars")).select(*docs.columns)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a passage of the benchmark."""
+    small_batches(spark)
     return _without(docs, decontaminate.find(docs, table(spark, sf_dir, "benchmark")).select("doc_id"))
 
 
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and the SHA-256 of what they decode to."""
+    small_batches(spark)
     coded = bpe.encode(docs, public_tokenizers.path(RANKS), public_tokenizers.PATTERN)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
