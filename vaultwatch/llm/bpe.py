@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
-from vaultwatch.llm.common import pieces
+from vaultwatch.llm.common import lean, pieces
 
 NONE = np.int32(2**31 - 1)
 # Rows longer than this go through a heap of pairs, whose time does not grow with the square of the length.
@@ -232,7 +232,7 @@ def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
 
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
     kind = dict(rows.dtypes)["key"]
-    return rows.mapInArrow(run, f"key {kind}, ids array<int>, decoded binary").withColumnRenamed("key", key)
+    return rows.mapInArrow(lean(run), f"key {kind}, ids array<int>, decoded binary").withColumnRenamed("key", key)
 
 
 def digests(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -252,4 +252,4 @@ def digests(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text:
 
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
     kind = dict(rows.dtypes)["key"]
-    return rows.mapInArrow(run, f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("key", key)
+    return rows.mapInArrow(lean(run), f"key {kind}, n_tokens long, ids_sha256 string, decoded_sha256 string").withColumnRenamed("key", key)

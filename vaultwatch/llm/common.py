@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,13 +48,33 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+Batches = Iterator[pa.RecordBatch]
+
+
+def lean(run: Callable[[Batches], Batches]) -> Callable[[Batches], Batches]:
+    """The function of a task that gives freed memory back at its end: a worker goes on with tasks of other kinds, and
+    what its allocators keep would add up beside them."""
+
+    def task(batches: Batches) -> Batches:
+        try:
+            yield from run(batches)
+        finally:
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library than glibc
+                pass
+
+    return task
+
+
 def batches_of(batch: pa.RecordBatch, rows: int) -> Iterator[pa.RecordBatch]:
     """The batch in pieces of at most ``rows`` rows, so that a task holds few texts at once."""
     for start in range(0, batch.num_rows, rows):
         yield batch.slice(start, rows)
 
 
-def pieces(batch: pa.RecordBatch, column: str, limit: int = 2 << 20) -> Iterator[pa.RecordBatch]:
+def pieces(batch: pa.RecordBatch, column: str, limit: int = 1 << 19) -> Iterator[pa.RecordBatch]:
     """The batch in runs of rows whose texts have about ``limit`` bytes; one longer text is a run of its own."""
     sizes = np.nan_to_num(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False).astype(float))
     run = (np.cumsum(sizes) // limit).astype(np.int64)

@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultwatch.llm.common import ALNUM, U64, mix, pieces, settle, text_bytes, words
+from vaultwatch.llm.common import ALNUM, U64, lean, mix, pieces, settle, text_bytes, words
 
 K1, B = 1.2, 0.75
 BLOCK = 4
@@ -203,7 +203,7 @@ def indexes(items: DataFrame, key: str = "item_id", text: str = "text") -> Itera
             distinct = np.unique(np.stack([owner.astype(U64), h]), axis=1)[1] if len(h) else h
             yield pa.record_batch({"term": pa.array(distinct.view(np.int64)), "words": pa.array([len(h), *[0] * (len(distinct) - 1)] if len(distinct) else [], pa.int64())})
 
-    counted = settle(rows.mapInArrow(count, "term long, words long").groupBy("term").agg(F.count("*").alias("n"), F.sum("words").alias("words")), "item-terms") if groups else None
+    counted = settle(rows.mapInArrow(lean(count), "term long, words long").groupBy("term").agg(F.count("*").alias("n"), F.sum("words").alias("words")), "item-terms") if groups else None
     number = rows.count()
     mean = (counted.agg(F.sum("words")).first()[0] or 0) / max(1, number) if groups else 0
     for group in range(groups):
@@ -239,7 +239,7 @@ def find(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "te
                         text_, item, *shares = zip(*hits)
                         yield pa.record_batch([part.column("key").take(pa.array(text_)), pa.array([index.items[i] for i in item]), *map(pa.array, shares)], names=["key", "item_id", "score", "question_overlap", "answer_overlap"])
 
-        leaks = rows.mapInArrow(run, schema)
+        leaks = rows.mapInArrow(lean(run), schema)
         found = leaks if found is None else found.unionByName(leaks)
     if found is None:
         found = docs.sparkSession.createDataFrame([], schema)

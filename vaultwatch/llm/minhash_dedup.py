@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultwatch.llm.common import LOWER, U64, binary_column, bit_filter, components, may_hold, mix, pieces, settle, shingle_sets, signed, text_bytes
+from vaultwatch.llm.common import LOWER, U64, binary_column, bit_filter, components, lean, may_hold, mix, pieces, settle, shingle_sets, signed, text_bytes
 
 K = 64
 WIDE = 512  # values of a wide sketch: sets of so many shingles are whole in it
@@ -75,7 +75,7 @@ def sketches(docs: DataFrame, width: int, k: int, key: str, text: str) -> DataFr
                 yield pa.record_batch([part.column("key"), pa.array([len(s) for s in sets], pa.int64()), *sums, binary_column([s[:k] for s in sets]), binary_column([prints(s[:k]) for s in sets])], names=["key", "n", "s1", "s2", "sketch", "prints"])
 
     rows = docs.select(docs[key].alias("key"), docs[text].alias("text"))
-    return rows.mapInArrow(run, f"key {dict(rows.dtypes)['key']}, n long, s1 long, s2 long, sketch binary, prints binary")
+    return rows.mapInArrow(lean(run), f"key {dict(rows.dtypes)['key']}, n long, s1 long, s2 long, sketch binary, prints binary")
 
 
 def _values(column: pa.Array) -> list[np.ndarray]:
@@ -93,7 +93,7 @@ def _counts(classes: DataFrame) -> np.ndarray:
         cells = np.flatnonzero(total)
         yield pa.record_batch({"cell": pa.array(cells, pa.int64()), "n": pa.array(total[cells])})
 
-    found = classes.select("sketch").mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    found = classes.select("sketch").mapInArrow(lean(run), "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
     table = np.zeros(1 << COUNT_BITS, np.int32)
     table[found["cell"].to_numpy()] = np.minimum(found["n"].to_numpy(), 2**31 - 1)
     return table
@@ -112,7 +112,7 @@ def _postings(classes: DataFrame, k: int, percent: int) -> DataFrame:
             times = [len(c) for c in chosen]
             yield pa.record_batch({"value": signed(np.concatenate(chosen)), "node": pa.array(np.repeat(batch.column("node").to_numpy(), times)), "n": pa.array(np.repeat(batch.column("n").to_numpy(), times))})
 
-    return classes.select("node", "n", "sketch").mapInArrow(run, "value long, node long, n long")
+    return classes.select("node", "n", "sketch").mapInArrow(lean(run), "value long, node long, n long")
 
 
 def _padded(values: list[np.ndarray], k: int) -> np.ndarray:
@@ -168,7 +168,7 @@ def _best(pairs: DataFrame, classes: DataFrame, k: int, percent: int) -> DataFra
     side = classes.select("node", "n", "prints")
     # The merge leaves the rows of a b side by side, so that a batch gives about one row for each.
     joined = pairs.join(side.toDF("a", "na", "pa"), "a").join(side.toDF("b", "nb", "pb").hint("merge"), "b")
-    found = joined.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(run, "a long, b long, like double")
+    found = joined.select("a", "b", "na", "nb", "pa", "pb").mapInArrow(lean(run), "a long, b long, like double")
     return found.groupBy("b").agg(F.max_by("a", "like").alias("a")).select("a", "b")
 
 
@@ -188,7 +188,7 @@ def _pick(nodes: DataFrame, classes: DataFrame, docs: DataFrame, width: int, tex
                 yield pa.record_batch([c.filter(maybe) for c in columns], names=["what", "n", "s1", "s2"])
 
     kind = "string" if wide is None else "binary"
-    found = docs.select(docs[text].alias("text")).mapInArrow(pick, f"what {kind}, n long, s1 long, s2 long")
+    found = docs.select(docs[text].alias("text")).mapInArrow(lean(pick), f"what {kind}, n long, s1 long, s2 long")
     return settle(found.join(chosen.drop("h"), ["n", "s1", "s2"]).groupBy("node").agg(F.first("what").alias("what")), "near-texts")
 
 
@@ -227,7 +227,7 @@ def _verified(pairs: DataFrame, classes: DataFrame, docs: DataFrame, width: int,
     wanted = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
     texts = _pick(wanted, classes, docs, width, text, None)
     joined = pairs.join(texts.toDF("a", "ta"), "a").join(texts.toDF("b", "tb"), "b")
-    return joined.select("a", "b", "ta", "tb").mapInArrow(compare, "a long, b long")
+    return joined.select("a", "b", "ta", "tb").mapInArrow(lean(compare), "a long, b long")
 
 
 def _near(percent: int):
@@ -418,7 +418,7 @@ def _candidates(crowds: DataFrame, classes: DataFrame, k: int, percent: int) ->
             yield pa.RecordBatch.from_arrays([rows.column(c).combine_chunks().take(chosen) for c in [*_BLOCK, "node"]], names=[*_BLOCK, "node"])
 
     dealt = crowds.join(classes.select("node", "prints"), "node").repartition(*_BLOCK).sortWithinPartitions(*_BLOCK)
-    return dealt.select(*_BLOCK, "node", "n", "root", "part", "values", "prints").mapInArrow(run, "crowd long, i int, j int, node long")
+    return dealt.select(*_BLOCK, "node", "n", "root", "part", "values", "prints").mapInArrow(lean(run), "crowd long, i int, j int, node long")
 
 
 def _crowd_links(crowds: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
@@ -437,7 +437,7 @@ def _crowd_links(crowds: DataFrame, wide: DataFrame, percent: int) -> DataFrame:
                 yield emit(rows.slice(start, end - start))
 
     dealt = crowds.join(wide.withColumnRenamed("what", "wide"), "node").repartition(*_BLOCK).sortWithinPartitions(*_BLOCK)
-    return dealt.select(*_BLOCK, "node", "n", "root", "part", "values", "wide").mapInArrow(run, "a long, b long, sure boolean")
+    return dealt.select(*_BLOCK, "node", "n", "root", "part", "values", "wide").mapInArrow(lean(run), "a long, b long, sure boolean")
 
 
 def link(docs: DataFrame, width: int = 5, percent: int = 80, k: int = K, key: str = "doc_id", text: str = "text", block: int = BLOCK) -> DataFrame:

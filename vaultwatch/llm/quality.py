@@ -17,7 +17,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultwatch.llm.common import ALNUM, U64, pieces, settle, text_bytes, words
+from vaultwatch.llm.common import ALNUM, U64, lean, pieces, settle, text_bytes, words
 
 # Bounds of what the classifiers are fitted on; all else covers every document.
 LABELLED, POOL = 8_000, 4_000
@@ -201,7 +201,7 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
 
     # The driver gets numbers, no texts: some kilobytes for each document of the sample.
     kind = dict(rows.dtypes)["doc_id"]
-    told = rows.mapInArrow(run, f"doc_id {kind}, good int, cells array<int>, statistics array<double>, names array<int>").toArrow().combine_chunks()
+    told = rows.mapInArrow(lean(run), f"doc_id {kind}, good int, cells array<int>, statistics array<double>, names array<int>").toArrow().combine_chunks()
     if not told.num_rows:
         return None
     told = told.take(pc.sort_indices(told, sort_keys=[("doc_id", "ascending")])).combine_chunks()
@@ -229,7 +229,7 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                 yield pa.record_batch([*(rows.column(c) for c in names), *map(pa.array, found), pa.array(found[2] >= THRESHOLD)], names=[*names, *added])
 
     schema = ", ".join(f"`{name}` {kind}" for name, kind in docs.select(*names).dtypes)
-    return docs.select(*names).mapInArrow(run, f"{schema}, content double, metadata double, score double, kept boolean")
+    return docs.select(*names).mapInArrow(lean(run), f"{schema}, content double, metadata double, score double, kept boolean")
 
 
 def accept(docs: DataFrame, model: Model | None) -> DataFrame:
@@ -240,4 +240,4 @@ def accept(docs: DataFrame, model: Model | None) -> DataFrame:
             for rows in pieces(batch, "text"):
                 yield rows.filter(pa.array(model.score(rows)[2] >= THRESHOLD))
 
-    return docs.mapInArrow(run, docs.schema) if model else docs
+    return docs.mapInArrow(lean(run), docs.schema) if model else docs

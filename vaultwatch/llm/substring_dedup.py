@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vaultwatch.llm.common import U64, hash_spans, hash_table, mix, pieces, settle, text_bytes, word_spans
+from vaultwatch.llm.common import U64, hash_spans, hash_table, lean, mix, pieces, settle, text_bytes, word_spans
 
 LENGTH = 400
 GRAM = 128
@@ -98,7 +98,7 @@ def _scan(docs: DataFrame, length: int, gram: int) -> DataFrame:
                 yield pa.record_batch([part.column("key"), pa.array(digests, pa.binary()), pa.array(np.diff(at)), pa.array(shas, pa.string()), *lists], names=["key", "digest", "n_bytes", "sha", "mark", "segment", "begin", "stop", "spot", "left", "right"])
 
     kind = dict(docs.dtypes)["key"]
-    return docs.mapInArrow(run, f"key {kind}, digest binary, n_bytes long, sha string, mark array<long>, segment array<long>, begin array<long>, stop array<long>, spot array<long>, left array<long>, right array<long>")
+    return docs.mapInArrow(lean(run), f"key {kind}, digest binary, n_bytes long, sha string, mark array<long>, segment array<long>, begin array<long>, stop array<long>, spot array<long>, left array<long>, right array<long>")
 
 
 def _filter_of(keys: DataFrame) -> np.ndarray:
@@ -113,7 +113,7 @@ def _filter_of(keys: DataFrame) -> np.ndarray:
         used = np.flatnonzero(bits)
         yield pa.record_batch({"at": pa.array(used), "bits": pa.array(bits[used].astype(np.int32))})
 
-    found = keys.select("digest").mapInArrow(run, "at long, bits int").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+    found = keys.select("digest").mapInArrow(lean(run), "at long, bits int").groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
     table = np.zeros(1 << FILTER_BITS >> 3, np.uint8)
     table[found["at"].to_numpy()] = found["bits"].to_numpy()
     return table
@@ -137,7 +137,7 @@ def _texts(docs: DataFrame, keys: DataFrame) -> DataFrame:
                 if rows:
                     yield pa.record_batch([pa.array(c, pa.binary()) for c in zip(*rows)], names=["digest", "text"])
 
-    return docs.select("text").mapInArrow(run, "digest binary, text binary")
+    return docs.select("text").mapInArrow(lean(run), "digest binary, text binary")
 
 
 def suffix_array(raw: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, np.ndarray, list[int]]:
@@ -439,7 +439,7 @@ def removed(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, key: str =
                 out.append((digest, sum(b - a for a, b in runs), len(runs), hashlib.sha256(kept_bytes(whole, runs)).hexdigest()))
             yield pa.record_batch([pa.array(c, k) for c, k in zip(zip(*out) if out else [[]] * 4, (pa.binary(), pa.int64(), pa.int64(), pa.string()))], names=["digest", "cut", "runs", "left"])
 
-    partly = _texts(rows, spans).join(spans, "digest").mapInArrow(run, "digest binary, cut long, runs long, left string")
+    partly = _texts(rows, spans).join(spans, "digest").mapInArrow(lean(run), "digest binary, cut long, runs long, left string")
     whole = copies.select("digest", F.lit(None).cast("long").alias("cut"), F.lit(1).cast("long").alias("runs"), F.lit(_EMPTY_SHA).alias("left"))
     found = scanned.select("key", "digest", "n_bytes", "sha").join(whole.unionByName(partly), "digest", "left")
     touched = F.col("runs").isNotNull()
@@ -469,7 +469,7 @@ def _in_words(docs: DataFrame) -> DataFrame:
             for part in pieces(batch, "text"):
                 yield pa.record_batch([part.column("key"), pa.array(_worded(part.column("text")), pa.binary())], names=["key", "text"])
 
-    return docs.mapInArrow(run, f"key {dict(docs.dtypes)['key']}, text binary")
+    return docs.mapInArrow(lean(run), f"key {dict(docs.dtypes)['key']}, text binary")
 
 
 def _repeats(rows: DataFrame, length: int, gram: int) -> DataFrame:
@@ -539,10 +539,10 @@ def clean(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, text: str = "
                 out.append(whole)
             yield pa.record_batch([pa.array(out, batch.column(c).type) if c == text else batch.column(c) for c in names], names=names)
 
-    tagged = docs.mapInArrow(tag, f"{schema}, {', '.join(f'{c} binary' for c in added)}, _maybe boolean")
+    tagged = docs.mapInArrow(lean(tag), f"{schema}, {', '.join(f'{c} binary' for c in added)}, _maybe boolean")
     touched = tagged.filter("_maybe")
     for kind, spans in found.items():
         hits = spans.select(F.col("digest").alias(f"{kind}_digest"), F.col("spans").alias(f"{kind}_spans"), F.lit(True).alias(f"{kind}_hit"))
         touched = touched.join(hits, f"{kind}_digest", "left")
-    touched = touched.select(*names, *(f"{kind}_{c}" for kind in found for c in ("spans", "hit"))).mapInArrow(cut, schema)
+    touched = touched.select(*names, *(f"{kind}_{c}" for kind in found for c in ("spans", "hit"))).mapInArrow(lean(cut), schema)
     return tagged.filter("NOT _maybe").select(*names).unionByName(touched)
