@@ -30,6 +30,7 @@ TRAILER = struct.Struct("<QQQQQQQ8s")
 SAMPLE = 256  # every so many one bits, the byte where the count goes on
 # Distinct chunks that a worker remembers; more are encoded again, with the same ids.
 REMEMBERED = 1_500_000
+PIECE = 2 << 20  # bytes of text encoded at once: each distinct chunk of them once
 
 
 @dataclass
@@ -272,7 +273,7 @@ def write(docs: DataFrame, folder: str, path: str, end_id: int, key: str = "doc_
         name, tool = attempt_name(part, ".ids"), word_encoder(path, end_id)
         writer = None
         for batch in batches:
-            for piece in pieces(batch, "text"):
+            for piece in pieces(batch, "text", PIECE):
                 writer = writer or Writer(files.open_output_stream(f"{home}/{name}", compression=None), tool.width)
                 keys.append(piece.column("key"))
                 writer.add(*tool.encode(piece.column("text")))
