@@ -32,11 +32,42 @@ def test_same_ids_as_the_library(library):
         assert tool.vocabulary.decode(ids) == (text or "").encode()
 
 
-def test_matrix_and_heap_agree():
+def test_narrow_and_wide_matrices_agree():
     tool = bpe.encoder(PATH, P.PATTERN).vocabulary
     rnd = random.Random(8)
     rows = ["".join(rnd.choice("etaoin shrdlu") for _ in range(rnd.randrange(1, 60))).encode() for _ in range(300)]
-    assert [a.tolist() for a in tool._matrix(rows)] == [tool._long(r).tolist() for r in rows]
+    assert [a.tolist() for a in tool._matrix(rows)] == [a.tolist() for a in tool._wide(rows)]
+
+
+def test_long_pieces(library):
+    rnd = random.Random(9)
+    alphabets = ["a", "ab", "the", "etaoinshrdlu", "日本語中文字", "=-*/", "éèüß", "aA", "\U0001f600\U0001f601"]
+    texts = ["".join(rnd.choice(letters) for _ in range(rnd.choice([65, 90, 300, 2000]))) for letters in alphabets for _ in range(12)]
+    texts += [" " * 5000 + "x", "the" * 40_000, "".join(rnd.choice("etaoinshrdlu") for _ in range(100_000))]
+    tool = bpe.Encoder(bpe.Vocabulary.read(PATH, P.PATTERN))
+    for text, ids in zip(texts, tool.encode(texts)):
+        assert ids.tolist() == library.encode_ordinary(text)
+
+
+def test_merges_that_bring_about_a_lower_rank():
+    """A vocabulary whose ranks do not rise with the merges, against merging the leftmost lowest pair step by step."""
+    rnd = random.Random(10)
+    tokens = {bytes([b]): b for b in range(256)}
+    made = {bytes(rnd.choice(b"abc") for _ in range(rnd.randrange(2, 6))) for _ in range(120)}
+    tokens |= dict(zip(sorted(made, key=lambda t: rnd.random()), range(256, 1000)))
+    tool = bpe.Vocabulary(tokens, r"\S+")
+
+    def brute(piece):
+        parts = [bytes([b]) for b in piece]
+        while True:
+            found = [(tokens[a + b], i) for i, (a, b) in enumerate(zip(parts, parts[1:])) if a + b in tokens]
+            if not found:
+                return [tokens[p] for p in parts]
+            i = min(found)[1]
+            parts[i : i + 2] = [parts[i] + parts[i + 1]]
+
+    rows = [bytes(rnd.choice(b"abc") for _ in range(rnd.randrange(1, 120))) for _ in range(400)]
+    assert [a.tolist() for a in tool._wide(rows)] == [brute(r) for r in rows]
 
 
 def test_forgetting_changes_nothing(library, monkeypatch):

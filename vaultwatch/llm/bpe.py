@@ -8,7 +8,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import heapq
 import os
 from collections.abc import Iterator
 
@@ -20,9 +19,11 @@ from pyspark.sql import DataFrame
 from vaultwatch.llm.common import lean, pieces
 
 NONE = np.int32(2**31 - 1)
-# Rows longer than this go through a heap of pairs, whose time does not grow with the square of the length.
+# Rows up to this length merge one pair a round; in longer ones a round takes all places of the lowest rank, so that
+# time does not grow with the square of the length.
 MATRIX_WIDTH = 64
 ROWS = 1 << 15
+CELLS = 1 << 18  # of a matrix of longer rows; one row may have more
 # Distinct pieces that a worker remembers; more are encoded again, with the same ids.
 REMEMBERED = 400_000
 
@@ -78,7 +79,6 @@ class Vocabulary:
                 a, b = ranks.get(token[:cut]), ranks.get(token[cut:])
                 if a is not None and b is not None:
                     pairs[a, b] = rank
-        self.pairs = pairs
         self.table = PairTable(pairs)
         top = max(ranks.values()) + 1
         tokens = [b""] * top
@@ -127,25 +127,54 @@ class Vocabulary:
             ranks[n, at] = self.table.find(ids[n, at], ids[n, at + 1])
         return done
 
-    def _long(self, piece: bytes) -> np.ndarray:
-        """One long row: the same merges, the next pair taken from a heap by (rank, place)."""
-        ids = self.byte_ids[np.frombuffer(piece, np.uint8)].tolist()
-        after, before = [*range(1, len(ids)), -1], [*range(-1, len(ids) - 1)]
-        heap = [(self.pairs[p], i, *p) for i, p in enumerate(zip(ids, ids[1:])) if p in self.pairs]
-        heapq.heapify(heap)
-        while heap:
-            rank, i, a, b = heapq.heappop(heap)
-            j = after[i] if ids[i] >= 0 else -1
-            if j < 0 or ids[i] != a or ids[j] != b:
-                continue
-            ids[i], ids[j], after[i] = rank, -1, after[j]
-            if after[j] >= 0:
-                before[after[j]] = i
-            for left in (before[i], i):
-                right = after[left] if left >= 0 else -1
-                if right >= 0 and (ids[left], ids[right]) in self.pairs:
-                    heapq.heappush(heap, (self.pairs[ids[left], ids[right]], left, ids[left], ids[right]))
-        return np.array([i for i in ids if i >= 0], np.int32)
+    def _wide(self, rows: list[bytes]) -> list[np.ndarray]:
+        """Long rows of similar length, padded with -1 on both sides. A round takes of every row all places of its
+        lowest rank from the left, up to the first that brings about a lower one: so many merges one after the other.
+        There are no more rounds than ranks and places of the latter kind, however long a row is."""
+        sizes = np.array([len(r) for r in rows])
+        columns = np.arange(int(sizes.max()) + 3)[None, :]
+        ids = np.full((len(rows), columns.size), -1, np.int32)
+        ids[(columns > 0) & (columns <= sizes[:, None])] = self.byte_ids[np.frombuffer(b"".join(rows), np.uint8)]
+        ranks = np.full(ids.shape, NONE, np.int32)
+        ranks[:, :-1] = self.table.find(ids[:, :-1].ravel(), ids[:, 1:].ravel()).reshape(len(rows), -1)
+        done: list[np.ndarray] = [None] * len(rows)
+        live = np.arange(len(rows))
+        while True:
+            lowest = ranks.min(axis=1)
+            over = lowest == NONE
+            for i in np.flatnonzero(over):
+                done[live[i]] = ids[i, 1 : sizes[i] + 1].copy()
+            if over.all():
+                return done
+            if over.any():
+                live, ids, ranks, sizes, lowest = live[~over], ids[~over], ranks[~over], sizes[~over], lowest[~over]
+            flat = ids.reshape(-1)
+            at = np.flatnonzero(ranks == lowest[:, None])
+            # Of places side by side, which overlap, every other one merges; padding parts the rows.
+            n = np.arange(len(at))
+            at = at[(n - np.maximum.accumulate(np.where(np.diff(at, prepend=-2) != 1, n, 0))) % 2 == 0]
+            row = at // ids.shape[1]
+            made = lowest[row]
+            before = np.where(np.diff(at, prepend=-2) == 2, made, flat[at - 1])
+            lower = np.minimum(self.table.find(before, made), self.table.find(made, flat[at + 2])) < made
+            earlier = np.cumsum(lower) - lower
+            take = earlier == earlier[np.searchsorted(row, row)]
+            at, row, made = at[take], row[take], made[take]
+            flat[at] = made
+            changed = np.zeros(flat.size, bool)
+            changed[at] = True
+            flat[at + 1] = -1  # the right one of each pair goes; what follows moves up
+            sizes = sizes - np.bincount(row, minlength=len(sizes))
+            stay = ids >= 0
+            owner, column = np.nonzero(stay)
+            place = np.cumsum(stay, axis=1)[owner, column]
+            shape = (len(live), int(sizes.max()) + 3)
+            moved, new_ids, new_ranks = owner * shape[1] + place, np.full(shape, -1, np.int32), np.full(shape, NONE, np.int32)
+            new_ids.reshape(-1)[moved], new_ranks.reshape(-1)[moved] = ids[stay], ranks[stay]
+            ids, ranks, flat = new_ids, new_ranks, new_ids.reshape(-1)
+            fresh = moved[changed.reshape(stay.shape)[stay]]
+            fresh = np.union1d(fresh, fresh - 1)
+            ranks.reshape(-1)[fresh] = self.table.find(flat[fresh], flat[fresh + 1])
 
     def encode_pieces(self, rows: list[bytes]) -> list[np.ndarray]:
         """The ids of each piece. A piece that is a token is that token; others go by buckets of like length."""
@@ -156,15 +185,16 @@ class Vocabulary:
             if rank is not None:
                 done[i] = np.array([rank], np.int32)
             elif len(row) > MATRIX_WIDTH:
-                done[i] = self._long(row)
+                buckets.setdefault(-len(row).bit_length(), []).append(i)
             elif row:
                 buckets.setdefault(-(-len(row) // 4), []).append(i)
             else:
                 done[i] = np.empty(0, np.int32)
-        for members in buckets.values():
-            for start in range(0, len(members), ROWS):
-                chosen = members[start : start + ROWS]
-                for i, ids in zip(chosen, self._matrix([rows[i] for i in chosen])):
+        for bucket, members in buckets.items():
+            merge, height = (self._matrix, ROWS) if bucket > 0 else (self._wide, max(1, CELLS >> -bucket))
+            for start in range(0, len(members), height):
+                chosen = members[start : start + height]
+                for i, ids in zip(chosen, merge([rows[i] for i in chosen])):
                     done[i] = ids
         return done
 
@@ -211,7 +241,8 @@ def encoder(path: str, pattern: str) -> Encoder:
 def encode(docs: DataFrame, path: str, pattern: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Per row its key, ``ids`` (array of int) and ``decoded`` (binary: the ids turned back to bytes).
 
-    Null and empty texts have no ids. Keys are carried along as they are, repeated and null ones too; other
+    Null and empty texts have no ids. Very long texts, and pieces of any length, are encoded whole; repeated rows give
+    the same ids, an empty table no rows. Keys are carried along as they are, repeated and null ones too; other
     columns are left out. ``path`` is a tiktoken file that every executor has at that place.
     """
 
