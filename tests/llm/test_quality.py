@@ -1,5 +1,7 @@
 """The co-trained classifier: held-out accuracy, and defined results at the edges."""
 
+import bisect
+import math
 import random
 
 import pytest
@@ -63,6 +65,67 @@ def test_without_labels(spark):
     assert quality.learn(docs.limit(0), one) is None
 
 
+def plain_surest(rows, model, given, share, count):
+    """Every document scored by itself, and a sorted list for each view and label."""
+    bound, out = math.log(quality.CERTAIN / (1 - quality.CERTAIN)), []
+    for view in range(2):
+        sure = {}
+        for r in rows:
+            if view == 0:
+                raw = sum(model.content[c] for c in r.cells) + model.content[-1]
+            else:
+                bins = [i * (quality.BINS + 1) + bisect.bisect_right(e.tolist(), x) for i, (e, x) in enumerate(zip(model.edges, r.statistics))]
+                raw = sum(model.metadata[c] for c in bins) + model.metadata[-1]
+                raw += sum(model.metadata[len(model.edges) * (quality.BINS + 1) + c] for c in r.names)
+            sure[r.key] = raw * model.scales[view][0] + model.scales[view][1]
+        sides = []
+        for sign, n in ((1, round(count * share)), (-1, count - round(count * share))):
+            told = sorted((-min(30, sign * x), k) for k, x in sure.items() if sign * x >= bound and k not in given[view])
+            sides.append([k for _, k in told[:n]])
+        out.append(sides)
+    return out
+
+
+@pytest.mark.parametrize("count", [7, 60, 5000])
+def test_exchange_covers_all_documents(spark, model, count):
+    docs = made(300, seed=4)[0]
+    table = spark.createDataFrame(docs + [(1000 + i, *d[1:]) for i, d in enumerate(docs[:40] * 5)], SCHEMA).repartition(5)
+    features = quality._features(table)
+    rows = features.collect()
+    given = [set(), {r.key for r in rows[:50]}]
+    want = plain_surest(rows, model, given, 0.6, count)
+    for (keys, label, told), (good, bad) in zip(quality.surest(features, model, given, 0.6, count), want):
+        assert len(told) == len(keys) == len(label) and label.tolist() == [1.0] * len(good) + [0.0] * len(bad)
+        assert set(keys[: len(good)]) == set(good) and set(keys[len(good) :]) == set(bad)
+        cells = {r.key: sorted(r.cells) for r in rows}
+        assert all(sorted(told.cell[told.owner == i].tolist()) == cells[k] for i, k in enumerate(keys))
+    assert sum(len(side) for sides in want for side in sides) >= 10
+
+
+def test_labels_beyond_the_sample_are_unlabelled_documents(spark, monkeypatch):
+    monkeypatch.setattr(quality, "LABELLED", 150)
+    told = []
+    monkeypatch.setattr(quality, "surest", lambda *a, find=quality.surest: told.append(find(*a)) or told[-1])
+    docs, labels = made(1200, seed=5)
+    model = quality.learn(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id long, quality int, toxic int"))
+    assert len(told) == quality.ROUNDS and sum(len(keys) for turn in told for keys, _, _ in turn) > 300
+    unseen, truth = made(400, seed=6)
+    got = quality.score(spark.createDataFrame(unseen, SCHEMA), model).collect()
+    assert sum(r.kept == bool(truth[r.doc_id][1] and not truth[r.doc_id][2]) for r in got) / len(got) > 0.9
+
+
+def test_repeated_ids_and_other_dealing_change_nothing(spark):
+    docs, labels = made(400, seed=7)
+    docs += [(i, f"another text {i} of the same id | " * 9, "en", "src0", None, None) for i in range(0, 400, 3)]
+    docs += [(None, "no id " * 20, None, None, None, None), (5, "long " * 600_000, "en", "src1", 3_000_000, None)]
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    found = []
+    for parts in (1, 7):
+        model = quality.learn(spark.createDataFrame(docs, SCHEMA).repartition(parts), table.repartition(parts))
+        found.append(sorted((str(r.doc_id), r.text, r.score) for r in quality.score(spark.createDataFrame(docs, SCHEMA), model).collect()))
+    assert found[0] == found[1]
+
+
 def test_held_out_labels_of_the_tables(spark):
     docs, labels = (spark.read.parquet(f"{SF1}/{t}.parquet") for t in ("documents", "labels"))
     model = quality.learn(docs, labels.filter("doc_id % 4 <> 0"))
