@@ -94,6 +94,20 @@ def queries() -> dict[str, Query]:
     }
 
 
+# All pairs of a label, and the smallest vec_id that links reach.
+_OP3_SQL = """
+    WITH RECURSIVE e AS (SELECT row_number() OVER () AS r, vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings),
+    g AS MATERIALIZED (SELECT * FROM e WHERE label IS NOT NULL AND len(v) > 0 AND len(list_filter(v, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+          AND len(list_filter(v, lambda x: x <> 0)) > 0),
+    links AS (SELECT a.r, b.r AS s FROM g a JOIN g b ON a.label = b.label AND len(a.v) = len(b.v) AND a.r <> b.r
+              WHERE CASE WHEN len(a.v) = len(b.v) THEN list_cosine_similarity(a.v, b.v) >= 0.93 END),
+    reached AS (SELECT r, vec_id AS c FROM e UNION SELECT links.r, reached.c FROM links JOIN reached ON reached.r = links.s),
+    component AS (SELECT r, min(c) AS c FROM reached GROUP BY r),
+    degree AS (SELECT r, count(*) AS n FROM links GROUP BY r)
+    SELECT vec_id, coalesce(n, 0) AS n_links, c AS component_id, vec_id IS NOT DISTINCT FROM c AS kept
+    FROM e JOIN component USING (r) LEFT JOIN degree USING (r)"""
+
+
 _OP5_SQL = """
     WITH payloads AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
     marked AS (SELECT *, max(page_id) OVER (PARTITION BY html) AS largest FROM payloads)
@@ -133,4 +147,4 @@ _OP13_SQL = f"""
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_warc": _OP5_SQL, "op11_digest_index": _OP11_SQL, "op13_norm_buckets": _OP13_SQL}
+    return {"op3_pivots": _OP3_SQL, "op5_warc": _OP5_SQL, "op11_digest_index": _OP11_SQL, "op13_norm_buckets": _OP13_SQL}
