@@ -182,15 +182,13 @@ def common_prefixes(raw: np.ndarray, order: np.ndarray, length: int, depths: lis
 
     The common prefix of a place and its forerunner is at least that of the place before, less one, if what
     follows that place's forerunner is in the order, before this place; as the symbols have several bytes, it is
-    what the order has been refined to of that. The walks of all segments go on side by side, by hashes of 64
-    bytes, then by eight bytes, then by one.
+    what the order has been refined to of that. Where the place's own forerunner is what follows, it is that prefix
+    less one, and only a prefix of all ``length`` bytes has a byte more to compare. The walks of all segments go on
+    side by side, by the hash of all that is left, by hashes of 64 bytes, then by eight bytes, then by one.
     """
     n = len(raw)
     sums, down = hash_table(raw)
-    padded = np.append(raw, np.zeros(8, np.uint8)).astype(U64)
-    eight = np.zeros(n, U64)
-    for i in range(8):
-        eight = eight << U64(8) | padded[i : i + n]
+    eight = np.ndarray((n,), ">u8", np.append(raw, np.zeros(8, np.uint8)), strides=(1,)).astype(U64)
     before, where = np.full(n, -1, np.int64), np.full(n + 1, -1, np.int64)
     before[order[1:]] = order[:-1]
     where[order] = np.arange(len(order))
@@ -198,25 +196,31 @@ def common_prefixes(raw: np.ndarray, order: np.ndarray, length: int, depths: lis
     places = np.sort(order)
     gap = np.diff(places) != 1
     at, stops = places[np.append(True, gap)], places[np.append(gap, True)] + 1
-    known = np.zeros(len(at), np.int64)
+    known, told = np.zeros(len(at), np.int64), np.zeros(len(at), bool)
     levels = np.array([0, *(d for d in depths if d < length)])
     while len(at):
         other = before[at]
-        known = np.where(other >= 0, known, 0)
-        open_ = np.flatnonzero((other >= 0) & (known + 64 <= length))
+        known[other < 0] = 0
+        open_ = np.flatnonzero((other >= 0) & ~told)
+        x, y = at[open_], other[open_]
+        a, b = x + known[open_], y + known[open_]
+        alike = (sums[x + length] - sums[a]) * down[a] == (sums[y + length] - sums[b]) * down[b]
+        known[open_[alike]] = length
+        apart_ = open_[~alike]
+        open_ = apart_[known[apart_] + 64 <= length]
         while len(open_):
             x, y = at[open_] + known[open_], other[open_] + known[open_]
             open_ = open_[(sums[x + 64] - sums[x]) * down[x] == (sums[y + 64] - sums[y]) * down[y]]
             known[open_] += 64
             open_ = open_[known[open_] + 64 <= length]
-        open_ = np.flatnonzero((other >= 0) & (known < length))
+        open_ = apart_[known[apart_] < length]
         while len(open_):
             probe = np.minimum(known[open_], length - 8)
             alike = eight[at[open_] + probe] == eight[other[open_] + probe]
             open_, probe = open_[alike], probe[alike]
             known[open_] = probe + 8
             open_ = open_[probe + 8 < length]
-        rest = np.flatnonzero((known < length) & (other >= 0))
+        rest = apart_[known[apart_] < length]
         if len(rest):
             probe = np.minimum(known[rest], length - 8)
             apart = eight[at[rest] + probe] ^ eight[other[rest] + probe]
@@ -224,12 +228,15 @@ def common_prefixes(raw: np.ndarray, order: np.ndarray, length: int, depths: lis
                 probe += (apart >> U64(56 - 8 * i)) == 0
             known[rest] = probe
         result[at] = known
-        after = where[np.maximum(other, 0) + 1]
-        at = at + 1
-        live = at < stops
-        at, stops = at[live], stops[live]
-        carries = (other[live] >= 0) & (after[live] >= 0) & (after[live] < where[at])
-        known = np.where(carries, levels[np.searchsorted(levels, np.maximum(known[live] - 1, 0), "right") - 1], 0)
+        live = np.flatnonzero(at + 1 < stops)
+        at, stops, other, known = at[live] + 1, stops[live], other[live], known[live]
+        follows = other + 1
+        after = where[np.maximum(follows, 0)]
+        same = (known > 0) & (before[at] == follows)
+        carries = (other >= 0) & (after >= 0) & (after < where[at])
+        told = same & (known < length)
+        lower = np.maximum(known - 1, 0)
+        known = np.where(same, lower, np.where(carries, levels[np.searchsorted(levels, lower, "right") - 1], 0))
     return result[order]
 
 
@@ -291,11 +298,15 @@ def _shard(table: pa.Table, length: int, gram: int, groups: int) -> pa.Table:
     low, high = np.minimum.reduceat(known, heads), np.maximum.reduceat(known, heads)
     repeats = ((low != high) | np.logical_or.reduceat(several[spot], heads))[run]
     marks, segments = table.column("mark").to_numpy(), table.column("segment").to_numpy()
-    hit = np.sort(order[repeats])
-    bounds = np.searchsorted(owner[hit], np.arange(len(sizes) + 1))
-    for i in np.flatnonzero((np.diff(bounds) > 0) & ~several):
-        a, b = _spans(hit[bounds[i] : bounds[i + 1]] - starts[i], length)
-        spans.append((marks[i], segments[i], a.tolist(), b.tolist()))
+    hit = np.sort(order[repeats & ~several[spot]])
+    if len(hit):
+        mine = owner[hit]
+        new = np.append(True, (np.diff(hit) > length) | (mine[1:] != mine[:-1]))
+        mine, first, last = mine[new], hit[new], hit[np.append(new[1:], True)] + length
+        cuts_at = np.flatnonzero(np.append(True, mine[1:] != mine[:-1]))
+        a, b = first - starts[mine], last - starts[mine]
+        for i, low, high in zip(mine[cuts_at], cuts_at, [*cuts_at[1:], len(mine)]):
+            spans.append((marks[i], segments[i], a[low:high].tolist(), b[low:high].tolist()))
     # Of a split anchor: from each run of equal strings the first of these segments if it repeats, else all.
     told = np.flatnonzero(split[spot])
     told = told[np.append(True, run[told[1:]] != run[told[:-1]]) | ~repeats[told]] if len(told) else told
