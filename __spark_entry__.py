@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from vaultwatch.functions.eventtime import pin_utc, print_time, with_event_time
 from vaultwatch.functions.telemetry import join_disks
-from vaultwatch.operators import moments, ranking, sequence
+from vaultwatch.operators import moments, pages, ranking, sequence
 from vaultwatch.plans import batch
 from vaultwatch.schemas import EVENT_SCHEMA, RANKING_SLOTS, WINDOW_DAYS
 from vaultwatch.sources import raw, tables, topics
@@ -153,6 +153,24 @@ def _q2_merge_rankings(spark, d):
     return _long(_as_text(ranking.with_disks(df, winners)))
 
 
+PAGE = 3  # disks to a page; small, as the lists of these tables are short
+
+
+def _pages(df: DataFrame) -> DataFrame:
+    return _as_text(df).select("ts", "rk", "vault_id", "failures", "page", "disks")
+
+
+def _q2_pages(window: str) -> Query:
+    return lambda spark, d: _pages(pages.ranked_with_pages(_telemetry(spark, d), WINDOW_DAYS[window], rows_per_page=PAGE))
+
+
+def _q2_merge_pages(spark, d):
+    """Paged rankings of the first 11 and the last 12 days of each 23-day window, merged without opening a list."""
+    days = WINDOW_DAYS["all"]
+    parts = batch.first_part(_telemetry(spark, d), days, 11)
+    return _pages(pages.merge_paged(*[pages.ranked_with_pages(part, days, rows_per_page=PAGE) for part in parts]))
+
+
 # Ingest and topics
 
 
@@ -364,6 +382,7 @@ def _telemetry_queries() -> dict[str, Query]:
         found[f"q2_{window}"] = _q2(window)
         found[f"q2_{window}_wide"] = _q2_wide(window)
         found[f"q2_{window}_disks"] = _q2_disks(window)
+        found[f"q2_{window}_pages"] = _q2_pages(window)
         found[f"stream_q1_{window}"] = _stream_q1(window)
         found[f"stream_q2_{window}"] = _stream_q2(window)
         if window != "1d":
@@ -377,6 +396,7 @@ def _telemetry_queries() -> dict[str, Query]:
         "q2_daily_failures": _q2_daily_failures,
         "q2_all_three": _q2_windows,
         "q2_merge_rankings": _q2_merge_rankings,
+        "q2_merge_pages": _q2_merge_pages,
         "ingest_clean": _ingest_clean,
         "ingest_rejects": _ingest_rejects,
         "json_roundtrip": _json_roundtrip,
@@ -457,6 +477,17 @@ def _q2_disks_sql(days: int) -> str:
         WHERE e.event_type = 'error' AND e.value IS NOT NULL"""
 
 
+def _q2_pages_sql(days: int) -> str:
+    return f"""{_ranking_ctes(days)},
+        listed AS (
+          SELECT top.ts AS ts, CAST(rk AS INTEGER) AS rk, vault_id, failures, CAST(e.event_id AS VARCHAR) AS disk,
+                 row_number() OVER (PARTITION BY top.ts, vault_id ORDER BY e.event_id) - 1 AS pos
+          FROM top JOIN events e ON e.user_id = top.vault_id AND date_trunc('day', e.ts) = top.day
+          WHERE e.event_type = 'error' AND e.value IS NOT NULL)
+        SELECT ts, rk, vault_id, failures, pos // {PAGE} AS page, string_agg(disk, ', ' ORDER BY pos) AS disks
+        FROM listed GROUP BY 1, 2, 3, 4, 5"""
+
+
 def _three(sql: Callable[..., str], **options) -> str:
     return " UNION ALL ".join(f"SELECT *, '{name}' AS window_name FROM ({sql(days, **options)})" for name, days in WINDOW_DAYS.items())
 
@@ -498,6 +529,7 @@ def _telemetry_sql() -> dict[str, str]:
         found[f"q2_{window}"] = _q2_sql(days)
         found[f"q2_{window}_wide"] = _q2_wide_sql(days)
         found[f"q2_{window}_disks"] = _q2_disks_sql(days)
+        found[f"q2_{window}_pages"] = _q2_pages_sql(days)
         found[f"stream_q1_{window}"] = _q1_sql(days, closed=True)
         found[f"stream_q2_{window}"] = _q2_sql(days, closed=True)
         if window != "1d":
@@ -528,6 +560,7 @@ def _telemetry_sql() -> dict[str, str]:
         "q2_daily_failures": f"{_ranking_ctes(1)} SELECT epoch_ms(CAST(day AS TIMESTAMP)) AS ts, vault_id, failures, disks FROM daily",
         "q2_all_three": _three(_q2_sql),
         "q2_merge_rankings": _q2_sql(WINDOW_DAYS["all"]),
+        "q2_merge_pages": _q2_pages_sql(WINDOW_DAYS["all"]),
         "ingest_clean": f"""{_RAW_SQL}
             SELECT epoch_us(t) AS ts_us, c1 AS serial_number, c2 AS model, CAST(c3 AS INTEGER) <> 0 AS failure,
                    CAST(c4 AS INTEGER) AS vault_id, round(TRY_CAST(c12 AS DOUBLE), 2) AS s9_power_on_hours,
