@@ -361,7 +361,8 @@ def _merge(strings: DataFrame, length: int) -> DataFrame:
 def cuts(docs: DataFrame, scanned: DataFrame, length: int, gram: int) -> DataFrame:
     """Per digest of a text that stands once: ``spans``, what repeats of it as (begin, starts, stops)."""
     spots = scanned.select("digest", F.inline(F.arrays_zip("mark", "segment", "begin", "stop", "spot", "left", "right")))
-    marks = spots.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").drop("n")
+    # Settled counts let adaptive execution split the rows of a frequent anchor, as a join right above an aggregate can't.
+    marks = settle(spots.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "cut-marks")
     spots = settle(spots.join(marks, "mark"), "cut-spots")
     grouped = spots.groupBy("mark", "segment", "left", "right").agg((F.count("*") > 1).alias("several"), F.min(F.struct("digest", "begin", "stop", "spot")).alias("at"))
     grouped = settle(grouped.select("mark", "segment", "left", "right", "several", "at.*"), "cut-segments")
@@ -378,7 +379,7 @@ def cuts(docs: DataFrame, scanned: DataFrame, length: int, gram: int) -> DataFra
     mixed = grouped.filter("mixed")
     shards = max(1, mixed.count() * 2 // SHARD)
     # An anchor of too many segments goes by what they share to the left, and once more by what they share to the right.
-    sizes = mixed.groupBy("mark").agg(F.count("*").alias("n"))
+    sizes = settle(mixed.groupBy("mark").agg(F.count("*").alias("n")), "cut-sizes")
     sized = mixed.join(sizes, "mark")
     keyed = sized.filter(F.col("n") <= SHARD).withColumn("key", F.xxhash64("mark")).unionByName(
         sized.filter(F.col("n") > SHARD)
