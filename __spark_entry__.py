@@ -13,15 +13,16 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from vaultwatch.functions.eventtime import pin_utc, print_time, with_event_time
+from vaultwatch.functions.eventtime import monotonous, pin_utc, print_time, with_event_time
 from vaultwatch.functions.telemetry import join_disks
 from vaultwatch.operators import moments, pages, ranking, sequence
+from vaultwatch.operators.quantiles import BITS
 from vaultwatch.plans import batch
 from vaultwatch.schemas import EVENT_SCHEMA, RANKING_SLOTS, WINDOW_DAYS
 from vaultwatch.sources import raw, tables, topics
 from vaultwatch.sources.results import existing
 from vaultwatch.sources.shared import settle, shared_dir
-from vaultwatch.streaming import jobs
+from vaultwatch.streaming import jobs, latency
 from vaultwatch.streaming.progress import ProgressLog, recorded
 
 USERS = (0, 20)
@@ -361,6 +362,16 @@ def _stream_metrics(spark, d):
     return log.metrics().agg(F.sum("input_rows").alias("input_rows"), F.sum("rows_dropped").alias("rows_dropped"), (F.count_if(F.col("input_rows") > 0) >= 5).alias("several_batches"))
 
 
+def _stream_latency(spark, d):
+    """How long events wait for their windows to close, as if each arrived at its own time and windows came out at their end."""
+
+    def build(events, home):
+        counted = latency.arrivals(monotonous(events), WINDOW_DAYS, arrived=F.col("ts"))
+        return latency.start_latency(counted, f"{home}/out", f"{home}/checkpoint", emitted=F.col("closed_ms"), once=True)
+
+    return latency.latency(spark, f"{_stream(build, spark, d)[0]}/out")
+
+
 def _llm_modules() -> list:
     """The modules that add queries on training data, where they are part of the installation."""
     names = ["vaultwatch.llm.queries", "corpus_pipeline"]
@@ -406,6 +417,7 @@ def _telemetry_queries() -> dict[str, Query]:
         "stream_q2_all_three": _stream_q2_windows,
         "stream_late_drop": _stream_late_drop,
         "stream_metrics": _stream_metrics,
+        "stream_latency": _stream_latency,
     }
 
 
@@ -488,6 +500,24 @@ def _q2_pages_sql(days: int) -> str:
         FROM listed GROUP BY 1, 2, 3, 4, 5"""
 
 
+def _waits_sql(days: int) -> str:
+    w = _bucket(days, "ts")
+    return f"""
+        SELECT epoch_ms({w}) AS ts, epoch_ms({w}) + {days * _DAY_MS} - epoch_ms(ts) // 1000 * 1000 AS wait
+        FROM events WHERE value IS NOT NULL AND ts IS NOT NULL AND epoch_ms({w}) + {days * _DAY_MS} <= {_CLOSED}"""
+
+
+def _latency_sql() -> str:
+    least = ", ".join(f"min(CASE WHEN upto >= ({p} * n + 999) // 1000 THEN bucket END) AS {name}" for name, p in latency.PERMILLE.items())
+    return f"""
+        WITH waits AS ({_three(_waits_sql)}),
+        shifted AS (SELECT *, greatest(length(bin(wait)) - {BITS}, 0) AS shift FROM waits),
+        counted AS (SELECT window_name, ts, (wait >> shift) << shift AS bucket, count(*) AS k FROM shifted GROUP BY 1, 2, 3),
+        summed AS (SELECT *, sum(k) OVER (PARTITION BY window_name, ts ORDER BY bucket) AS upto,
+                   CAST(sum(k) OVER (PARTITION BY window_name, ts) AS BIGINT) AS n FROM counted)
+        SELECT window_name, ts, n, {least} FROM summed GROUP BY 1, 2, 3"""
+
+
 def _three(sql: Callable[..., str], **options) -> str:
     return " UNION ALL ".join(f"SELECT *, '{name}' AS window_name FROM ({sql(days, **options)})" for name, days in WINDOW_DAYS.items())
 
@@ -580,6 +610,7 @@ def _telemetry_sql() -> dict[str, str]:
             SELECT strftime(ts + INTERVAL '{CLOSING_DAYS} days', '%Y-%m-%dT%H:%M:%S.%f') AS date, event_id AS seq,
                    user_id AS vault_id, value AS s194_temperature_celsius, event_type = 'error' AS failure
             FROM events WHERE value IS NOT NULL ORDER BY event_id DESC LIMIT 1""",
+        "stream_latency": _latency_sql(),
         "stream_q1_all_three": _three(_q1_sql, closed=True),
         "stream_q2_all_three": _three(_q2_sql, closed=True),
         "stream_late_drop": f"""
