@@ -363,7 +363,7 @@ def cuts(docs: DataFrame, scanned: DataFrame, length: int, gram: int) -> DataFra
     spots = scanned.select("digest", F.inline(F.arrays_zip("mark", "segment", "begin", "stop", "spot", "left", "right")))
     # Settled counts let adaptive execution split the rows of a frequent anchor, as a join right above an aggregate can't.
     marks = settle(spots.groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").drop("n"), "cut-marks")
-    spots = settle(spots.join(marks, "mark"), "cut-spots")
+    spots = settle(spots.join(marks.hint("merge"), "mark"), "cut-spots")
     grouped = spots.groupBy("mark", "segment", "left", "right").agg((F.count("*") > 1).alias("several"), F.min(F.struct("digest", "begin", "stop", "spot")).alias("at"))
     grouped = settle(grouped.select("mark", "segment", "left", "right", "several", "at.*"), "cut-segments")
     # A string is longer than its gram by so much that half of it stands on one side: equal strings of different
@@ -380,7 +380,7 @@ def cuts(docs: DataFrame, scanned: DataFrame, length: int, gram: int) -> DataFra
     shards = max(1, mixed.count() * 2 // SHARD)
     # An anchor of too many segments goes by what they share to the left, and once more by what they share to the right.
     sizes = settle(mixed.groupBy("mark").agg(F.count("*").alias("n")), "cut-sizes")
-    sized = mixed.join(sizes, "mark")
+    sized = mixed.join(sizes.hint("merge"), "mark")
     keyed = sized.filter(F.col("n") <= SHARD).withColumn("key", F.xxhash64("mark")).unionByName(
         sized.filter(F.col("n") > SHARD)
         .withColumn("side", F.explode(F.array(F.struct(F.lit("left").alias("name"), F.col("left").alias("h")), F.struct(F.lit("right").alias("name"), F.col("right").alias("h")))))
