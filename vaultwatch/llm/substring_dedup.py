@@ -404,6 +404,9 @@ def cuts(docs: DataFrame, scanned: DataFrame, length: int, gram: int) -> DataFra
     sorted_out = settle(held.groupBy("hot", "shard").applyInArrow(run, f"{_SPANS}, part int, strings binary"), "cut-shards")
     spans = alike.unionByName(sorted_out.filter("starts IS NOT NULL").select(alike.columns))
     spans = spans.unionByName(_merge(sorted_out.filter("strings IS NOT NULL").select("part", "strings"), length))
+    # A segment of a split anchor has spans from several shards and merging tasks: one row of them meets its places.
+    listed = F.collect_list(F.struct("starts", "stops"))
+    spans = spans.groupBy("mark", "segment").agg(*(F.flatten(listed.getField(c)).alias(c) for c in ("starts", "stops")))
     placed = spots.select("digest", "mark", "segment", "begin").join(spans, ["mark", "segment"])
     return placed.groupBy("digest").agg(F.collect_list(F.struct("begin", "starts", "stops")).alias("spans"))
 
