@@ -3,7 +3,9 @@
 import bisect
 import math
 import random
+import tracemalloc
 
+import numpy as np
 import pytest
 
 from vaultwatch.llm import quality
@@ -126,6 +128,37 @@ def test_repeated_ids_and_other_dealing_change_nothing(spark):
     assert found[0] == found[1]
 
 
+def drawn(n, width, seed=3):
+    """Rows of random word cells, those of even rows with a cell more often than others, and no exchange."""
+    rnd = np.random.default_rng(seed)
+    cells = rnd.integers(0, 1 << quality.WORD_BITS, (n, width), dtype=np.int32)
+    cells[::2, :8] = np.arange(8)
+    rows = quality.Rows(np.repeat(np.arange(n, dtype=np.int32), width), np.sort(cells, axis=1).ravel(), rnd.random((n, len(quality.STATISTICS))), rnd.integers(0, 9, (n, 2)))
+    none = quality.Rows(np.zeros(0, np.int32), np.zeros(0, np.int32), np.zeros((0, len(quality.STATISTICS))), np.zeros((0, 2), np.int64))
+    return rows, (np.arange(n) % 2 == 0).astype(float), lambda *_: [([], np.zeros(0), none)] * 2
+
+
+def test_fit_needs_little_memory_besides_its_rows():
+    rows, good, exchange = drawn(600, 4000)
+    tracemalloc.start()
+    try:
+        assert quality.fit(rows, good, exchange) is not None
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 20 * len(rows.cell)
+
+
+def test_stretches_change_nothing(monkeypatch):
+    rows, good, exchange = drawn(90, 200)
+    found = [quality.fit(rows, good, exchange)]
+    for stretch in (1, 450, 1 << 30):
+        monkeypatch.setattr(quality, "STRETCH", stretch)
+        assert sum(map(len, rows.stretches())) == 90
+        found.append(quality.fit(rows, good, exchange))
+    assert all(np.array_equal(getattr(m, k), getattr(found[0], k)) for m in found for k in ("content", "metadata", "scales", "blend"))
+
+
 def test_held_out_labels_of_the_tables(spark):
     docs, labels = (spark.read.parquet(f"{SF1}/{t}.parquet") for t in ("documents", "labels"))
     model = quality.learn(docs, labels.filter("doc_id % 4 <> 0"))

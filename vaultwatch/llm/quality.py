@@ -9,7 +9,7 @@ exchange: labels by which a view's loss on them rises are taken back.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -115,10 +115,12 @@ class Model:
         return x, np.column_stack([x, x.min(axis=1)]) @ self.blend[:-1] + self.blend[-1]
 
 
-def _choose(owner: np.ndarray, cell: np.ndarray, label: np.ndarray) -> np.ndarray:
-    """The word cells that tell the classes apart best by chi-square, at 0.1 % significance."""
-    seen = np.bincount(cell, minlength=1 << WORD_BITS).astype(float)
-    good = np.bincount(cell, weights=label[owner], minlength=1 << WORD_BITS)
+def _choose(parts: Iterable[tuple[np.ndarray, np.ndarray]], label: np.ndarray) -> np.ndarray:
+    """Of owners and cells, in parts, the word cells that tell the classes apart best by chi-square, at 0.1 % significance."""
+    seen, good = np.zeros(1 << WORD_BITS), np.zeros(1 << WORD_BITS)
+    for owner, cell in parts:
+        seen += np.bincount(cell, minlength=1 << WORD_BITS)
+        good += np.bincount(cell, weights=label[owner], minlength=1 << WORD_BITS)
     share, n = label.mean(), len(label)
     gain = np.where(seen >= 5, (good - seen * share) ** 2 / np.maximum(seen * share * (1 - share) * (1 - seen / (n + 1)), 1e-9), 0)
     best = np.argsort(-gain, kind="stable")[:CHOSEN_WORDS]
@@ -127,9 +129,12 @@ def _choose(owner: np.ndarray, cell: np.ndarray, label: np.ndarray) -> np.ndarra
     return keep
 
 
+STRETCH = 1 << 17  # entries that the fit widens to eight bytes at a time
+
+
 @dataclass
 class Rows:
-    """Documents as the views see them; ``owner`` and ``cell`` are sorted by owner."""
+    """Documents as the views see them; ``owner`` and ``cell`` are sorted by owner, four bytes each where many are kept."""
 
     owner: np.ndarray
     cell: np.ndarray
@@ -144,12 +149,22 @@ class Rows:
         """From columns cells, statistics and names."""
         columns = [c.combine_chunks() if isinstance(c, pa.ChunkedArray) else c for c in map(batch.column, ("cells", "statistics", "names"))]
         cells, statistics, names = columns
-        owner = np.repeat(np.arange(len(cells)), pc.list_value_length(cells).to_numpy())
+        owner = np.repeat(np.arange(len(cells), dtype=np.int32), pc.list_value_length(cells).to_numpy())
         numbers = statistics.flatten().to_numpy().reshape(-1, len(STATISTICS))
-        return cls(owner, cells.flatten().to_numpy().astype(np.int64), numbers, names.flatten().to_numpy().astype(np.int64).reshape(-1, 2))
+        return cls(owner, cells.flatten().to_numpy(), numbers, names.flatten().to_numpy().astype(np.int64).reshape(-1, 2))
+
+    def stretches(self) -> Iterator[Rows]:
+        """The rows in runs of about ``STRETCH`` entries, at least one row each; owners count from the run's first row."""
+        ends = np.searchsorted(self.owner, np.arange(len(self) + 1, dtype=np.int32))
+        start = 0
+        while start < len(self):
+            stop = max(start + 1, int(np.searchsorted(ends, ends[start] + STRETCH, side="right")) - 1)
+            part = slice(ends[start], ends[stop])
+            yield Rows(self.owner[part] - np.int32(start), self.cell[part], self.statistics[start:stop], self.names[start:stop])
+            start = stop
 
     def add(self, more: Rows) -> Rows:
-        return Rows(np.concatenate([self.owner, more.owner + len(self)]), np.concatenate([self.cell, more.cell]), np.concatenate([self.statistics, more.statistics]), np.concatenate([self.names, more.names]))
+        return Rows(np.concatenate([self.owner, more.owner + np.int32(len(self))]), np.concatenate([self.cell, more.cell]), np.concatenate([self.statistics, more.statistics]), np.concatenate([self.names, more.names]))
 
 
 # Of a model and the keys that each view has labelled: per view the keys, labels and rows that it labels next.
@@ -171,19 +186,29 @@ def fit(rows: Rows, good: np.ndarray, exchange: Exchange) -> Model | None:
         number = np.cumsum(use) - 1
         label = taught[view][use]
         weight = np.where(np.flatnonzero(use) < n, 1.0, 0.5)
-        meta = model.cells(rows.statistics, rows.names)
-        o, c = (rows.owner, rows.cell) if view == 0 else (np.repeat(np.arange(len(meta)), meta.shape[1]), meta.ravel())
-        mine = use[o]
-        o, c = number[o[mine]], c[mine]
         if view == 0:
-            chosen = np.flatnonzero(_choose(o, c, label))
+
+            def entries() -> Iterator[tuple[np.ndarray, np.ndarray]]:
+                first = 0
+                for part in rows.stretches():
+                    owner = part.owner + first
+                    mine = use[owner]
+                    yield number[owner[mine]], part.cell[mine]
+                    first += len(part)
+
+            chosen = np.flatnonzero(_choose(entries(), label))
             place = np.full(1 << WORD_BITS, -1)
             place[chosen] = np.arange(len(chosen))
-            keep = place[c] >= 0
-            told = regression(o[keep], place[c[keep]], label, len(chosen), weight, 1e-4)
+            kept = [(o[keep], place[c[keep]]) for o, c in entries() for keep in [place[c] >= 0]]
+            o, c = (np.concatenate([k[i] for k in kept]) for i in range(2))
+            del kept
+            told = regression(o, c, label, len(chosen), weight, 1e-4)
             w = np.zeros((1 << WORD_BITS) + 1)
             w[chosen], w[-1] = told[:-1], told[-1]
-            return w, (np.bincount(rows.owner, weights=w[rows.cell], minlength=len(rows)) + w[-1])[:n][held]
+            score = np.concatenate([np.bincount(part.owner, weights=w[part.cell], minlength=len(part)) for part in rows.stretches()])
+            return w, (score + w[-1])[:n][held]
+        meta = model.cells(rows.statistics, rows.names)
+        o, c = number[np.repeat(np.flatnonzero(use), meta.shape[1])], meta[use].ravel()
         w = regression(o, c, label, cells, weight, 1e-4)
         return w, (w[meta].sum(axis=1) + w[-1])[:n][held]
 
@@ -304,8 +329,11 @@ def learn(docs: DataFrame, labels: DataFrame) -> Model | None:
         return None
     told = told.take(pc.sort_indices(told, sort_keys=[("doc_id", "ascending")])).combine_chunks()
     told = told.take(pa.array(np.random.default_rng(1).permutation(told.num_rows))).combine_chunks()
+    rows, label = Rows.of(told), told["good"].to_numpy().astype(float)
+    del told
+    pa.default_memory_pool().release_unused()
     others = features.join(F.broadcast(chosen.select("key").distinct()), "key", "left_anti")
-    return fit(Rows.of(told), told["good"].to_numpy().astype(float), lambda model, given, share: surest(others, model, given, share))
+    return fit(rows, label, lambda model, given, share: surest(others, model, given, share))
 
 
 def score(docs: DataFrame, model: Model | None) -> DataFrame:
