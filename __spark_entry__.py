@@ -269,7 +269,7 @@ def _dated(events: DataFrame) -> DataFrame:
 
 def _event_stream(spark: SparkSession, path: str, files: int) -> DataFrame:
     """The topic as a stream of several batches. Event time is read from the date text."""
-    session = jobs.streaming_session(spark)
+    session = jobs.streaming_session(spark, jobs.state_partitions(spark))
     stream = topics.parquet_events(session, path, spark.read.parquet(path).schema, files)
     return with_event_time(stream.drop("ts"))
 

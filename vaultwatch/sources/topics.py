@@ -100,18 +100,22 @@ def file_events(
     return reader.json(path).withColumn("seq", stream_arrival())
 
 
-def publish_in_order(events: DataFrame, path: str, batches: int, ts: str = "ts", rows_per_file: int = 5_000_000, fmt: str = "parquet") -> int:
+def publish_in_order(
+    events: DataFrame, path: str, batches: int, ts: str = "ts", rows_per_file: int = 5_000_000, fmt: str = "parquet", rows_per_task: int = 250_000
+) -> int:
     """Add a table to a file topic in order of time, in one write.
 
     The rows are dealt by ranges of time, and then of a hash, so that one instant may hold any share of them, and each
-    task writes its range in order. Files are then moved to the topic one after the other, with rising times, which
+    task writes its range in order. A batch has as many ranges as its rows ask for, ``rows_per_task`` each, so that
+    larger tables are written, and each batch read, by more tasks. Files are then moved to the topic one after the other, with rising times, which
     is the order that streams read in. No file holds rows before those of a file read earlier, so no row comes late,
     whatever a batch reads. Returns how many files a batch should read for about ``batches`` of them.
     """
     spark = events.sparkSession
     staging = f"{path.rstrip('/')}/_staging-{uuid.uuid4().hex}"
     spread = F.xxhash64(*events.columns)
-    dealt = events.withColumn("_spread", spread).repartitionByRange(batches, ts, "_spread").sortWithinPartitions(ts).drop("_spread")
+    ranges = batches * max(1, -(-events.count() // (batches * rows_per_task)))
+    dealt = events.withColumn("_spread", spread).repartitionByRange(ranges, ts, "_spread").sortWithinPartitions(ts).drop("_spread")
     dealt.write.option("maxRecordsPerFile", rows_per_file).format(fmt).save(staging)
     return max(1, -(-move_in_order(spark, staging, path) // batches))
 

@@ -21,6 +21,15 @@ KAFKA = "kafka"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
+def state_partitions(spark: SparkSession) -> int:
+    """Two for each of the cluster's cores, the session's shuffle partitions at most.
+
+    A partition of state is opened and committed in every batch, whatever it holds; so where shuffle partitions grow
+    with the input, as many of state would make each batch of small counts wait for hundreds of them.
+    """
+    return min(int(spark.conf.get("spark.sql.shuffle.partitions")), 2 * spark.sparkContext.defaultParallelism)
+
+
 def streaming_session(spark: SparkSession, state_partitions: int | None = None) -> SparkSession:
     """A session of the same application with state settings of its own.
 
@@ -49,18 +58,20 @@ def temperature_windows_stream(
 
 
 REPORT, CLOSED = "report", "closed"
+DAY_TEXT = "yyyy-MM-dd"
 
 
 def ranking_stream(events: DataFrame, windows: dict[str, int], lateness: str = "0 seconds") -> DataFrame:
     """Query 2 for several windows (name: days) up to the ranking: rows of two kinds for :func:`start_rankings`.
 
     ``closed``: the best days of windows that close, whose state is counts alone. ``report``: the failure reports of
-    the batch, which go to a log by day; a window's lists are read from there, for its winners only.
+    the batch, which go to a log by day (``day_text``); a window's lists are read from there, for its winners only.
     """
     prepared = prepare(events)
     closed = ranking.best_days_counted(monotonous(prepared, lateness=lateness), windows).withColumn("kind", F.lit(CLOSED))
     reports = ranking.counted_reports(prepared).withColumn("kind", F.lit(REPORT))
-    return closed.unionByName(reports, allowMissingColumns=True).withColumn("day_text", F.date_format("day", "yyyy-MM-dd"))
+    day_text = F.when(F.col("kind") == REPORT, F.date_format("day", DAY_TEXT))
+    return closed.unionByName(reports, allowMissingColumns=True).withColumn("day_text", day_text)
 
 
 def _start(writer: DataStreamWriter, checkpoint: str, once: bool, path: str | None = None) -> StreamingQuery:
@@ -98,8 +109,9 @@ def start_windows(rows: DataFrame, write: Callable[[DataFrame, int], None], chec
 def start_rankings(rows: DataFrame, log: str, write: Callable[[DataFrame, int], None], checkpoint: str, once: bool = False) -> StreamingQuery:
     """Log the rows of :func:`ranking_stream` and rank each window that closes.
 
-    The log is parted by kind, day and batch; a batch that is run again replaces its own folders. Ranking runs on the
-    closed windows of the batch, which are whole, cut to ten per window in the tasks. Then the winners' reports are
+    The log is parted by kind, day and batch; a batch that is run again replaces its own folders. Best days have no day
+    there, as they are read by batch, so that each task of the state writes one file however many days there are.
+    Ranking runs on the closed windows of the batch, which are whole, cut to ten per window in the tasks. Then the winners' reports are
     read from the folders of their days. ``write`` gets (window_name, ts, vault_id, day, failures, rk, disks). Days
     before the start of the oldest open window are not read again: their folders may be removed.
     """
@@ -115,7 +127,7 @@ def start_rankings(rows: DataFrame, log: str, write: Callable[[DataFrame, int],
         closed = read(f"{log}/kind={CLOSED}/day_text=*/batch={batch_id}")
         if closed is None:
             return
-        best = closed.select("window_name", "ts", "vault_id", "day", "failures", "until", "day_text")
+        best = closed.select("window_name", "ts", "vault_id", "day", "failures", "until", F.date_format("day", DAY_TEXT).alias("day_text"))
         found = ranking.top_vaults(best, window=("window_name", "ts")).collect()  # ten rows per closed window
         days = ",".join(sorted({r["day_text"] for r in found}))
         reports = read(f"{log}/kind={REPORT}/day_text={{{days}}}").select("vault_id", "day", "seq", "disk", "until")
