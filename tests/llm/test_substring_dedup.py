@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from vaultwatch.llm import substring_dedup as sub
 
@@ -136,3 +137,19 @@ def test_equal_windows_have_equal_anchors():
     for start in range(100, 150):
         mine = [a - start for a in found if start <= a < start + 30]
         assert mine and mine[-1:] and {a + 200 for a in found if start <= a < start + 30} <= set(found.tolist()) | {a for a in found if a > 380}
+
+
+def test_a_segment_of_many_places_in_a_text_is_one_row(spark, monkeypatch):
+    """The places of a repeated line are joined once a text, not once a place."""
+    lines = [f"{i} begins here " + "is on he. " * 200 + f"and ends {i}" for i in range(6)]
+    docs = spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string").repartition(3)
+    scanned = sub._scan(docs.select(F.col("doc_id").alias("key"), "text"), 40, 16)
+    for r in scanned.collect():
+        assert len(set(zip(r.mark, r.segment))) == len(r.mark) < 40
+        assert sum(map(len, r.begins)) >= 190 and all(b == sorted(set(b)) for b in r.begins)
+    spots = []
+    cuts = sub.cuts
+    monkeypatch.setattr(sub, "cuts", lambda *a: spots.append(cuts(*a)) or spots[-1])
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sub.removed(docs, 40, 16).collect()}
+    assert [got[i] for i in range(len(lines))] == brute(lines, 40)
+    assert all(len(r.spans) < 40 for r in spots[0].collect())
