@@ -2,9 +2,11 @@
 
 import hashlib
 import random
+import tracemalloc
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -153,3 +155,25 @@ def test_a_segment_of_many_places_in_a_text_is_one_row(spark, monkeypatch):
     got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in sub.removed(docs, 40, 16).collect()}
     assert [got[i] for i in range(len(lines))] == brute(lines, 40)
     assert all(len(r.spans) < 40 for r in spots[0].collect())
+
+
+def test_a_shard_of_many_anchors_is_sorted_in_bounded_memory():
+    rng = np.random.default_rng(3)
+    length, gram, side = 400, 128, 272
+    rows = []
+    for mark in range(300):
+        whole = rng.integers(97, 123, 2 * side + gram).astype(np.uint8).tobytes()
+        for i in range(16):  # copies of the middle with own heads
+            head = rng.integers(65, 91, 60 + i).astype(np.uint8).tobytes()
+            rows.append((mark, 1000 * mark + i, rng.bytes(16), 0, len(whole), side, False, False, head + whole[len(head) :]))
+    names = ["mark", "segment", "digest", "begin", "stop", "spot", "several", "split", "bytes"]
+    table = pa.table({n: pa.array(c, pa.binary()) if n in ("digest", "bytes") else pa.array(c) for n, c in zip(names, zip(*rows))})
+    sub._shard(table.slice(0, 64), length, gram, 1)
+    tracemalloc.start()
+    out = sub._shard(table, length, gram, 1)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # Each repeats from the end of its own head on, that of the shortest head from the end of the next one.
+    want = {1000 * mark + i: ([60 + max(i, 1)], [2 * side + gram]) for mark in range(300) for i in range(16)}
+    assert {s: (a, b) for s, a, b in zip(*(out.column(c).to_pylist() for c in ("segment", "starts", "stops")))} == want
+    assert peak < 60 * table.nbytes
