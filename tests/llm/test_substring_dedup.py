@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import sys
 import tracemalloc
 from collections import Counter
 
@@ -177,3 +178,71 @@ def test_a_shard_of_many_anchors_is_sorted_in_bounded_memory():
     want = {1000 * mark + i: ([60 + max(i, 1)], [2 * side + gram]) for mark in range(300) for i in range(16)}
     assert {s: (a, b) for s, a, b in zip(*(out.column(c).to_pylist() for c in ("segment", "starts", "stops")))} == want
     assert peak < 60 * table.nbytes
+
+
+def test_prefixes_are_compared_by_runs_not_place_by_place():
+    """The steps do not grow with the places of a segment: two copies with a byte changed here and there."""
+    rng = np.random.default_rng(8)
+    length, gram, steps = 40, 16, []
+    for size in (300, 3000):
+        one = rng.integers(97, 101, size).astype(np.uint8)
+        two = one.copy()
+        two[size // 3 :: 90] = 65
+        raw, ends = np.concatenate([one, two]), np.repeat([size, 2 * size], size)
+        order, group, depths = sub.suffix_array(raw, ends, length, gram)
+        calls = []
+        sys.setprofile(lambda frame, event, arg: calls.append(event) if event == "c_call" else None)
+        prefixes = sub.common_prefixes(raw, order, length, depths)
+        sys.setprofile(None)
+        steps.append(len(calls))
+        whole = raw.tobytes()
+        texts = [whole[i : i + length] for i in order]
+        want = [next((j for j in range(length) if a[j] != b[j]), length) for a, b in zip(texts, texts[1:])]
+        assert prefixes.tolist() == [0, *want] and length in want and length - 1 in want
+        assert ((prefixes[1:] < length) == (np.diff(group[order]) != 0)).all()
+    assert max(steps) < 500 and steps[1] < 2 * steps[0]
+
+
+def test_prefixes_where_a_run_comes_to_no_common_byte():
+    """Any order is taken: each place before the one 50 further on, so that one run goes through bytes that differ."""
+    length = 24
+    raw = np.random.default_rng(2).integers(97, 99, 150).astype(np.uint8)
+    order = np.concatenate([np.arange(r, 150 - length + 1, 50) for r in range(50)]).astype(np.int32)
+    whole = raw.tobytes()
+    texts = [whole[i : i + length] for i in order]
+    want = [next((j for j in range(length) if a[j] != b[j]), length) for a, b in zip(texts, texts[1:])]
+    assert sub.common_prefixes(raw, order, length, [8]).tolist() == [0, *want] and want.count(0) > 20
+
+
+class _Rows:
+    """As much of a table as a scan asks for: its function for batches."""
+
+    dtypes = [("key", "bigint")]
+
+    def mapInArrow(self, run, schema):
+        return run
+
+
+def test_a_scan_hashes_the_texts_of_a_piece_at_once(monkeypatch):
+    texts = ["", *(t or "" for t in corpus(5, 200)), "", "ends with a short one"]
+    scan, mix, calls = sub._scan(_Rows(), 40, 16), sub.mix, []
+    monkeypatch.setattr(sub, "mix", lambda h: calls.append(len(h)) or mix(h))
+
+    def rows(part, key):
+        return [r for b in scan(iter([pa.record_batch({"key": range(key, key + len(part)), "text": part})])) for r in b.to_pylist()]
+
+    found = rows(texts, 0)
+    assert len(calls) < 10 < len(texts)
+    assert found == [r for i, t in enumerate(texts) for r in rows([t], i)] and sum(len(r["mark"]) for r in found) > len(texts)
+    assert rows(["", "short"], 0) == [r for i, t in enumerate(["", "short"]) for r in rows([t], i)]
+    assert scan(iter([])) is not None and rows([""], 3)[0]["n_bytes"] == 0
+
+
+@pytest.mark.parametrize("bits", [10, 62, 64])
+def test_places_in_the_order_of_their_keys(bits):
+    rng = np.random.default_rng(bits)
+    keys = rng.integers(0, 1 << min(bits, 62), 700).astype(np.uint64)
+    keys[::7] = (keys[0] >> np.uint64(4) << np.uint64(4)) | rng.integers(0, 16, 100).astype(np.uint64)  # alike but for the last bits
+    place, found = sub._sorted_places(keys, bits)
+    assert sorted(place.tolist()) == list(range(700)) and (found == np.sort(keys)).all() and (keys[place] == found).all()
+    assert len(sub._sorted_places(keys[:0], bits)[0]) == 0
